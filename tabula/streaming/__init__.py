@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a set of batch scripts with no streams, watermarks, windows
+or state (SURVEY §2.12), so there is nothing to re-express with Structured
+Streaming.  Every operator in ``tabula.operators`` is a plain DataFrame
+function and would also apply inside ``foreachBatch`` if a caller wanted
+incremental roll-ups, but no streaming operator is added here.
+"""
