@@ -26,6 +26,30 @@ from tabula.functions.scalars import days_since, null_if
 EPOCH = "2002-01-01"
 
 
+def applicant_base(t: dict[str, DataFrame]) -> DataFrame:
+    """Applicant categorical attributes only (customer ⋈ nation ⋈ region)."""
+    c = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey")) \
+        .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    return c.select(
+        F.col("c_custkey").alias("SK_ID_CURR"),
+        F.col("c_mktsegment").alias("CODE_GENDER"),
+        F.col("n_name").alias("ORGANIZATION_TYPE"),
+        F.col("r_name").alias("NAME_EDUCATION_TYPE"),
+        null_if(F.col("n_name"), F.col("n_regionkey") == 0).alias("OCCUPATION_TYPE"),
+        null_if(F.col("c_acctbal"), F.col("c_acctbal") < 0).alias("AMT_INCOME_TOTAL"),
+        F.col("c_acctbal"),
+    )
+
+
+def labels(t: dict[str, DataFrame]) -> DataFrame:
+    """Binary TARGET per applicant: more than 40 % of the applicant's lines were returned."""
+    l, o = t["lineitem"], t["orders"]
+    j = l.select("l_orderkey", "l_returnflag").join(o.select("o_orderkey", "o_custkey"),
+                                                    F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.groupBy(F.col("o_custkey").alias("SK_ID_CURR")).agg(
+        (F.avg((F.col("l_returnflag") == "R").cast("double")) > 0.4).cast("int").alias("TARGET"))
+
+
 def applicants(t: dict[str, DataFrame]) -> DataFrame:
     o = t["orders"]
     amounts = o.groupBy(F.col("o_custkey").alias("SK_ID_CURR")).agg(
@@ -102,6 +126,17 @@ def pos_cash(t: dict[str, DataFrame]) -> DataFrame:
 
 # DuckDB twins of the builders above (same column names and semantics).
 SQL = {
+    "applicant_base": """
+        SELECT c.c_custkey AS SK_ID_CURR, c.c_mktsegment AS CODE_GENDER, n.n_name AS ORGANIZATION_TYPE,
+               r.r_name AS NAME_EDUCATION_TYPE,
+               CASE WHEN n.n_regionkey = 0 THEN NULL ELSE n.n_name END AS OCCUPATION_TYPE,
+               CASE WHEN c.c_acctbal < 0 THEN NULL ELSE c.c_acctbal END AS AMT_INCOME_TOTAL,
+               c.c_acctbal
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+             JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "labels": """
+        SELECT o.o_custkey AS SK_ID_CURR, (avg((l.l_returnflag = 'R')::DOUBLE) > 0.4)::INTEGER AS TARGET
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_custkey""",
     "applicants": f"""
         SELECT c.c_custkey AS SK_ID_CURR, c.c_mktsegment AS CODE_GENDER, n.n_name AS ORGANIZATION_TYPE,
                r.r_name AS NAME_EDUCATION_TYPE,

@@ -15,6 +15,7 @@ import time
 from collections import Counter
 
 import duckdb
+import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -31,7 +32,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if hasattr(v, "tolist") and not isinstance(v, (str, bytes)):
         v = v.tolist()
