@@ -125,3 +125,17 @@ def sig_round(c, bits: int = 30) -> Column:
             .when(is_non_finite(c), c)
             .when(F.abs(c) < F.lit(1e-9), F.lit(0.0))
             .otherwise(F.round(c / scale, 0) * scale + F.lit(0.0)))
+
+
+def float_key(c, bits: int = 36) -> Column:
+    """Comparison key for floating values: rounded to ``bits`` significant bits.
+
+    Distinct counts over *computed* doubles (e.g. a variance from a nested
+    roll-up) would otherwise depend on the merge order of partial aggregates:
+    equal value sets can give doubles that differ in the last bits.  Zero,
+    null and non-finite values are kept as they are.
+    """
+    c = dbl(c)
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(c))) - F.lit(bits - 1))
+    return (F.when(c.isNull() | is_non_finite(c) | (c == 0), c + F.lit(0.0))
+            .otherwise(F.round(c / scale, 0) * scale))

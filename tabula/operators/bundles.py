@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.functions.aggregates import BUNDLES, agg_expr, bundle_exprs
+from tabula.functions.scalars import float_key
 from tabula.operators.joins import checked_broadcast
 
 
@@ -46,6 +47,12 @@ def _is_pruned(c: str, fn: str, prune) -> bool:
 HOT_ROWS = 200_000
 
 
+def _value_key(df: DataFrame, c: str):
+    """Distinctness key: floating values compared at 36 significant bits (``float_key``)."""
+    dt = df.schema[c].dataType
+    return float_key(F.col(c)) if isinstance(dt, (T.FloatType, T.DoubleType)) else F.col(c)
+
+
 def _melted_distinct(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nulls: str) -> DataFrame:
     """Skew-safe exact distinct counts: melt -> distinct -> count -> pivot (wide, one row per key)."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -56,7 +63,7 @@ def _melted_distinct(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nu
         if not group:
             continue
         melted = df.select(*keys, F.explode(F.array(*[
-            F.struct(F.lit(i).alias("__i"), F.col(cols[i]).cast(cast).alias("__v")) for i in group
+            F.struct(F.lit(i).alias("__i"), _value_key(df, cols[i]).cast(cast).alias("__v")) for i in group
         ])).alias("__kv")).select(*keys, "__kv.__i", "__kv.__v")
         if nulls != "propagate":
             melted = melted.where(F.col("__v").isNotNull())
@@ -71,7 +78,7 @@ def _set_distinct(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nulls
     """Distinct counts via map-side de-duplicated sets; only for groups of bounded size."""
     exprs = []
     for i, c in enumerate(cols):
-        n = F.size(F.collect_set(F.col(c)))
+        n = F.size(F.collect_set(_value_key(df, c)))
         if nulls == "propagate":
             n = n + F.max(F.col(c).isNull().cast("int"))
         exprs.append(n.alias(f"__nd{i}"))

@@ -1 +1,188 @@
-"""Catalog part 2: group statistics, encoders, column statistics."""
+"""Catalog part 2: bundles, nested roll-up, encoders, group statistics, column statistics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabula.functions import columns as C
+from tabula.functions.aggregates import BUNDLES
+from tabula.operators import clean, groupstats
+from tabula.operators.bundles import nested_rollup, rollup
+from tabula.operators.encode import apply_dummies, fit_dummies, ints_as_category, label_encode, onehot
+from tabula.operators.split import hash_split
+from tabula.plans import analog
+from tabula.plans import sqlkit as S
+from tabula.plans.catalog import query
+
+A = analog.SQL
+SPLIT_SQL = "(('0x' || substr(md5(concat({k}::VARCHAR, ':', '42')), 1, 8))::BIGINT < {thr})"
+
+
+def split_sql(key: str, p: float) -> str:
+    return SPLIT_SQL.format(k=key, thr=int(p * 2 ** 32))
+
+
+# ---------------------------------------------------------------------------
+# Encoded bureau (E1 + F2): the input of the bundle queries
+# ---------------------------------------------------------------------------
+def bureau_encoded(t):
+    b = analog.bureau(t)
+    b = clean.null_out(b, {"AMT_CREDIT_SUM": F.col("AMT_CREDIT_SUM") < 10000})
+    return label_encode(b, ["CREDIT_ACTIVE", "CREDIT_TYPE"])
+
+
+def _codes_sql(src: str, col: str) -> str:
+    return (f"SELECT v, row_number() OVER (ORDER BY v)::INTEGER AS code "
+            f"FROM (SELECT DISTINCT {col} AS v FROM {src} WHERE {col} IS NOT NULL) d")
+
+
+BUREAU_ENC_SQL = f"""
+    WITH b AS ({A['bureau']})
+    SELECT b.SK_ID_CURR, b.SK_ID_BUREAU, ca.code AS CREDIT_ACTIVE, ct.code AS CREDIT_TYPE, b.DAYS_CREDIT,
+           CASE WHEN b.AMT_CREDIT_SUM < 10000 THEN NULL ELSE b.AMT_CREDIT_SUM END AS AMT_CREDIT_SUM
+    FROM b LEFT JOIN ({_codes_sql('b', 'CREDIT_ACTIVE')}) ca ON b.CREDIT_ACTIVE = ca.v
+           LEFT JOIN ({_codes_sql('b', 'CREDIT_TYPE')}) ct ON b.CREDIT_TYPE = ct.v"""
+_B_COLS = ["CREDIT_ACTIVE", "CREDIT_TYPE", "DAYS_CREDIT", "AMT_CREDIT_SUM"]
+_B_INTS = ["CREDIT_ACTIVE", "CREDIT_TYPE", "DAYS_CREDIT"]
+
+
+@query("label_encode", ops="E1 C8", sql=BUREAU_ENC_SQL, doubles=["AMT_CREDIT_SUM"])
+def label_encode_q(t, spark):
+    return bureau_encoded(t)
+
+
+@query("conditional_mutate_by_type", ops="P9 E1",
+       sql=f"""WITH a AS ({A['applicant_base']})
+               SELECT a.SK_ID_CURR, g.code AS CODE_GENDER, o.code AS ORGANIZATION_TYPE, e.code AS NAME_EDUCATION_TYPE,
+                      oc.code AS OCCUPATION_TYPE, a.AMT_INCOME_TOTAL, a.c_acctbal
+               FROM a LEFT JOIN ({_codes_sql('a', 'CODE_GENDER')}) g ON a.CODE_GENDER = g.v
+                      LEFT JOIN ({_codes_sql('a', 'ORGANIZATION_TYPE')}) o ON a.ORGANIZATION_TYPE = o.v
+                      LEFT JOIN ({_codes_sql('a', 'NAME_EDUCATION_TYPE')}) e ON a.NAME_EDUCATION_TYPE = e.v
+                      LEFT JOIN ({_codes_sql('a', 'OCCUPATION_TYPE')}) oc ON a.OCCUPATION_TYPE = oc.v""",
+       doubles=["AMT_INCOME_TOTAL", "c_acctbal"])
+def conditional_mutate_by_type(t, spark):
+    a = analog.applicant_base(t)
+    return label_encode(a, C.string_columns(a))
+
+
+@query("prefix_rename", ops="P6 P1",
+       sql=f"SELECT SK_ID_CURR, {', '.join(f'{c} AS BUREAU_{c}' for c in _B_COLS)} FROM ({BUREAU_ENC_SQL}) b",
+       doubles=["BUREAU_AMT_CREDIT_SUM"])
+def prefix_rename(t, spark):
+    return C.prefix_rename(bureau_encoded(t).drop("SK_ID_BUREAU"), "BUREAU_", keys=["SK_ID_CURR"])
+
+
+# ---------------------------------------------------------------------------
+# Bundles A1-A5 (by applicant over the encoded bureau)
+# ---------------------------------------------------------------------------
+def _bundle_sql(fns, nulls):
+    src = f"SELECT * EXCLUDE (SK_ID_BUREAU) FROM ({BUREAU_ENC_SQL}) b"
+    if S.MOMENTS & set(fns):
+        src = S.with_group_means(src, ["SK_ID_CURR"], _B_COLS)
+    return f"SELECT SK_ID_CURR, {', '.join(S.bundle(_B_COLS, fns, nulls, int_cols=_B_INTS))} FROM ({src}) s GROUP BY SK_ID_CURR"
+
+
+def _register_bundle(name, bundle, nulls, ops):
+    fns = BUNDLES[bundle]
+
+    def build(t, spark):
+        return rollup(bureau_encoded(t).drop("SK_ID_BUREAU"), "SK_ID_CURR", bundle, nulls)
+    query(name, ops=ops, sql=_bundle_sql(fns, nulls), doubles=S.bundle_doubles(_B_COLS, fns, _B_INTS))(build)
+
+
+_register_bundle("bundle_mean_var_min_max_sum_nd", "canonical", "propagate", "A1 N1 N3 N11")
+_register_bundle("bundle_skip_nulls_sd", "sd", "skip", "A2 N2")
+_register_bundle("bundle_median", "median", "skip", "A3")
+_register_bundle("bundle_moments", "moments", "skip", "A4 N12 N13")
+_register_bundle("bundle_nine", "nine", "skip", "A5")
+
+
+# ---------------------------------------------------------------------------
+# Nested roll-up A12 + J2: bureau_balance -> bureau -> applicant
+# ---------------------------------------------------------------------------
+_BB_LEVELS = ["A", "N", "R"]
+_BB_COLS = ["MONTHS_BALANCE", "AMT_BALANCE"] + [f"STATUS_{v}" for v in _BB_LEVELS]
+_CANON = BUNDLES["canonical"]
+_INNER_OUT = [f"{c}_{f}" for c in _BB_COLS for f in _CANON]
+_INNER_INTS = ["MONTHS_BALANCE_min", "MONTHS_BALANCE_max", "MONTHS_BALANCE_sum"] + \
+    [f"{c}_n_distinct" for c in _BB_COLS]
+_OUTER_COLS = _B_COLS + _INNER_OUT
+_OUTER_INTS = _B_INTS + _INNER_INTS
+
+
+def _nested_sql() -> str:
+    bb = (f"SELECT SK_ID_BUREAU, MONTHS_BALANCE, AMT_BALANCE, "
+          + ", ".join(f"(STATUS = '{v}')::DOUBLE AS STATUS_{v}" for v in _BB_LEVELS)
+          + f" FROM ({A['bureau_balance']}) x")
+    inner = (f"SELECT SK_ID_BUREAU, {', '.join(S.bundle(_BB_COLS, _CANON, int_cols=['MONTHS_BALANCE']))} "
+             f"FROM ({bb}) bb GROUP BY SK_ID_BUREAU")
+    child = (f"SELECT b.* EXCLUDE (SK_ID_BUREAU), i.* EXCLUDE (SK_ID_BUREAU) FROM ({BUREAU_ENC_SQL}) b "
+             f"LEFT JOIN ({inner}) i ON b.SK_ID_BUREAU = i.SK_ID_BUREAU")
+    return (f"SELECT SK_ID_CURR, {', '.join(S.bundle(_OUTER_COLS, _CANON, int_cols=_OUTER_INTS))} "
+            f"FROM ({child}) c GROUP BY SK_ID_CURR")
+
+
+@query("nested_rollup", ops="E2 A12 J2 A1", sql=_nested_sql(),
+       doubles=S.bundle_doubles(_OUTER_COLS, _CANON, _OUTER_INTS))
+def nested_rollup_q(t, spark):
+    bb = onehot(analog.bureau_balance(t), max_levels=10)
+    return nested_rollup(bb, bureau_encoded(t), "SK_ID_BUREAU", "SK_ID_CURR")
+
+
+# ---------------------------------------------------------------------------
+# Encoders E2-E5
+# ---------------------------------------------------------------------------
+def previous_apps(t):
+    """Categorical application history analog: lineitem ⋈ part ⋈ orders."""
+    l, p, o = t["lineitem"], t["part"], t["orders"]
+    j = (l.join(p, F.col("l_partkey") == F.col("p_partkey"))
+         .join(o, F.col("l_orderkey") == F.col("o_orderkey")))
+    return j.select(F.col("o_custkey").alias("SK_ID_CURR"), F.col("l_orderkey").alias("SK_ID_PREV"),
+                    "l_linenumber", "l_quantity", "p_size", "l_returnflag", "l_linestatus", "o_orderpriority",
+                    "p_type", "p_brand")
+
+
+PREV_SQL = """
+    SELECT o.o_custkey AS SK_ID_CURR, l.l_orderkey AS SK_ID_PREV, l.l_linenumber, l.l_quantity, p.p_size,
+           l.l_returnflag, l.l_linestatus, o.o_orderpriority, p.p_type, p.p_brand
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+# Levels present in the provided tables (used only to spell out the oracle's columns).
+_PRIO = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _dummy_sql(col, levels, dtype="DOUBLE"):
+    import re
+    return [f"({col} = '{v}')::{dtype} AS {col}_{re.sub(r'[^0-9A-Za-z]+', '_', v).strip('_')}" for v in levels]
+
+
+_ONEHOT_DUMMIES = (_dummy_sql("l_returnflag", ["A", "N", "R"]) + _dummy_sql("l_linestatus", ["F", "O"])
+                   + _dummy_sql("o_orderpriority", _PRIO))
+
+
+@query("onehot_max_levels", ops="E2",
+       sql=f"SELECT SK_ID_CURR, SK_ID_PREV, l_linenumber, l_quantity, p_size, {', '.join(_ONEHOT_DUMMIES)} FROM ({PREV_SQL}) x",
+       doubles=["l_quantity"] + [d.rsplit(" AS ", 1)[1] for d in _ONEHOT_DUMMIES])
+def onehot_max_levels(t, spark):
+    return onehot(previous_apps(t), max_levels=5)
+
+
+_APP_DUMMIES = _dummy_sql("CODE_GENDER", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"], "INTEGER") + \
+    _dummy_sql("NAME_EDUCATION_TYPE", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"], "INTEGER")
+
+
+@query("dummies_fit_transform", ops="E3 E4 L2",
+       sql=f"""SELECT SK_ID_CURR, CASE WHEN {split_sql('SK_ID_CURR', 0.8)} THEN 'train' ELSE 'test' END AS split,
+                      {', '.join(_APP_DUMMIES)} FROM ({A['applicant_base']}) a""")
+def dummies_fit_transform(t, spark):
+    a = hash_split(analog.applicant_base(t), "SK_ID_CURR", 0.8, labels=("train", "test"))
+    cols = ["CODE_GENDER", "NAME_EDUCATION_TYPE"]
+    levels = fit_dummies(a.where(F.col("split") == "train"), cols)      # fit on train only
+    return apply_dummies(a.select("SK_ID_CURR", "split", *cols), levels)  # apply to every split
+
+
+@query("int_flags_as_category", ops="E5 E3",
+       sql=f"""SELECT l_orderkey, {', '.join(f"(l_linenumber = {i})::INTEGER AS l_linenumber_{i}" for i in range(1, 8))}
+               FROM lineitem""")
+def int_flags_as_category(t, spark):
+    li = ints_as_category(t["lineitem"].select("l_orderkey", "l_linenumber"), ["l_linenumber"])
+    return apply_dummies(li, fit_dummies(li, ["l_linenumber"]))

@@ -40,6 +40,13 @@ def sig(x: str, bits: int = 30) -> str:
             f"WHEN abs({x}) < 1e-9 THEN 0.0 ELSE round({x} / {scale}, 0) * {scale} + 0.0 END)")
 
 
+def fkey(x: str, bits: int = 36) -> str:
+    """Distinctness key for doubles (same definition as ``float_key``)."""
+    scale = f"pow(2.0, floor(log2(abs({x}))) - {bits - 1})"
+    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) OR {x} = 0 THEN {x} + 0.0 "
+            f"ELSE round({x} / {scale}, 0) * {scale} END)")
+
+
 def stable(inner: str, double_cols: Sequence[str]) -> str:
     """Wrap a query so its double columns are rounded like ``tabula.functions.sig_round``."""
     if not double_cols:
@@ -48,7 +55,7 @@ def stable(inner: str, double_cols: Sequence[str]) -> str:
     return f"SELECT * REPLACE ({rep}) FROM ({inner}) AS __s"
 
 
-def agg(fn: str, x: str, nulls: str = "propagate", mean: str | None = None) -> str:
+def agg(fn: str, x: str, nulls: str = "propagate", mean: str | None = None, integer: bool = False) -> str:
     """One bundle aggregate with the reference's null semantics.
 
     ``mean`` names a column holding the group mean of ``x`` (see
@@ -75,9 +82,10 @@ def agg(fn: str, x: str, nulls: str = "propagate", mean: str | None = None) -> s
         base["kurtosis"] = (f"(CASE WHEN {const} THEN NULL ELSE "
                             f"avg(pow({dev}, 4)) / pow(avg(pow({dev}, 2)), 2) END)")
     if fn == "n_distinct":
+        key = x if integer else fkey(f"({x})::DOUBLE")
         if nulls == "propagate":
-            return f"(count(DISTINCT {x}) + max(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END))::BIGINT"
-        return f"count(DISTINCT {x})::BIGINT"
+            return f"(count(DISTINCT {key}) + max(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END))::BIGINT"
+        return f"count(DISTINCT {key})::BIGINT"
     b = base[fn]
     if nulls == "propagate":
         return f"(CASE WHEN count({x}) = count(*) THEN {b} END)"
@@ -112,7 +120,7 @@ def bundle(cols: Sequence[str], fns: Sequence[str], nulls: str = "propagate", se
     out = []
     for c in cols:
         for fn in fns:
-            e = agg(fn, q(c), nulls, mean_col(c) if need else None)
+            e = agg(fn, q(c), nulls, mean_col(c) if need else None, integer=c in ints)
             if fn == "sum" and c in ints:
                 e = f"({e})::BIGINT"
             out.append(f"{e} AS {q(c + sep + fn)}")
