@@ -70,7 +70,11 @@ def mean_stats(prefix: str, exprs: Mapping[str, Column], with_var: bool = False,
     return out
 
 
-def median_lookup(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Per-category median joined back as a new column (A11 + J5 ``recode``)."""
-    med = df.groupBy(key).agg(F.median(F.col(value).cast("double")).alias(out))
+def median_lookup(df: DataFrame, key: str, value: str, out: str, nulls: str = "propagate") -> DataFrame:
+    """Per-category median joined back as a new column (A11 + J5 ``recode``).
+
+    The lookup table has one row per category; its size is measured before
+    it is broadcast (``left_join_null_safe``).
+    """
+    med = df.groupBy(key).agg(agg_expr("median", value, nulls).alias(out))
     return left_join_null_safe(df, med, [key])

@@ -186,3 +186,151 @@ def dummies_fit_transform(t, spark):
 def int_flags_as_category(t, spark):
     li = ints_as_category(t["lineitem"].select("l_orderkey", "l_linenumber"), ["l_linenumber"])
     return apply_dummies(li, fit_dummies(li, ["l_linenumber"]))
+
+
+# ---------------------------------------------------------------------------
+# Category statistics joined back (A6-A8 + J3/J4, recipe R3)
+# ---------------------------------------------------------------------------
+def bureau_flags(t):
+    b = analog.bureau(t)
+    b = clean.null_out(b, {"AMT_CREDIT_SUM": F.col("AMT_CREDIT_SUM") < 10000})
+    return b.select("SK_ID_BUREAU", "CREDIT_ACTIVE", "CREDIT_TYPE", "DAYS_CREDIT", "AMT_CREDIT_SUM",
+                    (F.col("CREDIT_ACTIVE") != "F").cast("int").alias("CREDIT_ACTIVE_BINARY"),
+                    (F.col("DAYS_CREDIT") > -1000).cast("int").alias("DAYS_CREDIT_RECENT"))
+
+
+BUREAU_FLAGS_SQL = f"""
+    SELECT SK_ID_BUREAU, CREDIT_ACTIVE, CREDIT_TYPE, DAYS_CREDIT,
+           CASE WHEN AMT_CREDIT_SUM < 10000 THEN NULL ELSE AMT_CREDIT_SUM END AS AMT_CREDIT_SUM,
+           (CREDIT_ACTIVE <> 'F')::INTEGER AS CREDIT_ACTIVE_BINARY, (DAYS_CREDIT > -1000)::INTEGER AS DAYS_CREDIT_RECENT
+    FROM ({A['bureau']}) b"""
+_BF_VALS = ["DAYS_CREDIT", "AMT_CREDIT_SUM", "CREDIT_ACTIVE_BINARY", "DAYS_CREDIT_RECENT"]
+_BF_INTS = ["DAYS_CREDIT", "CREDIT_ACTIVE_BINARY", "DAYS_CREDIT_RECENT"]
+
+
+def _cat_sql(keys, prefix, fns):
+    names = [(c, c if len(fns) == 1 else f"{c}_{fn}", fn) for c in _BF_VALS for fn in fns]
+    exprs = []
+    for c, n, fn in names:
+        e = S.agg(fn, S.q(c))
+        if fn == "sum" and c in _BF_INTS:
+            e = f"({e})::BIGINT"
+        exprs.append(f"{e} AS {prefix}{n}")
+    stats = f"SELECT {', '.join(keys)}, {', '.join(exprs)} FROM bf GROUP BY {', '.join(keys)}"
+    on = " AND ".join(f"bf.{k} IS NOT DISTINCT FROM s.{k}" for k in keys)
+    cols = ", ".join(f"s.{prefix}{n}" for _, n, _ in names)
+    sql = f"WITH bf AS ({BUREAU_FLAGS_SQL}) SELECT bf.*, {cols} FROM bf LEFT JOIN ({stats}) s ON {on}"
+    doubles = ["AMT_CREDIT_SUM"] + [f"{prefix}{n}" for c, n, fn in names
+                                    if fn != "sum" or c not in _BF_INTS]
+    return sql, doubles
+
+
+def _register_cat(name, keys, prefix, fns, ops):
+    sql, doubles = _cat_sql(keys, prefix, fns)
+
+    def build(t, spark):
+        return groupstats.add_category_stats(bureau_flags(t), keys, _BF_VALS, fns, "propagate", prefix)
+    query(name, ops=ops, sql=sql, doubles=doubles)(build)
+
+
+_register_cat("category_means_joinback", ["CREDIT_TYPE"], "TYPE_", ("mean",), "R3 A6 P6 J3")
+_register_cat("category_means_two_keys", ["CREDIT_ACTIVE", "CREDIT_TYPE"], "CURRENCY_TYPE_", ("mean",), "A7 J4")
+_register_cat("category_mean_var_sum", ["CREDIT_TYPE"], "TYPE_", ("mean", "var", "sum"), "A8 J3")
+
+
+# ---------------------------------------------------------------------------
+# Applicant features and group statistics (R8 subset, R10: A9/A10 + J4, A11 + J5)
+# ---------------------------------------------------------------------------
+from tabula.functions import rowwise as R  # noqa: E402
+from tabula.functions import scalars as X  # noqa: E402
+from tabula.plans import recipes  # noqa: E402
+
+
+def applicant_features(t):
+    a = analog.applicants(t)
+    a = a.withColumns({
+        "age_bucket": X.cut_right_closed(-F.col("DAYS_BIRTH") / 50, recipes.AGE_BREAKS),
+        "credit_per_person": X.ieee_divide("AMT_CREDIT", "CNT_FAM_MEMBERS"),
+        "credit_per_child": X.ieee_divide(F.col("AMT_CREDIT"), F.col("CNT_CHILDREN") + 1),
+        "PAYMENT_RATE": X.ieee_divide("AMT_ANNUITY", "AMT_CREDIT"),
+        "NEW_EXT_SOURCES_MEAN": R.row_mean(["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]),
+    })
+    return a
+
+
+APP_FEATURES_SQL = f"""
+    SELECT *, {S.cut('(-DAYS_BIRTH / 50)', recipes.AGE_BREAKS)} AS age_bucket,
+           {S.div('AMT_CREDIT', 'CNT_FAM_MEMBERS')} AS credit_per_person,
+           {S.div('AMT_CREDIT', 'CNT_CHILDREN + 1')} AS credit_per_child,
+           {S.div('AMT_ANNUITY', 'AMT_CREDIT')} AS PAYMENT_RATE,
+           (EXT_SOURCE_1 + EXT_SOURCE_2 + EXT_SOURCE_3) / 3 AS NEW_EXT_SOURCES_MEAN
+    FROM ({A['applicants']}) a"""
+
+# The ten group statistics of the recipe (output suffix -> input column).
+# The last one averages credit_per_child although it is named after the car age.
+GROUP_STAT_INPUTS = {
+    "credit": "AMT_CREDIT", "INCOME_TOTAL": "AMT_INCOME_TOTAL", "credit_per_person": "credit_per_person",
+    "credit_per_child": "credit_per_child", "PAYMENT_RATE": "PAYMENT_RATE",
+    "NEW_EXT_SOURCES_MEAN": "NEW_EXT_SOURCES_MEAN", "EXT_SOURCE_1_MEAN": "EXT_SOURCE_1",
+    "EXT_SOURCE_2_MEAN": "EXT_SOURCE_2", "EXT_SOURCE_3_MEAN": "EXT_SOURCE_3", "OWN_CAR_AGE": "credit_per_child",
+}
+# The grouping blocks (output prefix -> keys).
+GROUP_BLOCKS = {
+    "age_sex_": ["age_bucket", "CODE_GENDER"],
+    "edu_sex_": ["NAME_EDUCATION_TYPE", "CODE_GENDER"],
+    "org_sex_": ["ORGANIZATION_TYPE", "CODE_GENDER"],
+    "org_edu_": ["ORGANIZATION_TYPE", "NAME_EDUCATION_TYPE"],
+    "occ_": ["OCCUPATION_TYPE"],
+}
+VAR_BLOCKS = {"age_": ["age_bucket"], "occ_": ["OCCUPATION_TYPE"]}
+_KEYS = ["age_bucket", "CODE_GENDER", "NAME_EDUCATION_TYPE", "ORGANIZATION_TYPE", "OCCUPATION_TYPE"]
+
+
+def _group_sql(blocks, with_var):
+    joins, cols, doubles = [], [], []
+    for i, (prefix, keys) in enumerate(blocks.items()):
+        exprs = []
+        for suffix, src in GROUP_STAT_INPUTS.items():
+            exprs.append(f"{S.agg('mean', src)} AS {prefix}{suffix}")
+            cols.append(f"g{i}.{prefix}{suffix}")
+            doubles.append(prefix + suffix)
+            if with_var:
+                exprs.append(f"{S.agg('var', src)} AS {prefix}{suffix}_var")
+                cols.append(f"g{i}.{prefix}{suffix}_var")
+                doubles.append(prefix + suffix + "_var")
+        stats = f"SELECT {', '.join(keys)}, {', '.join(exprs)} FROM af GROUP BY {', '.join(keys)}"
+        on = " AND ".join(f"af.{k} IS NOT DISTINCT FROM g{i}.{k}" for k in keys)
+        joins.append(f"LEFT JOIN ({stats}) g{i} ON {on}")
+    sql = (f"WITH af AS ({APP_FEATURES_SQL}) SELECT af.SK_ID_CURR, {', '.join('af.' + k for k in _KEYS)}, "
+           f"{', '.join(cols)} FROM af {' '.join(joins)}")
+    return sql, doubles
+
+
+def _build_group(blocks, with_var):
+    def build(t, spark):
+        a = applicant_features(t)
+        for prefix, keys in blocks.items():
+            exprs = {suffix: F.col(src) for suffix, src in GROUP_STAT_INPUTS.items()}
+            a = groupstats.add_group_stats(a, keys, groupstats.mean_stats(prefix, exprs, with_var))
+        names = [f"{p}{s}{v}" for p in blocks for s in GROUP_STAT_INPUTS for v in (("", "_var") if with_var else ("",))]
+        return a.select("SK_ID_CURR", *_KEYS, *names)
+    return build
+
+
+for _name, _blocks, _var, _ops in (("group_mean_stats", GROUP_BLOCKS, False, "R10 A9 J4 N1 N4"),
+                                   ("group_mean_var_stats", VAR_BLOCKS, True, "A10 J3 N4")):
+    _sql, _doubles = _group_sql(_blocks, _var)
+    query(_name, ops=_ops, sql=_sql, doubles=_doubles)(_build_group(_blocks, _var))
+
+
+@query("group_median_lookup", ops="A11 J5",
+       sql=f"""WITH a AS ({A['applicant_base']})
+               SELECT a.SK_ID_CURR, a.ORGANIZATION_TYPE, m.NEW_INC_BY_ORG
+               FROM a LEFT JOIN (SELECT ORGANIZATION_TYPE, {S.agg('median', 'c_acctbal')} AS NEW_INC_BY_ORG
+                                 FROM a GROUP BY ORGANIZATION_TYPE) m
+                      ON a.ORGANIZATION_TYPE IS NOT DISTINCT FROM m.ORGANIZATION_TYPE""",
+       doubles=["NEW_INC_BY_ORG"])
+def group_median_lookup(t, spark):
+    a = analog.applicant_base(t)
+    return groupstats.median_lookup(a, "ORGANIZATION_TYPE", "c_acctbal", "NEW_INC_BY_ORG") \
+        .select("SK_ID_CURR", "ORGANIZATION_TYPE", "NEW_INC_BY_ORG")
