@@ -1 +1,379 @@
-"""Catalog part 3: split, blend, AUC, PCA, kNN, imputation, trainer."""
+"""Catalog part 3: split/union, entity merge, scores and blends, AUC, column statistics,
+imputation, Gram / PCA / SVD, kNN, soft-impute and the boosted-tree trainer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabula.functions import scalars as X
+from tabula.operators import blend as B
+from tabula.operators import impute, knn, metrics, reduce, selection, split, train
+from tabula.operators.bundles import rollup
+from tabula.plans import analog, recipes
+from tabula.plans import sqlkit as S
+from tabula.plans.catalog import query
+from tabula.plans.queries_stats import PREV_SQL, previous_apps, split_sql
+from tabula.sources.sinks import fill_template
+
+A = analog.SQL
+
+# ---------------------------------------------------------------------------
+# Union / split
+# ---------------------------------------------------------------------------
+_TRAIN_P = 0.8          # share of applicants that carry a label ("application_train")
+_VALID_P = 0.85         # train / validation split inside the labelled rows
+
+
+def labelled_union(t):
+    base = analog.applicant_base(t).select("SK_ID_CURR", "CODE_GENDER", "AMT_INCOME_TOTAL")
+    tagged = split.hash_split(base, "SK_ID_CURR", _TRAIN_P, labels=("train", "test"))
+    tr = tagged.where(F.col("split") == "train").join(analog.labels(t), "SK_ID_CURR", "left").drop("split")
+    te = tagged.where(F.col("split") == "test").drop("split")
+    return split.union_train_test(tr, te)
+
+
+_UNION_SQL = f"""
+    WITH a AS (SELECT SK_ID_CURR, CODE_GENDER, AMT_INCOME_TOTAL FROM ({A['applicant_base']}) x),
+         lab AS ({A['labels']})
+    SELECT a.SK_ID_CURR, a.CODE_GENDER, a.AMT_INCOME_TOTAL, lab.TARGET, 1 AS is_train
+    FROM a LEFT JOIN lab ON a.SK_ID_CURR = lab.SK_ID_CURR WHERE {split_sql('a.SK_ID_CURR', _TRAIN_P)}
+    UNION ALL
+    SELECT SK_ID_CURR, CODE_GENDER, AMT_INCOME_TOTAL, NULL AS TARGET, 0 AS is_train
+    FROM a WHERE NOT {split_sql('SK_ID_CURR', _TRAIN_P)}"""
+
+
+@query("union_split", ops="U1 U2 L2 F7", sql=_UNION_SQL, doubles=["AMT_INCOME_TOTAL"])
+def union_split(t, spark):
+    return labelled_union(t)
+
+
+@query("hash_split", ops="L2 F7",
+       sql=f"""SELECT SK_ID_CURR, CASE WHEN NOT {split_sql('SK_ID_CURR', _TRAIN_P)} THEN 'test'
+                                       WHEN {split_sql('SK_ID_CURR', _VALID_P).replace("':', '42'", "':', '7'")} THEN 'train'
+                                       ELSE 'val' END AS split
+               FROM customer c JOIN (SELECT c_custkey AS SK_ID_CURR FROM customer) k ON c.c_custkey = k.SK_ID_CURR""")
+def hash_split_q(t, spark):
+    u = labelled_union(t).select("SK_ID_CURR", "is_train")
+    u = split.hash_split(u, "SK_ID_CURR", _VALID_P, seed=7)
+    return u.select("SK_ID_CURR", F.when(F.col("is_train") == 0, F.lit("test")).otherwise(F.col("split")).alias("split"))
+
+
+# ---------------------------------------------------------------------------
+# Entity merge J1: applicant ⟕ five child roll-ups
+# ---------------------------------------------------------------------------
+def _child_rollups(t):
+    bureau = rollup(analog.bureau(t).select("SK_ID_CURR", "DAYS_CREDIT", "AMT_CREDIT_SUM"), "SK_ID_CURR",
+                    ["mean", "max"]).withColumnsRenamed({"DAYS_CREDIT_mean": "BUR_DAYS_CREDIT_mean",
+                                                         "DAYS_CREDIT_max": "BUR_DAYS_CREDIT_max",
+                                                         "AMT_CREDIT_SUM_mean": "BUR_AMT_CREDIT_SUM_mean",
+                                                         "AMT_CREDIT_SUM_max": "BUR_AMT_CREDIT_SUM_max"})
+    pos = rollup(analog.pos_cash(t).select("SK_ID_CURR", "SK_DPD"), "SK_ID_CURR", ["mean", "max", "sum"])
+    cc = rollup(analog.pos_cash(t).where(F.col("NAME_CONTRACT_STATUS") == "purchase")
+                .select("SK_ID_CURR", F.col("SK_DPD").alias("AMT_DRAWINGS")), "SK_ID_CURR", ["sum"])
+    pay = rollup(recipes.payment_rows(analog.installments(t)).select("SK_ID_CURR", "DPD", "DBD"),
+                 "SK_ID_CURR", ["mean"])
+    prev = rollup(previous_apps(t).select("SK_ID_CURR", "l_quantity", "p_size"), "SK_ID_CURR", ["mean", "max"])
+    return [bureau, cc, pay, pos, prev]
+
+
+_MERGE_SQL = f"""
+    SELECT a.SK_ID_CURR, a.CODE_GENDER, b.*, cc.*, p.*, pos.*, pr.*
+    FROM ({A['applicant_base']}) a
+    LEFT JOIN (SELECT SK_ID_CURR AS __k1, avg(DAYS_CREDIT) AS BUR_DAYS_CREDIT_mean, max(DAYS_CREDIT) AS BUR_DAYS_CREDIT_max,
+                      avg(AMT_CREDIT_SUM) AS BUR_AMT_CREDIT_SUM_mean, max(AMT_CREDIT_SUM) AS BUR_AMT_CREDIT_SUM_max
+               FROM ({A['bureau']}) x GROUP BY SK_ID_CURR) b ON a.SK_ID_CURR = b.__k1
+    LEFT JOIN (SELECT SK_ID_CURR AS __k2, sum(SK_DPD) AS AMT_DRAWINGS_sum FROM ({A['pos_cash']}) x
+               WHERE NAME_CONTRACT_STATUS = 'purchase' GROUP BY SK_ID_CURR) cc ON a.SK_ID_CURR = cc.__k2
+    LEFT JOIN (SELECT SK_ID_CURR AS __k3, {S.agg('mean', 'DPD')} AS DPD_mean, {S.agg('mean', 'DBD')} AS DBD_mean
+               FROM (SELECT SK_ID_CURR, {S.clamp0('DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT')} AS DPD,
+                            {S.clamp0('DAYS_INSTALMENT - DAYS_ENTRY_PAYMENT')} AS DBD FROM ({A['installments']}) i) x
+               GROUP BY SK_ID_CURR) p ON a.SK_ID_CURR = p.__k3
+    LEFT JOIN (SELECT SK_ID_CURR AS __k4, avg(SK_DPD) AS SK_DPD_mean, max(SK_DPD) AS SK_DPD_max, sum(SK_DPD) AS SK_DPD_sum
+               FROM ({A['pos_cash']}) x GROUP BY SK_ID_CURR) pos ON a.SK_ID_CURR = pos.__k4
+    LEFT JOIN (SELECT SK_ID_CURR AS __k5, avg(l_quantity) AS l_quantity_mean, max(l_quantity) AS l_quantity_max,
+                      avg(p_size) AS p_size_mean, max(p_size) AS p_size_max
+               FROM ({PREV_SQL}) x GROUP BY SK_ID_CURR) pr ON a.SK_ID_CURR = pr.__k5"""
+_MERGE_SQL = f"SELECT * EXCLUDE (__k1, __k2, __k3, __k4, __k5) FROM ({_MERGE_SQL}) m"
+_MERGE_DOUBLES = ["BUR_DAYS_CREDIT_mean", "BUR_AMT_CREDIT_SUM_mean", "BUR_AMT_CREDIT_SUM_max", "AMT_DRAWINGS_sum",
+                  "DPD_mean", "DBD_mean", "SK_DPD_mean", "SK_DPD_max", "SK_DPD_sum", "l_quantity_mean",
+                  "l_quantity_max", "p_size_mean"]
+
+
+@query("entity_merge", ops="J1 A1 U3", sql=_MERGE_SQL, doubles=_MERGE_DOUBLES)
+def entity_merge(t, spark):
+    from tabula.operators.joins import rollup_join
+    base = analog.applicant_base(t).select("SK_ID_CURR", "CODE_GENDER")
+    return rollup_join(base, _child_rollups(t), "SK_ID_CURR")
+
+
+# ---------------------------------------------------------------------------
+# Score tables, template fill, blends, AUC
+# ---------------------------------------------------------------------------
+def score_tables(t) -> dict:
+    a = analog.applicants(t)
+    exprs = {
+        "t1": F.col("EXT_SOURCE_1"), "t2": F.col("EXT_SOURCE_2"), "t3": F.col("EXT_SOURCE_3"),
+        "t4": X.ieee_divide("CNT_CHILDREN", "CNT_FAM_MEMBERS"),
+        "t5": F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("AMT_ANNUITY") / 100000)),
+        "t6": F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("DAYS_BIRTH") / 1000)),
+        "t7": (F.col("EXT_SOURCE_1") + F.col("EXT_SOURCE_2") + F.col("EXT_SOURCE_3")) / 3,
+    }
+    return {n: a.select("SK_ID_CURR", e.alias("TARGET")) for n, e in exprs.items()}
+
+
+SCORES_SQL = f"""
+    SELECT SK_ID_CURR, EXT_SOURCE_1 AS t1, EXT_SOURCE_2 AS t2, EXT_SOURCE_3 AS t3,
+           {S.div('CNT_CHILDREN', 'CNT_FAM_MEMBERS')} AS t4,
+           1.0 / (1.0 + exp(-AMT_ANNUITY / 100000)) AS t5, 1.0 / (1.0 + exp(DAYS_BIRTH / 1000)) AS t6,
+           (EXT_SOURCE_1 + EXT_SOURCE_2 + EXT_SOURCE_3) / 3 AS t7
+    FROM ({A['applicants']}) a"""
+# The two blend weightings of the score-mixing script.
+BLEND_80_20 = [(0.8, {"t1": 0.3, "t2": 0.3, "t3": 0.3, "t6": 0.1}), (0.2, {"t7": 0.5, "t4": 0.4, "t5": 0.1})]
+BLEND_90_10 = [(0.9, {"t1": 0.3, "t2": 0.3, "t3": 0.3, "t6": 0.1}), (0.1, {"t7": 0.5, "t4": 0.4, "t5": 0.1})]
+
+
+def _blend_sql(groups):
+    outer = " + ".join(f"{w!r} * ({' + '.join(f'{n} * {wi!r}' for n, wi in m.items())})" for w, m in groups)
+    return f"SELECT SK_ID_CURR, {outer} AS TARGET FROM ({SCORES_SQL}) s"
+
+
+for _name, _groups in (("blend_80_20", BLEND_80_20), ("blend_90_10", BLEND_90_10)):
+    def _b(t, spark, groups=_groups):
+        return B.blend(score_tables(t), "SK_ID_CURR", "TARGET", "weighted", groups)
+    query(_name, ops="S8 J6 L8 C16", sql=_blend_sql(_groups), doubles=["TARGET"])(_b)
+
+
+@query("blend_median", ops="J6 L9 C15",
+       sql=f"SELECT SK_ID_CURR, list_sort([t1, t2, t3, t4, t5, t6, t7])[4] AS TARGET FROM ({SCORES_SQL}) s "
+           "WHERE t1 IS NOT NULL AND t2 IS NOT NULL AND t3 IS NOT NULL AND t4 IS NOT NULL AND t5 IS NOT NULL "
+           "AND t6 IS NOT NULL AND t7 IS NOT NULL "
+           f"UNION ALL SELECT SK_ID_CURR, NULL FROM ({SCORES_SQL}) s WHERE t1 IS NULL OR t2 IS NULL OR t3 IS NULL "
+           "OR t4 IS NULL OR t5 IS NULL OR t6 IS NULL OR t7 IS NULL",
+       doubles=["TARGET"])
+def blend_median(t, spark):
+    return B.blend(score_tables(t), "SK_ID_CURR", "TARGET", "median")
+
+
+_NAMES = [f"t{i}" for i in range(1, 8)]
+
+
+@query("score_correlation", ops="M9 M2 J6",
+       sql=" UNION ALL ".join(
+           f"SELECT '{a}' AS col_a, '{b}' AS col_b, {S.nonfinite_null(f'corr({a}, {b})')} AS corr FROM ({SCORES_SQL}) s"
+           for i, a in enumerate(_NAMES) for b in _NAMES[i + 1:]),
+       doubles=["corr"])
+def score_correlation(t, spark):
+    return B.score_correlation(score_tables(t), "SK_ID_CURR", "TARGET")
+
+
+@query("template_scores", ops="S7 J1",
+       sql=f"""SELECT a.SK_ID_CURR::INTEGER AS SK_ID_CURR, s.t3 AS TARGET
+               FROM ({A['applicant_base']}) a LEFT JOIN ({SCORES_SQL}) s ON a.SK_ID_CURR = s.SK_ID_CURR
+               WHERE NOT {split_sql('a.SK_ID_CURR', _TRAIN_P)}""", doubles=["TARGET"])
+def template_scores(t, spark):
+    base = split.hash_split(analog.applicant_base(t), "SK_ID_CURR", _TRAIN_P, labels=("train", "test"))
+    template = base.where(F.col("split") == "test").select("SK_ID_CURR")
+    return fill_template(template, score_tables(t)["t3"])
+
+
+def _auc_sql():
+    parts = []
+    for n in _NAMES:
+        parts.append(f"""
+          SELECT '{n}' AS score_name, s.{n} AS s, l.TARGET AS y FROM ({SCORES_SQL}) s
+          JOIN ({A['labels']}) l ON s.SK_ID_CURR = l.SK_ID_CURR""")
+    long = " UNION ALL ".join(parts)
+    return f"""
+      WITH d AS ({long}),
+      c AS (SELECT score_name, s, sum((y = 1)::BIGINT) AS pos, sum((y = 0)::BIGINT) AS neg FROM d GROUP BY score_name, s),
+      r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY score_name ORDER BY s
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c)
+      SELECT score_name, sum(pos)::BIGINT AS n_pos, sum(neg)::BIGINT AS n_neg,
+             sum(pos * below + pos * neg * 0.5) / (sum(pos) * sum(neg)) AS auc
+      FROM r GROUP BY score_name"""
+
+
+@query("auc_rank", ops="L6", sql=_auc_sql(), doubles=["auc"])
+def auc_rank(t, spark):
+    lab = analog.labels(t)
+    long = None
+    for n, df in score_tables(t).items():
+        part = df.join(lab.withColumnRenamed("TARGET", "y"), "SK_ID_CURR").select(
+            F.lit(n).alias("score_name"), F.col("TARGET").alias("s"), "y")
+        long = part if long is None else long.unionByName(part)
+    return metrics.auc(long, "y", "s", by=["score_name"])
+
+
+# ---------------------------------------------------------------------------
+# Column statistics (M1-M4) on the applicant numeric table
+# ---------------------------------------------------------------------------
+NUM_COLS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS", "CNT_CHILDREN",
+            "DAYS_BIRTH", "DAYS_EMPLOYED", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "FLAG_MOBIL",
+            "FLAG_RICH", "CREDIT_TOTAL_AND_GOODS"]
+
+
+def numeric_applicants(t):
+    a = analog.applicants(t)
+    return a.select("SK_ID_CURR", *NUM_COLS[:11], F.lit(1).alias("FLAG_MOBIL"),
+                    (F.col("AMT_INCOME_TOTAL") > 9700).cast("int").alias("FLAG_RICH"),
+                    (F.col("AMT_CREDIT") + F.col("AMT_GOODS_PRICE")).alias("CREDIT_TOTAL_AND_GOODS"))
+
+
+NUMERIC_SQL = f"""
+    SELECT SK_ID_CURR, {', '.join(NUM_COLS[:11])}, 1 AS FLAG_MOBIL, (AMT_INCOME_TOTAL > 9700)::INTEGER AS FLAG_RICH,
+           AMT_CREDIT + AMT_GOODS_PRICE AS CREDIT_TOTAL_AND_GOODS
+    FROM ({A['applicants']}) a"""
+
+
+def _nzv_sql():
+    casts = ", ".join(f"{c}::DOUBLE AS {c}" for c in NUM_COLS)
+    names = ", ".join(f"('{c}')" for c in NUM_COLS)
+    return f"""
+      WITH src AS (SELECT {casts} FROM ({NUMERIC_SQL}) n),
+      u AS (UNPIVOT src ON {', '.join(NUM_COLS)} INTO NAME col VALUE v),
+      cnt AS (SELECT col, v, count(*) AS c FROM u GROUP BY col, v),
+      r AS (SELECT col, c, row_number() OVER (PARTITION BY col ORDER BY c DESC) AS rn FROM cnt),
+      agg AS (SELECT col, max(CASE WHEN rn = 1 THEN c END) AS top1, max(CASE WHEN rn = 2 THEN c END) AS top2,
+                     count(*) AS nu FROM r GROUP BY col),
+      names AS (SELECT * FROM (VALUES {names}) t(col)),
+      m AS (SELECT names.col AS "column",
+                   CASE WHEN coalesce(nu, 0) <= 1 THEN 0.0 ELSE top1::DOUBLE / top2 END AS freq_ratio,
+                   100.0 * coalesce(nu, 0) / (SELECT count(*) FROM src) AS percent_unique,
+                   (coalesce(nu, 0) <= 1)::INTEGER AS zero_var
+            FROM names LEFT JOIN agg ON names.col = agg.col)
+      SELECT *, (zero_var = 1 OR (freq_ratio > {selection.FREQ_CUT!r} AND percent_unique <= {selection.UNIQUE_CUT!r}))::INTEGER AS nzv
+      FROM m"""
+
+
+@query("nzv_columns", ops="M1 A15", sql=_nzv_sql(), doubles=["freq_ratio", "percent_unique"])
+def nzv_columns(t, spark):
+    return selection.nzv_metrics(numeric_applicants(t), NUM_COLS)
+
+
+_IMPUTED_SQL = f"""
+    SELECT SK_ID_CURR, {', '.join(f'coalesce({c}::DOUBLE, avg({c}::DOUBLE) OVER (), 0.0) AS {c}' for c in NUM_COLS)}
+    FROM ({NUMERIC_SQL}) n"""
+
+
+@query("mean_impute", ops="M3 F6 A14", sql=_IMPUTED_SQL, doubles=NUM_COLS)
+def mean_impute(t, spark):
+    return impute.mean_impute(numeric_applicants(t), NUM_COLS)
+
+
+@query("corr_matrix_long", ops="M2 M3",
+       sql=" UNION ALL ".join(
+           f"SELECT '{a}' AS col_a, '{b}' AS col_b, {S.nonfinite_null(f'corr({a}, {b})')} AS corr FROM ({_IMPUTED_SQL}) s"
+           for i, a in enumerate(NUM_COLS) for b in NUM_COLS[i + 1:]),
+       doubles=["corr"])
+def corr_matrix_long(t, spark):
+    return selection.correlation_long(impute.mean_impute(numeric_applicants(t), NUM_COLS), NUM_COLS)
+
+
+@query("corr_filter_pairwise", ops="M4 M2 P13 M8")
+def corr_filter_pairwise(t, spark):
+    imputed = impute.mean_impute(numeric_applicants(t), NUM_COLS)
+    drop = selection.correlation_filter(imputed, NUM_COLS, cutoff=0.9)
+    return spark.createDataFrame([(c,) for c in drop], "dropped_column string")
+
+
+# ---------------------------------------------------------------------------
+# Gram / PCA / SVD (M5, M6) and kNN (L1) over the embeddings table
+# ---------------------------------------------------------------------------
+def embedding_vectors(t):
+    e = t["embeddings"]
+    return e.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x"), "label")
+
+
+@query("gram_matrix_long", ops="M5 M6 core",
+       sql="""WITH u AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i
+                         FROM embeddings)
+              SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, sum(a.x * b.x) AS value
+              FROM u a JOIN u b ON a.vec_id = b.vec_id GROUP BY a.i, b.i""",
+       doubles=["value"])
+def gram_matrix_long(t, spark):
+    return reduce.gram_long(embedding_vectors(t), "x", 64)
+
+
+@query("pca_scores", ops="M5 M3")
+def pca_scores(t, spark):
+    imputed = impute.mean_impute(numeric_applicants(t), NUM_COLS)
+    cols = [c for c in NUM_COLS if c != "FLAG_MOBIL"]          # a constant column has no scale
+    return reduce.pca_scores(imputed, cols, k=5, keep=["SK_ID_CURR"])
+
+
+@query("svd_scores_uncentered", ops="M6")
+def svd_scores_uncentered(t, spark):
+    return reduce.svd_scores_array(embedding_vectors(t), "x", 64, 3, keep=["vec_id"])
+
+
+_KNN_K = 5
+_KNN_FOLDS = 5
+
+
+def _fold_sql(k):
+    return f"((('0x' || substr(md5(concat({k}::VARCHAR, ':', '7')), 1, 8))::BIGINT % {_KNN_FOLDS})::INTEGER)"
+
+
+_KNN_SQL = f"""
+    WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS x, label,
+                      {split_sql('vec_id', _VALID_P)} AS is_train, {_fold_sql('vec_id')} AS fold FROM embeddings),
+    pairs AS (SELECT q.vec_id AS qid, t.label AS label, t.vec_id AS tid, list_distance(q.x, t.x) AS d
+              FROM e q JOIN e t ON t.is_train AND (NOT q.is_train OR q.fold <> t.fold)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY qid, label ORDER BY d, tid) AS j FROM pairs)
+    SELECT qid AS vec_id, label, j::INTEGER AS j,
+           sum(d) OVER (PARTITION BY qid, label ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS dist_sum
+    FROM ranked WHERE j <= {_KNN_K}"""
+
+
+@query("knn_class_distance_sums", ops="L1 O3 L10", sql=_KNN_SQL, doubles=["dist_sum"])
+def knn_class_distance_sums(t, spark):
+    v = split.hash_split(embedding_vectors(t), "vec_id", _VALID_P, labels=("train", "test"))
+    v = v.withColumn("fold", F.when(F.col("split") == "train", split.hash_fold("vec_id", _KNN_FOLDS, seed=7))
+                     .otherwise(F.lit(-1)))
+    train_rows = v.where(F.col("split") == "train")
+    return knn.knn_distance_sums(train_rows, v, "vec_id", "x", "label", _KNN_K, fold="fold", block_rows=256)
+
+
+@query("soft_impute", ops="M7")
+def soft_impute(t, spark):
+    a = numeric_applicants(t).select("SK_ID_CURR", (F.col("AMT_INCOME_TOTAL") / 10000).alias("income"),
+                                     "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
+                                     (F.col("CNT_CHILDREN") / 10).alias("children"))
+    return impute.soft_impute(a, "SK_ID_CURR", ["income", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "children"],
+                              rank=3, lam=1.9, max_iter=30)
+
+
+# ---------------------------------------------------------------------------
+# Trainer (L3-L5, L7, O1)
+# ---------------------------------------------------------------------------
+_MODELS: dict = {}
+
+
+def training_table(t):
+    u = labelled_union(t).select("SK_ID_CURR", "TARGET", "is_train")
+    u = split.hash_split(u, "SK_ID_CURR", _VALID_P, seed=7)
+    u = u.withColumn("split", F.when(F.col("is_train") == 0, F.lit("test")).otherwise(F.col("split")))
+    feats = impute.mean_impute(numeric_applicants(t), NUM_COLS)
+    return u.join(feats, "SK_ID_CURR")
+
+
+def fitted(t, spark, key):
+    if key not in _MODELS:
+        data = training_table(t)
+        res = train.train_gbt(data.where(F.col("split") != "test"), NUM_COLS, label="TARGET", split_col="split",
+                              valid_value="val", pos_weight=None, maxIter=20, maxDepth=4, stepSize=0.1,
+                              subsamplingRate=1.0, featureSubsetStrategy="all")
+        _MODELS[key] = (res, data)
+    return _MODELS[key]
+
+
+@query("gbt_scores", ops="L3 L4 L5 S7")
+def gbt_scores(t, spark):
+    res, data = fitted(t, spark, id(t["customer"]))
+    return train.score(res, data.where(F.col("split") == "test"), "SK_ID_CURR")
+
+
+@query("importance_topk", ops="L7 O1")
+def importance_topk(t, spark):
+    res, _ = fitted(t, spark, id(t["customer"]))
+    return train.importance(res, spark, top=30)

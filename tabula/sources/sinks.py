@@ -42,15 +42,17 @@ def score_file_name(prefix: str, metric: float, digits: int = 5) -> str:
     return f"{prefix}{round(float(metric), digits)}.csv"
 
 
+def fill_template(template: DataFrame, predictions: DataFrame, key: str = "SK_ID_CURR",
+                  score: str = "TARGET") -> DataFrame:
+    """Template row set with its score column taken from ``predictions`` by key."""
+    return (template.select(key)
+            .join(predictions.select(key, F.col(score).alias("__score")), key, "left")
+            .select(F.col(key).cast("int").alias(key), F.col("__score").alias(score)))
+
+
 def write_scores(template: DataFrame, predictions: DataFrame, path: str, key: str = "SK_ID_CURR",
                  score: str = "TARGET") -> DataFrame:
-    """Fill the template's score column from ``predictions`` by key and write a CSV.
-
-    Returns the filled frame (template row set, key cast to int as in the
-    reference's output).
-    """
-    filled = (template.select(key)
-              .join(predictions.select(key, F.col(score).alias("__score")), key, "left")
-              .select(F.col(key).cast("int").alias(key), F.col("__score").alias(score)))
+    """Fill the template by key and write it as a CSV with header."""
+    filled = fill_template(template, predictions, key, score)
     filled.write.mode("overwrite").option("header", True).csv(path)
     return filled
