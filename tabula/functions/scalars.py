@@ -110,21 +110,30 @@ def days_since(c, epoch: str = "2002-01-01") -> Column:
     return F.datediff(F.to_date(col(c)), F.to_date(F.lit(epoch)))
 
 
+def _veltkamp(c: Column, bits: int) -> Column:
+    """``c`` rounded to ``bits`` significant bits by Veltkamp splitting.
+
+    hi = c*K + (c - c*K) with K = 2^(53-bits) + 1 uses only IEEE-exact
+    multiply / subtract / add, so every IEEE-754 engine (the JVM, DuckDB,
+    numpy) returns the same bits — no logarithms, powers or decimal rounding.
+    """
+    k = F.lit(float(2 ** (53 - bits) + 1))
+    return (c * k) + (c - c * k)
+
+
 def sig_round(c, bits: int = 30) -> Column:
     """Round a double to ``bits`` significant binary digits (~9 decimal digits).
 
     Makes outputs engine-independent despite different summation orders.
     Binary (not decimal) rounding: decimal-valued data such as money amounts
     often sits exactly on a decimal rounding tie, never on a binary one.
-    Scaling by a power of two is exact, so both engines produce the same
-    bits.  Magnitudes below 1e-9 become 0 and -0.0 becomes 0.0.
+    Magnitudes below 1e-9 become 0 and -0.0 becomes 0.0.
     """
     c = dbl(c)
-    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(c))) - F.lit(bits - 1))
-    return (F.when(c.isNull(), F.lit(None).cast("double"))
-            .when(is_non_finite(c), c)
-            .when(F.abs(c) < F.lit(1e-9), F.lit(0.0))
-            .otherwise(F.round(c / scale, 0) * scale + F.lit(0.0)))
+    # null -> null and NaN -> NaN fall out of the arithmetic; +-Inf is kept by the guard
+    return (F.when(F.abs(c) < F.lit(1e-9), F.lit(0.0))
+            .when(F.abs(c) == F.lit(INF), c)
+            .otherwise(_veltkamp(c, bits) + F.lit(0.0)))
 
 
 def float_key(c, bits: int = 36) -> Column:
@@ -132,10 +141,9 @@ def float_key(c, bits: int = 36) -> Column:
 
     Distinct counts over *computed* doubles (e.g. a variance from a nested
     roll-up) would otherwise depend on the merge order of partial aggregates:
-    equal value sets can give doubles that differ in the last bits.  Zero,
-    null and non-finite values are kept as they are.
+    equal value sets can give doubles that differ in the last bits.  Null and
+    non-finite values are kept; -0.0 becomes 0.0.
     """
     c = dbl(c)
-    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(c))) - F.lit(bits - 1))
-    return (F.when(c.isNull() | is_non_finite(c) | (c == 0), c + F.lit(0.0))
-            .otherwise(F.round(c / scale, 0) * scale))
+    # null -> null and NaN -> NaN fall out of the arithmetic; only +-Inf needs a guard
+    return F.when(F.abs(c) == F.lit(INF), c).otherwise(_veltkamp(c, bits) + F.lit(0.0))

@@ -6,16 +6,18 @@
 * all value aggregates (mean, var, min, max, sum, median, moments) run in ONE
   hash aggregation with partial aggregation before the shuffle on the key;
 * ``n_distinct`` is split by group size, measured by that same aggregation
-  (``count(1)`` per key, persisted because it is the output anyway):
-  - groups up to ``hot_rows`` rows: ``size(collect_set(c))`` — de-duplicated
-    map-side, so each merged set is bounded by ``hot_rows`` values;
+  (``count(1)`` per key; the result is persisted because it is the output):
+  - groups up to ``hot_rows`` rows: ``size(collect_set(c))`` in a second
+    aggregation — de-duplicated map-side, so each merged set is bounded by
+    ``hot_rows`` values (kept apart from the value aggregation because an
+    object aggregate would switch that one to the non-codegen path);
   - hot groups (a key may hold a third of all rows): a narrow long form
     (key, column index, value) is de-duplicated with a shuffle on all three,
     so the hot key is spread over every reducer by value, then counted per
     (key, column) with partial aggregation and pivoted back.
   Catalyst's own multi-distinct rewrite (Expand of the wide row once per
   distinct column) was ~4x slower than either path here;
-* the results are joined on the key; all sides are hash-partitioned on it.
+* the two results are joined on the key.
 
 ``nested_rollup`` rolls a grandchild up to the child, joins it to the child
 and rolls the child up to the parent, giving ``<col>_<f1>_<f2>`` names.
@@ -74,35 +76,44 @@ def _melted_distinct(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nu
     return wide.select(*keys, *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"__nd{i}") for i in range(len(cols))])
 
 
-def _set_distinct(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nulls: str) -> DataFrame:
+def _set_exprs(df: DataFrame, cols: Sequence[str], nulls: str, suffix: str = "_n_distinct"):
     """Distinct counts via map-side de-duplicated sets; only for groups of bounded size."""
     exprs = []
-    for i, c in enumerate(cols):
+    for c in cols:
         n = F.size(F.collect_set(_value_key(df, c)))
         if nulls == "propagate":
             n = n + F.max(F.col(c).isNull().cast("int"))
-        exprs.append(n.alias(f"__nd{i}"))
-    return df.groupBy(*keys).agg(*exprs)
+        exprs.append(n.cast("long").alias(c + suffix))
+    return exprs
+
+
+def hot_keys(sizes: DataFrame, keys: Sequence[str], rows_col: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys whose group has more than ``hot_rows`` rows, as a measured broadcastable table, or None.
+
+    ``sizes`` is a per-key table with a row count (the value aggregation
+    already has it).  There are at most rows / hot_rows hot keys; the table
+    is broadcast only after its size is checked.
+    """
+    hot, _ = checked_broadcast(sizes.where(F.col(rows_col) > hot_rows).select(*keys))
+    return hot if hot.take(1) else None
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nulls: str = "propagate",
-                    hot_keys: DataFrame | None = None, suffix: str = "_n_distinct") -> DataFrame:
+                    hot: DataFrame | None = None, suffix: str = "_n_distinct") -> DataFrame:
     """Exact per-group distinct counts of many columns.
 
-    ``hot_keys`` (a small key table) selects the groups that take the
-    skew-safe melted path; all other groups use bounded sets.  With
+    ``hot`` (a small key table) selects the groups that take the skew-safe
+    melted path; all other groups use bounded sets.  With
     ``nulls='propagate'`` a null counts as one more distinct value (R's
-    ``n_distinct`` without ``na.rm``).  Numeric values are compared as
-    doubles (exact for integers below 2^53), others as strings.
+    ``n_distinct`` without ``na.rm``).
     """
     keys = list(keys)
-    if hot_keys is None:
-        parts = _set_distinct(df, keys, cols, nulls)
-    else:
-        normal = df.join(hot_keys, keys, "left_anti")
-        hot = df.join(hot_keys, keys, "left_semi")
-        parts = _set_distinct(normal, keys, cols, nulls).unionByName(_melted_distinct(hot, keys, cols, nulls))
-    return parts.select(*keys, *[F.col(f"__nd{i}").cast("long").alias(c + suffix) for i, c in enumerate(cols)])
+    if hot is None:
+        return df.groupBy(*keys).agg(*_set_exprs(df, cols, nulls, suffix))
+    normal = df.join(hot, keys, "left_anti").groupBy(*keys).agg(*_set_exprs(df, cols, nulls, suffix))
+    melted = _melted_distinct(df.join(hot, keys, "left_semi"), keys, cols, nulls)
+    melted = melted.select(*keys, *[F.col(f"__nd{i}").cast("long").alias(c + suffix) for i, c in enumerate(cols)])
+    return normal.unionByName(melted)
 
 
 def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: str = "propagate",
@@ -113,15 +124,19 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
     skip = set(keys) | set(exclude)
     cols = [c for c in (cols if cols is not None else df.columns) if c not in skip]
     value_fns = [f for f in fns if f != "n_distinct"]
+    value_exprs = bundle_exprs(cols, value_fns, nulls, prune)
     nd_cols = [c for c in cols if "n_distinct" in fns and not _is_pruned(c, "n_distinct", prune)]
     if not nd_cols:
-        return df.groupBy(*keys).agg(*bundle_exprs(cols, value_fns, nulls, prune))
-    main = df.groupBy(*keys).agg(*bundle_exprs(cols, value_fns, nulls, prune),
-                                 F.count(F.lit(1)).alias("__rows")).persist(StorageLevel.MEMORY_AND_DISK)
-    hot, _ = checked_broadcast(main.where(F.col("__rows") > hot_rows).select(*keys))
-    hot_keys = hot if hot.take(1) else None
-    out = main.drop("__rows").join(distinct_counts(df, keys, nd_cols, nulls, hot_keys), keys, "left")
-    # restore the bundle's column order: per column, functions in bundle order
+        return df.groupBy(*keys).agg(*value_exprs)
+    # the input feeds two aggregations: keep it (memory, spilling to disk; lost
+    # blocks are recomputed from lineage) instead of recomputing its upstream
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # value aggregates (codegen'd hash aggregation) + the group size, persisted: it is the output
+    main = df.groupBy(*keys).agg(*value_exprs, F.count(F.lit(1)).alias("__rows")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    hot = hot_keys(main, keys, "__rows", hot_rows)
+    out = main.drop("__rows").join(distinct_counts(df, keys, nd_cols, nulls, hot), keys, "left")
+    # the bundle's column order: per column, functions in bundle order
     order = list(keys) + [f"{c}_{fn}" for c in cols for fn in fns
                           if not _is_pruned(c, fn, prune) and (fn != "n_distinct" or c in nd_cols)]
     return out.select(*order)

@@ -33,18 +33,20 @@ def cut(x: str, breaks: Sequence[float]) -> str:
     return f"(CASE {arms} END)::INTEGER"
 
 
+def veltkamp(x: str, bits: int) -> str:
+    k = float(2 ** (53 - bits) + 1)
+    return f"(({x}) * {k!r} + (({x}) - ({x}) * {k!r}))"
+
+
 def sig(x: str, bits: int = 30) -> str:
     """Keep ``bits`` significant binary digits (same definition as ``sig_round``)."""
-    scale = f"pow(2.0, floor(log2(abs({x}))) - {bits - 1})"
     return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN isnan({x}) OR isinf({x}) THEN {x} "
-            f"WHEN abs({x}) < 1e-9 THEN 0.0 ELSE round({x} / {scale}, 0) * {scale} + 0.0 END)")
+            f"WHEN abs({x}) < 1e-9 THEN 0.0 ELSE {veltkamp(x, bits)} + 0.0 END)")
 
 
 def fkey(x: str, bits: int = 36) -> str:
     """Distinctness key for doubles (same definition as ``float_key``)."""
-    scale = f"pow(2.0, floor(log2(abs({x}))) - {bits - 1})"
-    return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) OR {x} = 0 THEN {x} + 0.0 "
-            f"ELSE round({x} / {scale}, 0) * {scale} END)")
+    return f"(CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) THEN {x} ELSE {veltkamp(x, bits)} + 0.0 END)"
 
 
 def stable(inner: str, double_cols: Sequence[str]) -> str:

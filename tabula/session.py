@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     # Wide bundles produce big generated methods; keep codegen but allow
     # the fallback instead of failing the query.
     "spark.sql.codegen.fallback": "true",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; a wider
+    # whole-stage method would run interpreted.  Fall back to per-operator
+    # codegen instead (measured ~2x faster on the 160-aggregate roll-ups).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
