@@ -1,7 +1,7 @@
 """Column expressions: scalars, row-wise statistics, aggregate bundles, selectors."""
 
 from tabula.functions.scalars import (  # noqa: F401
-    clamp0, cut_labels, cut_right_closed, days_since, flag, ieee_divide, is_non_finite,
+    clamp0, cut_labels, cut_right_closed, days_since, flag, float_key, ieee_divide, is_non_finite,
     non_finite_to_null, null_if, power, safe_log1p, safe_sqrt, sig_round,
 )
 from tabula.functions.rowwise import (  # noqa: F401
