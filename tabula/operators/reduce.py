@@ -35,16 +35,18 @@ def _sign_fix(v: np.ndarray) -> np.ndarray:
 
 
 def _project(df: DataFrame, vec, basis: np.ndarray, prefix: str, keep: Sequence[str]) -> DataFrame:
-    """Scores = x · basis as named columns, one projection (basis is p x k, small)."""
+    """Scores = x · basis as named columns in one projection (basis is p x k, small).
+
+    Each score is ``aggregate(zip_with(x, literal basis column))``: a flat
+    expression whatever p is (a nested sum of p terms would overflow the
+    analyzer for wide tables).
+    """
     p, k = basis.shape
-    x = [F.element_at(vec, i + 1) for i in range(p)]
     scores = []
     for j in range(k):
-        expr = None
-        for i in range(p):
-            term = x[i] * F.lit(float(basis[i, j]))
-            expr = term if expr is None else expr + term
-        scores.append(expr.alias(f"{prefix}{j + 1}"))
+        b = F.array(*[F.lit(float(v)) for v in basis[:, j]])
+        prod = F.zip_with(vec, b, lambda x, w: x * w)
+        scores.append(F.aggregate(prod, F.lit(0.0), lambda acc, y: acc + y).alias(f"{prefix}{j + 1}"))
     return df.select(*keep, *scores)
 
 

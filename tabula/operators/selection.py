@@ -102,9 +102,24 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return stacked.withColumn("corr", F.when(F.col("corr").isNaN(), F.lit(None)).otherwise(F.col("corr")))
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """p x p matrix on the driver (bounded by the column count); NA -> 0, unit diagonal."""
+def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: int = 40) -> np.ndarray:
+    """p x p matrix on the driver (bounded by the column count); NA -> 0, unit diagonal.
+
+    Up to ``wide`` columns: one aggregation of pairwise moments.  Wider:
+    Spark ML ``Correlation.corr`` (a single tree-aggregated Gram pass over a
+    vector column), since p² / 2 separate aggregates would not plan well.
+    Nulls must be imputed first in the wide path.
+    """
     cols = list(cols)
+    if len(cols) > wide:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="error").transform(
+            df.select(*[F.col(c).cast("double") for c in cols])).select("__v")
+        m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+        m = np.where(np.isnan(m), 0.0, m)
+        np.fill_diagonal(m, 1.0)
+        return m
     idx = {c: i for i, c in enumerate(cols)}
     m = np.eye(len(cols))
     for r in correlation_long(df, cols).collect():

@@ -377,3 +377,12 @@ def gbt_scores(t, spark):
 def importance_topk(t, spark):
     res, _ = fitted(t, spark, id(t["customer"]))
     return train.importance(res, spark, top=30)
+
+
+# ---------------------------------------------------------------------------
+# End-to-end feature pipeline R1-R11 (+ S4/S5): rows-only, checked by tests
+# ---------------------------------------------------------------------------
+@query("feature_table_pipeline", ops="R1 R2 R3 R4 R5 R6 R7 R8 R9 R10 R11 S4 S5 U1 J1 E2 M1 M3 M4 M5")
+def feature_table_pipeline(t, spark):
+    from tabula.plans.pipeline import build_feature_table
+    return build_feature_table(spark, t)
