@@ -10,7 +10,6 @@ without SQL is checked rows-only by the driver and by invariant tests here.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,24 +19,7 @@ from tabula.plans import sqlkit
 from tabula.sources.tables import load_tables
 
 
-@dataclass
-class Query:
-    name: str
-    build: Callable[[dict, SparkSession], DataFrame]
-    sql: str | None = None
-    doubles: list[str] = field(default_factory=list)
-    ops: str = ""
-
-
-CATALOG: dict[str, Query] = {}
-
-
-def query(name: str, ops: str = "", sql: str | None = None, doubles: list[str] | None = None):
-    """Decorator registering ``fn(t, spark) -> DataFrame`` where ``t`` is the dict of tables."""
-    def deco(fn):
-        CATALOG[name] = Query(name, fn, sql, list(doubles or []), ops)
-        return fn
-    return deco
+from tabula.plans.registry import CATALOG, Query, query  # noqa: F401
 
 
 def stable(df: DataFrame) -> DataFrame:
@@ -58,11 +40,7 @@ def oracle(name: str) -> str | None:
     return None if q.sql is None else sqlkit.stable(q.sql, q.doubles)
 
 
-def _register_all() -> None:
-    # Importing the query modules fills CATALOG.
-    from tabula.plans import queries_core  # noqa: F401
-    from tabula.plans import queries_stats  # noqa: F401
-    from tabula.plans import queries_model  # noqa: F401
-
-
-_register_all()
+# Importing the query modules fills CATALOG.
+from tabula.plans import queries_core  # noqa: E402,F401
+from tabula.plans import queries_stats  # noqa: E402,F401
+from tabula.plans import queries_model  # noqa: E402,F401

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabula.operators.bundles import rollup
 from tabula.plans import analog, recipes
 from tabula.plans import sqlkit as S
-from tabula.plans.catalog import query
+from tabula.plans.registry import query
 
 A = analog.SQL
 

@@ -11,7 +11,7 @@ from tabula.operators import impute, knn, metrics, reduce, selection, split, tra
 from tabula.operators.bundles import rollup
 from tabula.plans import analog, recipes
 from tabula.plans import sqlkit as S
-from tabula.plans.catalog import query
+from tabula.plans.registry import query
 from tabula.plans.queries_stats import PREV_SQL, previous_apps, split_sql
 from tabula.sources.sinks import fill_template
 

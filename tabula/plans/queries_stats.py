@@ -12,7 +12,7 @@ from tabula.operators.encode import apply_dummies, fit_dummies, ints_as_category
 from tabula.operators.split import hash_split
 from tabula.plans import analog
 from tabula.plans import sqlkit as S
-from tabula.plans.catalog import query
+from tabula.plans.registry import query
 
 A = analog.SQL
 SPLIT_SQL = "(('0x' || substr(md5(concat({k}::VARCHAR, ':', '42')), 1, 8))::BIGINT < {thr})"
