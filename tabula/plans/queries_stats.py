@@ -334,3 +334,33 @@ def group_median_lookup(t, spark):
     a = analog.applicant_base(t)
     return groupstats.median_lookup(a, "ORGANIZATION_TYPE", "c_acctbal", "NEW_INC_BY_ORG") \
         .select("SK_ID_CURR", "ORGANIZATION_TYPE", "NEW_INC_BY_ORG")
+
+
+# ---------------------------------------------------------------------------
+# Bundle outputs pruned by column pattern (never computed)
+# ---------------------------------------------------------------------------
+_PRUNE = {"^CREDIT_(ACTIVE|TYPE)$": ["skewness", "kurtosis", "median"], "^DAYS_": ["n_distinct"]}
+
+
+def _pruned_sql():
+    import re
+    fns = BUNDLES["nine"]
+    keep = [(c, f) for c in _B_COLS for f in fns
+            if not any(re.search(p, c) and f in fs for p, fs in _PRUNE.items())]
+    src = S.with_group_means(f"SELECT * EXCLUDE (SK_ID_BUREAU) FROM ({BUREAU_ENC_SQL}) b", ["SK_ID_CURR"], _B_COLS)
+    exprs = []
+    for c, f in keep:
+        e = S.agg(f, S.q(c), "skip", S.mean_col(c), integer=c in _B_INTS)
+        if f == "sum" and c in _B_INTS:
+            e = f"({e})::BIGINT"
+        exprs.append(f"{e} AS {S.q(c + '_' + f)}")
+    doubles = [f"{c}_{f}" for c, f in keep if f in S.FLOAT_FNS or (f in ("min", "max", "sum") and c not in _B_INTS)]
+    return f"SELECT SK_ID_CURR, {', '.join(exprs)} FROM ({src}) s GROUP BY SK_ID_CURR", doubles
+
+
+_PR_SQL, _PR_DOUBLES = _pruned_sql()
+
+
+@query("bundle_pruned", ops="A13 A5", sql=_PR_SQL, doubles=_PR_DOUBLES)
+def bundle_pruned(t, spark):
+    return rollup(bureau_encoded(t).drop("SK_ID_BUREAU"), "SK_ID_CURR", "nine", "skip", prune=_PRUNE)
