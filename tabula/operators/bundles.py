@@ -17,7 +17,12 @@
     (key, column) with partial aggregation and pivoted back.
   Catalyst's own multi-distinct rewrite (Expand of the wide row once per
   distinct column) was ~4x slower than either path here;
-* the two results are joined on the key.
+* the two results are joined on the key;
+* ``median`` (Spark's ``percentile``, a value map per group) is bounded the
+  same way: when a bundle has a median, a count-per-key pass finds the hot
+  keys first; their groups get ``quantile.exact_median`` (iterative
+  quantile-bucket narrowing, distributed) and are unioned with the normal
+  groups.
 
 ``nested_rollup`` rolls a grandchild up to the child, joins it to the child
 and rolls the child up to the parent, giving ``<col>_<f1>_<f2>`` names.
@@ -35,6 +40,7 @@ from pyspark.sql import types as T
 from tabula.functions.aggregates import BUNDLES, agg_expr, bundle_exprs
 from tabula.functions.scalars import float_key
 from tabula.operators.joins import checked_broadcast
+from tabula.operators.quantile import exact_median
 
 
 def _keys(keys) -> list[str]:
@@ -116,13 +122,49 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nul
     return normal.unionByName(melted)
 
 
+def _order(keys, cols, fns, prune, nd_cols) -> list[str]:
+    """The bundle's column order: per column, functions in bundle order."""
+    return list(keys) + [f"{c}_{fn}" for c in cols for fn in fns
+                         if not _is_pruned(c, fn, prune) and (fn != "n_distinct" or c in nd_cols)]
+
+
+def _hot_rollup(heavy: DataFrame, keys, fns, nulls, cols, prune) -> DataFrame:
+    """Roll-up of the hot groups only: exact distributed medians, melted distinct counts."""
+    rest = [f for f in fns if f != "median"]
+    out = rollup(heavy, keys, rest, nulls, cols, prune=prune, hot_rows=0, _sized=True) if rest else \
+        heavy.select(*keys).distinct()
+    med_cols = [c for c in cols if not _is_pruned(c, "median", prune)]
+    if med_cols:
+        flags = heavy.groupBy(*keys).agg(*[F.max(F.col(c).isNull().cast("int")).alias(f"__null_{c}")
+                                           for c in med_cols])
+        out = out.join(flags, keys, "left")
+        for c in med_cols:
+            out = out.join(exact_median(heavy, keys, c, f"{c}_median"), keys, "left")
+            if nulls == "propagate":       # a group containing a null has a null median
+                out = out.withColumn(f"{c}_median", F.when(F.col(f"__null_{c}") == 0, F.col(f"{c}_median")))
+    return out
+
+
 def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: str = "propagate",
            cols: Sequence[str] | None = None, exclude: Sequence[str] = (),
-           prune: Mapping[str, Sequence[str]] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+           prune: Mapping[str, Sequence[str]] | None = None, hot_rows: int = HOT_ROWS,
+           _sized: bool = False) -> DataFrame:
     keys = _keys(keys)
     fns = BUNDLES[fns] if isinstance(fns, str) else list(fns)
     skip = set(keys) | set(exclude)
     cols = [c for c in (cols if cols is not None else df.columns) if c not in skip]
+    nd_all = [c for c in cols if "n_distinct" in fns and not _is_pruned(c, "n_distinct", prune)]
+    if "median" in fns and not _sized:
+        # Spark's median keeps a value map per group: hot groups are measured first
+        # (one count per key) and get the exact distributed median instead
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        hot = hot_keys(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")), keys, "__rows", hot_rows)
+        if hot is not None:
+            normal = rollup(df.join(hot, keys, "left_anti"), keys, fns, nulls, cols, prune=prune,
+                            hot_rows=hot_rows, _sized=True)
+            heavy = _hot_rollup(df.join(hot, keys, "left_semi"), keys, fns, nulls, cols, prune)
+            order = _order(keys, cols, fns, prune, nd_all)
+            return normal.select(*order).unionByName(heavy.select(*order))
     value_fns = [f for f in fns if f != "n_distinct"]
     value_exprs = bundle_exprs(cols, value_fns, nulls, prune)
     nd_cols = [c for c in cols if "n_distinct" in fns and not _is_pruned(c, "n_distinct", prune)]
@@ -136,10 +178,7 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
         .persist(StorageLevel.MEMORY_AND_DISK)
     hot = hot_keys(main, keys, "__rows", hot_rows)
     out = main.drop("__rows").join(distinct_counts(df, keys, nd_cols, nulls, hot), keys, "left")
-    # the bundle's column order: per column, functions in bundle order
-    order = list(keys) + [f"{c}_{fn}" for c in cols for fn in fns
-                          if not _is_pruned(c, fn, prune) and (fn != "n_distinct" or c in nd_cols)]
-    return out.select(*order)
+    return out.select(*_order(keys, cols, fns, prune, nd_cols))
 
 
 def nested_rollup(grandchild: DataFrame, child: DataFrame, child_key: str, parent_key: str,

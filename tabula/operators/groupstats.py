@@ -74,7 +74,25 @@ def median_lookup(df: DataFrame, key: str, value: str, out: str, nulls: str = "p
     """Per-category median joined back as a new column (A11 + J5 ``recode``).
 
     The lookup table has one row per category; its size is measured before
-    it is broadcast (``left_join_null_safe``).
+    it is broadcast (``left_join_null_safe``).  Categories above ``HOT_ROWS``
+    rows get ``quantile.exact_median`` instead of Spark's per-group value map.
+    Null keys are kept as a group but never treated as hot (anti/semi joins
+    do not match null keys), so they stay on the built-in path.
     """
-    med = df.groupBy(key).agg(agg_expr("median", value, nulls).alias(out))
+    from tabula.operators.bundles import HOT_ROWS, hot_keys
+    from tabula.operators.quantile import exact_median
+
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = hot_keys(sizes, [key], "__rows", HOT_ROWS)
+    if hot is None:
+        med = df.groupBy(key).agg(agg_expr("median", value, nulls).alias(out))
+    else:
+        # categories are few but large: those above HOT_ROWS get the exact distributed median
+        normal = df.join(hot, [key], "left_anti").groupBy(key).agg(agg_expr("median", value, nulls).alias(out))
+        heavy = df.join(hot, [key], "left_semi")
+        m = exact_median(heavy, [key], value, out)
+        if nulls == "propagate":
+            flags = heavy.groupBy(key).agg(F.max(F.col(value).isNull().cast("int")).alias("__null"))
+            m = flags.join(m, [key], "left").select(key, F.when(F.col("__null") == 0, F.col(out)).alias(out))
+        med = normal.unionByName(m)
     return left_join_null_safe(df, med, [key])

@@ -219,3 +219,28 @@ def test_blend_is_key_aligned(spark):
     assert {r["id"]: r["TARGET"] for r in w.collect()} == pytest.approx({1: 0.6, 2: 0.45, 3: 0.3})
     m = blend.blend({"a": a, "b": b, "c": c.repartition(3)}, "id", "TARGET", how="median")
     assert {r["id"]: r["TARGET"] for r in m.collect()} == pytest.approx({1: 0.3, 2: 0.4, 3: 0.6})
+
+
+@pytest.mark.parametrize("nulls", ["skip", "propagate"])
+def test_rollup_median_hot_path_matches_normal_path(spark, nulls):
+    rng = np.random.default_rng(2)
+    rows = [(1, float(v)) for v in rng.normal(size=301).round(1)] + [(1, None)]
+    rows += [(2, float(v)) for v in rng.integers(0, 4, 200)] + [(3, 5.0), (3, 7.0)]
+    df = spark.createDataFrame(rows, "k long, x double")
+    fns = ["median", "mean", "n_distinct"]
+    normal = {r["k"]: r.asDict() for r in bundles.rollup(df, "k", fns, nulls).collect()}
+    hot = {r["k"]: r.asDict() for r in bundles.rollup(df, "k", fns, nulls, hot_rows=10).collect()}
+    assert normal.keys() == hot.keys()
+    for k in normal:
+        for c in ("x_median", "x_mean", "x_n_distinct"):
+            a, b = normal[k][c], hot[k][c]
+            assert (a is None and b is None) or a == pytest.approx(b), (k, c, a, b)
+
+
+def test_median_lookup_hot_categories(spark, monkeypatch):
+    rows = [("a", float(i)) for i in range(101)] + [("b", 1.0), ("b", 3.0), (None, 4.0), ("c", None), ("c", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    normal = {r["k"]: r["m"] for r in groupstats.median_lookup(df, "k", "v", "m").collect()}
+    monkeypatch.setattr(bundles, "HOT_ROWS", 1)
+    hot = {r["k"]: r["m"] for r in groupstats.median_lookup(df, "k", "v", "m").collect()}
+    assert normal == hot == {"a": 50.0, "b": 2.0, None: 4.0, "c": None}
