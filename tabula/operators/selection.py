@@ -80,7 +80,7 @@ def drop_nzv(df: DataFrame, cols: Sequence[str] | None = None, **kw) -> DataFram
     return df.drop(*drop) if drop else df
 
 
-def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def correlation_long(df: DataFrame, cols: Sequence[str], complete: bool = False) -> DataFrame:
     """Pearson correlation of every column pair (a < b in list order) in ONE aggregation.
 
     ``corr`` is a combinable central-moment aggregate, so the pass is a
@@ -89,6 +89,12 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if complete:
+        # no nulls (e.g. after imputation): one tree-aggregated Gram pass (Spark ML),
+        # p x p to the driver, returned as a small long table
+        m = _ml_correlation(df, cols)
+        rows = [(cols[i], cols[j], None if np.isnan(m[i, j]) else float(m[i, j])) for i, j in pairs]
+        return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
     def safe_corr(a, b):
         # corr() itself raises under ANSI mode for a constant column; build it from
@@ -102,6 +108,15 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return stacked.withColumn("corr", F.when(F.col("corr").isNaN(), F.lit(None)).otherwise(F.col("corr")))
 
 
+def _ml_correlation(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    """Pearson matrix of null-free columns via Spark ML (one distributed pass)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="error").transform(
+        df.select(*[F.col(c).cast("double") for c in cols])).select("__v")
+    return Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: int = 40) -> np.ndarray:
     """p x p matrix on the driver (bounded by the column count); NA -> 0, unit diagonal.
 
@@ -112,11 +127,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: int = 40) -> np
     """
     cols = list(cols)
     if len(cols) > wide:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="error").transform(
-            df.select(*[F.col(c).cast("double") for c in cols])).select("__v")
-        m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+        m = _ml_correlation(df, cols)
         m = np.where(np.isnan(m), 0.0, m)
         np.fill_diagonal(m, 1.0)
         return m

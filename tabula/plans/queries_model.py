@@ -266,7 +266,7 @@ def mean_impute(t, spark):
            for i, a in enumerate(NUM_COLS) for b in NUM_COLS[i + 1:]),
        doubles=["corr"])
 def corr_matrix_long(t, spark):
-    return selection.correlation_long(impute.mean_impute(numeric_applicants(t), NUM_COLS), NUM_COLS)
+    return selection.correlation_long(impute.mean_impute(numeric_applicants(t), NUM_COLS), NUM_COLS, complete=True)
 
 
 @query("corr_filter_pairwise", ops="M4 M2 P13 M8")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tabula.functions import columns as C
@@ -308,7 +309,9 @@ def _group_sql(blocks, with_var):
 
 def _build_group(blocks, with_var):
     def build(t, spark):
-        a = applicant_features(t)
+        # read by every statistics table and by the joins: keep it instead of
+        # recomputing the orders roll-up once per block
+        a = applicant_features(t).persist(StorageLevel.MEMORY_AND_DISK)
         for prefix, keys in blocks.items():
             exprs = {suffix: F.col(src) for suffix, src in GROUP_STAT_INPUTS.items()}
             a = groupstats.add_group_stats(a, keys, groupstats.mean_stats(prefix, exprs, with_var))
