@@ -101,16 +101,25 @@ def _safe(level: str) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", str(level)).strip("_") or "blank"
 
 
-def fit_dummies(df: DataFrame, cols: Sequence[str], max_levels: int | None = None) -> dict[str, list[str]]:
+DUMMY_LEVEL_CAP = 10_000
+
+
+def fit_dummies(df: DataFrame, cols: Sequence[str], max_levels: int | None = None,
+                cap: int = DUMMY_LEVEL_CAP) -> dict[str, list[str]]:
     """Sorted levels per column; with ``max_levels`` wider columns are left out (E2 rule).
 
-    Level counts are measured first, so only columns within the bound have
-    their values collected (at most ``max_levels`` each).
+    Level counts are always measured first, so only columns within the bound
+    have their values collected: at most ``max_levels`` each, and never more
+    than ``cap`` (a column with more levels cannot become dummy columns; it is
+    refused instead of being pulled through the driver).
     """
     cols = list(cols)
+    counts = level_counts(df, cols)
     if max_levels is not None:
-        counts = level_counts(df, cols)
         cols = [c for c in cols if counts[c] <= max_levels]
+    too_wide = [c for c in cols if counts[c] > cap]
+    if too_wide:
+        raise ValueError(f"columns {too_wide} have more than {cap} levels; use label_encode instead")
     if not cols:
         return {}
     levels: dict[str, list[str]] = {c: [] for c in cols}
