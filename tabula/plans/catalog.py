@@ -30,6 +30,10 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     q = CATALOG[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # operators persist intermediates they read twice; drop those of earlier
+        # queries (already consumed) so a long session does not accumulate them.
+        # A dropped cache only means recomputation from lineage, never other results.
+        spark.catalog.clearCache()
         return stable(q.build(load_tables(spark, sf_dir), spark))
     run.__name__ = name
     return run
