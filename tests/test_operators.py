@@ -244,3 +244,24 @@ def test_median_lookup_hot_categories(spark, monkeypatch):
     monkeypatch.setattr(bundles, "HOT_ROWS", 1)
     hot = {r["k"]: r["m"] for r in groupstats.median_lookup(df, "k", "v", "m").collect()}
     assert normal == hot == {"a": 50.0, "b": 2.0, None: 4.0, "c": None}
+
+
+@pytest.mark.parametrize("categorical_max", [None, 4])
+def test_gbt_trains_scores_and_ranks_features(spark, categorical_max):
+    from tabula.operators import train
+    rng = np.random.default_rng(4)
+    n = 400
+    cat = rng.integers(0, 3, n)
+    x = rng.normal(size=n)
+    y = ((x + (cat == 2) * 1.5 + rng.normal(scale=0.3, size=n)) > 0.7).astype(int)
+    pdf = pd.DataFrame({"id": range(n), "x": x, "cat": cat.astype(float), "noise": rng.normal(size=n), "y": y,
+                        "split": np.where(np.arange(n) % 5 == 0, "val", "train")})
+    df = spark.createDataFrame(pdf)
+    res = train.train_gbt(df, ["x", "cat", "noise"], label="y", split_col="split", maxIter=10, maxDepth=3,
+                          stepSize=0.3, subsamplingRate=1.0, featureSubsetStrategy="all", minInfoGain=0.0,
+                          categorical_max=categorical_max)
+    assert res.valid_auc > 0.8
+    scores = train.score(res, df, "id").toPandas()
+    assert len(scores) == n and scores["TARGET"].between(0, 1).all()
+    imp = train.importance(res, spark).toPandas()
+    assert imp.iloc[0]["feature"] == "x"
