@@ -349,6 +349,11 @@ def soft_impute(t, spark):
 _MODELS: dict = {}
 
 
+def _data_key(t) -> tuple:
+    """The model memo is keyed by the input files, so a model is reused only for the same data."""
+    return tuple(sorted(f for n in ("customer", "orders", "lineitem") for f in t[n].inputFiles()))
+
+
 def training_table(t):
     u = labelled_union(t).select("SK_ID_CURR", "TARGET", "is_train")
     u = split.hash_split(u, "SK_ID_CURR", _VALID_P, seed=7)
@@ -369,13 +374,13 @@ def fitted(t, spark, key):
 
 @query("gbt_scores", ops="L3 L4 L5 S7")
 def gbt_scores(t, spark):
-    res, data = fitted(t, spark, id(t["customer"]))
+    res, data = fitted(t, spark, _data_key(t))
     return train.score(res, data.where(F.col("split") == "test"), "SK_ID_CURR")
 
 
 @query("importance_topk", ops="L7 O1")
 def importance_topk(t, spark):
-    res, _ = fitted(t, spark, id(t["customer"]))
+    res, _ = fitted(t, spark, _data_key(t))
     return train.importance(res, spark, top=30)
 
 
