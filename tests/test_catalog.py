@@ -54,3 +54,15 @@ def test_score_files_round_trip(spark):
     long = read_score_files(spark, {n: os.path.join(p, "*.csv") for n, p in paths.items()})
     got = {(r["source"], r["SK_ID_CURR"]): r["TARGET"] for r in long.collect()}
     assert len(got) == 10 and got[("s2", 3)] == pytest.approx(0.5)
+
+
+def test_csv_scan_with_declared_schema(spark):
+    from tabula.sources import read_csv
+    d = tempfile.mkdtemp(prefix="tabula-csv-")
+    p = os.path.join(d, "bureau.csv")
+    with open(p, "w") as f:
+        f.write("SK_ID_CURR,AMT_CREDIT_SUM,CREDIT_ACTIVE\n1,10.5,Closed\n2,,Active\n")
+    df = read_csv(spark, p, schema="SK_ID_CURR long, AMT_CREDIT_SUM double, CREDIT_ACTIVE string")
+    rows = df.orderBy("SK_ID_CURR").collect()
+    assert dict(df.dtypes) == {"SK_ID_CURR": "bigint", "AMT_CREDIT_SUM": "double", "CREDIT_ACTIVE": "string"}
+    assert rows[0]["AMT_CREDIT_SUM"] == 10.5 and rows[1]["AMT_CREDIT_SUM"] is None
