@@ -2,8 +2,8 @@
 
 Cluster jobs must never fall back to a machine-local temporary folder: the
 checkpoint location is read from the session (``spark.checkpoint.dir`` or the
-SparkContext checkpoint dir).  Only when neither is set (local tests, bench)
-is a fresh scratch folder created.
+SparkContext checkpoint dir).  When neither is set, a session in local mode
+(tests, bench) gets a fresh scratch folder; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -59,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tabula-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc._jsc.sc().getCheckpointDir().get()
