@@ -127,8 +127,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 #: DuckDB SQL for op3 (RE2 classes are the same).
 OP3_SQL = r"""
-WITH d AS (SELECT doc_id, row_number() OVER () AS rid, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark),
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
 bp AS (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0),
 win AS (SELECT DISTINCT item, list_slice(w, i, i + 12) AS win, len(list_slice(w, i, i + 12)) AS n, w[i] AS w1 FROM bp),
 lens AS (SELECT DISTINCT n FROM win),

@@ -23,7 +23,7 @@ are null; repeated rows share a component; empty tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +73,10 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = SHI
 def _cells(fp: Column) -> Column:
     """Grid cells of a fingerprint: its embedding packed 4 bits a segment, and all one step away."""
     n = 64 // SEGMENT_BITS
-    # bit counts of all segments at once, each in its own 4 bits
-    pairs = fp.bitwiseAND(F.lit(0x5555555555555555)) + F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(0x5555555555555555))
-    quads = pairs.bitwiseAND(F.lit(0x3333333333333333)) + F.shiftrightunsigned(pairs, 2).bitwiseAND(F.lit(0x3333333333333333))
+    counts = [F.bit_count(F.shiftrightunsigned(fp, SEGMENT_BITS * i).bitwiseAND(F.lit(15))).cast("long") for i in range(n)]
+    quads = reduce(Column.bitwiseOR, [F.shiftleft(c, SEGMENT_BITS * i) for i, c in enumerate(counts)])
     around = [quads]
-    for i in range(n):
-        count = F.shiftrightunsigned(quads, SEGMENT_BITS * i).bitwiseAND(F.lit(15))
+    for i, count in enumerate(counts):
         around += [F.when(count < SEGMENT_BITS, quads.bitwiseXOR(_xor_step(count, i, 1))),
                    F.when(count > 0, quads.bitwiseXOR(_xor_step(count, i, -1)))]
     return F.filter(F.array(*around), lambda c: c.isNotNull())

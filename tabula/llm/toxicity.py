@@ -88,13 +88,24 @@ def grade_rows(idx: list[np.ndarray], cnt: list[np.ndarray], toxic: np.ndarray,
     return np.where(toxic == 0, 0, 1 + (held >= 3) + (held >= 6))
 
 
-def fit_ordinal(idx: list[np.ndarray], grade: np.ndarray, l2: float = 1e-4, steps: int = 200,
-                rate: float = 0.1, least_df: int = 3) -> OrdinalModel:
-    """Full-batch Adam on the cumulative-link log likelihood with L2 on the weights."""
+def informative(idx: list[np.ndarray], grade: np.ndarray, least_z: float = 4.0) -> np.ndarray:
+    """Buckets whose rows have grades above 0 significantly more or less often than all rows do."""
+    above = np.array(grade) > 0
+    df, hits = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for i, up in zip(idx, above):
+        df[i] += 1
+        hits[i] += up
+    p = above.mean()
+    return np.flatnonzero(np.abs(hits - df * p) > least_z * np.sqrt(np.maximum(df * p * (1 - p), 1e-9)) + 1)
+
+
+def fit_ordinal(idx: list[np.ndarray], grade: np.ndarray, l2: float = 1e-4, steps: int = 300, rate: float = 0.1) -> OrdinalModel:
+    """Full-batch Adam on the cumulative-link log likelihood, L2 on the weights of the
+    informative buckets (the others' weights are 0)."""
     sizes = np.array([len(i) for i in idx], np.int64)
     flat = np.concatenate(idx) if len(idx) else np.zeros(0, np.int32)
     rows = np.repeat(np.arange(len(idx)), sizes)
-    used = np.flatnonzero(np.bincount(flat, minlength=1 << BITS) >= least_df)
+    used = informative(idx, grade)
     place = np.full(1 << BITS, -1, np.int64)
     place[used] = np.arange(used.size)
     col = place[flat]

@@ -210,7 +210,7 @@ OP6_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 s AS (SELECT page_id, strlen(h) AS payload_bytes, CAST(from_hex(sha1(h)) AS BIT)::VARCHAR AS bits, min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
     + 16 * CAST(substr(bits, CAST(5 * i + 1 AS BIGINT), 1) AS INT) + 8 * CAST(substr(bits, CAST(5 * i + 2 AS BIGINT), 1) AS INT)
     + 4 * CAST(substr(bits, CAST(5 * i + 3 AS BIGINT), 1) AS INT) + 2 * CAST(substr(bits, CAST(5 * i + 4 AS BIGINT), 1) AS INT)
     + CAST(substr(bits, CAST(5 * i + 5 AS BIGINT), 1) AS INT) AS BIGINT), 1)), '') AS payload_digest,
