@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabula.llm.common import free_name, written
+from tabula.llm.common import free_name, maybe_broadcast, written
 from tabula.session import checkpoint_dir
 
 SHINGLE = 3
@@ -94,12 +94,15 @@ def _xor_step(count: Column, i: int, by: int) -> Column:
 def candidate_links(fps: DataFrame, pair_cell: int = PAIR_CELL) -> DataFrame:
     """Links (a > b) between distinct fingerprints (column fp) whose components are those of
     "two or fewer differing bits"."""
-    entered = fps.select("fp", _cells(F.col("fp")).alias("cells")).select("fp", F.explode("cells").alias("cell"))
+    # a fingerprint becomes 33 rows: deal the few input files out to all tasks first
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entered = fps.repartition(tasks, "fp").select("fp", _cells(F.col("fp")).alias("cells"))
+    entered = entered.select("fp", F.explode("cells").alias("cell"))
     busy = entered.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("b"), F.max("fp").alias("a")).filter("n > 1")
     busy = written(busy, "cells")
     two = busy.filter("n = 2").select("a", "b")
-    more = entered.join(busy.filter("n > 2").select("cell", "n"), "cell")
-    more = written(more, "members")
+    fuller = busy.filter("n > 2").select("cell", "n")
+    more = written(entered.join(maybe_broadcast(fuller, fuller.count(), 40), "cell"), "members")
     small = more.filter(F.col("n") <= pair_cell).groupBy("cell").agg(F.array_sort(F.collect_list("fp")).alias("m"))
     small = small.select("m", F.posexplode("m").alias("i", "b")).select(
         "b", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("a"))
