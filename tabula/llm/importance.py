@@ -116,12 +116,13 @@ def fit_log_ratio(docs: DataFrame, target_flag: str, text_col: str = "text", bit
 
 def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           effective_length: float = 100.0, bits: int = BITS, seed: int = 11,
-          max_targets: int = 200_000) -> tuple[DataFrame, str, str, str]:
+          max_targets: int = 200_000, carry: list[str] | None = None) -> tuple[DataFrame, str, str, str]:
     """All columns and rows of ``docs`` with target flag, log weight and Gumbel key.
 
     ``target_ids`` (one column ``id_col``) names the target rows; the target model
-    and the calibration use about ``max_targets`` of them.  Returns the written
-    table and the names of the three added columns.
+    and the calibration use about ``max_targets`` of them.  ``carry`` names the
+    columns to keep (all).  Returns the written table and the names of the three
+    added columns.
     """
     ids = target_ids.select(F.col(id_col).alias("target_id")).dropna().distinct()
     ids = written(hash_sample(ids, F.col("target_id"), max_targets), "targets")
@@ -147,7 +148,8 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     scored = flagged.withColumn(weight, log_weight(F.col(text_col)))
     gumbel = F.col(weight) - F.log(-F.log(uniform))
     scored = scored.withColumn(key, F.round(gumbel * float(1 << FRACTION)).cast("long"))
-    return written(scored, "importance"), flag, weight, key
+    kept = scored.select(*(docs.columns if carry is None else carry), flag, weight, key)
+    return written(kept, "importance"), flag, weight, key
 
 
 def resample(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -173,7 +175,7 @@ def resample(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", tex
 def op1(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, log_weight, gumbel_key, selected of every document; target: quality = 1."""
     good = labels.filter(F.col("quality") == 1).select("doc_id")
-    out, weight, key, chosen = resample(docs.select("doc_id", "text"), good)
+    out, weight, key, chosen = resample(docs.select("doc_id", "text"), good, carry=["doc_id"])
     return out.select("doc_id", F.col(weight).alias("log_weight"),
                       (F.col(key) / float(1 << FRACTION)).alias("gumbel_key"), F.col(chosen).alias("selected"))
 

@@ -88,7 +88,7 @@ def grade_rows(idx: list[np.ndarray], cnt: list[np.ndarray], toxic: np.ndarray,
     return np.where(toxic == 0, 0, 1 + (held >= 3) + (held >= 6))
 
 
-def informative(idx: list[np.ndarray], grade: np.ndarray, least_z: float = 4.0) -> np.ndarray:
+def informative(idx: list[np.ndarray], grade: np.ndarray, least_z: float = 5.0) -> np.ndarray:
     """Buckets whose rows have grades above 0 significantly more or less often than all rows do."""
     above = np.array(grade) > 0
     df, hits = np.zeros(1 << BITS), np.zeros(1 << BITS)
