@@ -31,7 +31,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabula.llm.common import maybe_broadcast, scratch_path, written
+from tabula.llm.common import hash_sample, maybe_broadcast, scratch_path, written
 
 #: Fixed values of the .warc.zst format: magic number of the dictionary's skippable frame.
 DICT_MAGIC = 0x184D2A5D
@@ -104,9 +104,10 @@ def read_archive(content: bytes) -> Iterator[bytes]:
 
 
 def train_dictionary(pages: DataFrame, size: int = 64 << 10, sample_records: int = 400, sample_bytes: int = 16 << 10) -> bytes:
-    """Dictionary from the records of the ``sample_records`` pages first by hash; empty if too few."""
-    rows = pages.select("page_id", "url", F.substring("html", 1, sample_bytes).alias("html")).orderBy(
-        F.xxhash64(F.lit(3), "page_id"), "page_id").limit(sample_records).collect()
+    """Dictionary from the records of about ``sample_records`` pages, chosen by hash; empty if too few."""
+    rows = hash_sample(pages.select("page_id", "url", F.substring("html", 1, sample_bytes).alias("html")),
+                       F.col("page_id"), sample_records).collect()
+    rows.sort(key=lambda r: (r["page_id"] is None, r["page_id"]))
     samples = [encode_record(r["page_id"], r["url"], (r["html"] or "").encode("utf-8", "replace"), None, False) for r in rows]
     if sum(map(len, samples)) < 20 * 1024 or len(samples) < 20:
         return b""
