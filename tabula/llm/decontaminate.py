@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabula.llm.common import written
+from tabula.llm.common import maybe_broadcast, written
 
 #: What separates words, in a Java regular expression class.
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -108,6 +108,8 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents; columns stay."""
     bad = contamination(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))
     bad = bad.filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("th").alias("_bad_th")).distinct()
+    bad = written(bad, "contaminated")
+    bad = maybe_broadcast(bad, bad.count(), 48)        # beyond the bound, a shuffled join
     on = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_th"))
     return docs.join(bad, on, "left_anti")
 

@@ -167,5 +167,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     marked, of, name = near_duplicates(docs.withColumn(row, F.monotonically_increasing_id()))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.col(row).alias("nr"))).alias("first")
     least = written(marked.groupBy(F.col(name).alias("fp")).agg(first).join(of, "fp"), "least")
-    kept = written(least.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.nr").alias("kept_nr")), "kept")
-    return marked.join(kept, F.col(row) == F.col("kept_nr"), "left_semi").select(*docs.columns)
+    kept = written(least.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.nr").alias("nr")), "kept")
+    # the dropped rows are fewer than the kept ones: texts are not shuffled while their numbers can be broadcast
+    gone = marked.select(F.col(row).alias("nr")).join(kept, "nr", "left_anti")
+    gone = written(gone.withColumnRenamed("nr", free_name(marked.columns, "gone_nr")), "gone")
+    return marked.join(maybe_broadcast(gone, gone.count(), 40), F.col(row) == gone[gone.columns[0]], "left_anti").select(*docs.columns)
