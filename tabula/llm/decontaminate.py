@@ -22,6 +22,7 @@ from tabula.llm.common import maybe_broadcast, written
 
 #: What separates words, in a Java regular expression class.
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+RAW_SEPARATORS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"      # before lower-casing
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WIDTH = 13
 ANCHOR = 3
@@ -119,7 +120,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     per = contamination(docs.select("doc_id", "text"), benchmark.select("item_id", "text")).filter("n_hit > 0")
     per = per.select(F.col("doc_id").alias("_hit_id"), F.col("th").alias("_hit_th"), F.col("found").alias("_found")).dropDuplicates(["_hit_id", "_hit_th"])
     on = docs["doc_id"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs["text"]) == F.col("_hit_th"))
-    word, sep = f"[^{SEPARATORS}]+", f"[{SEPARATORS}]*"
+    word, sep = f"[^{RAW_SEPARATORS}]+", f"[{RAW_SEPARATORS}]*"
     chunks = F.regexp_extract_all(F.col("text"), F.lit(f"({word}{sep})"), 1)
     kept = F.filter(chunks, lambda c, i: ~F.exists("_found", lambda x: (x["pos"] <= i) & (i < x["end"])))
     cut = F.concat(F.regexp_extract(F.col("text"), f"^({sep})", 1), F.array_join(kept, ""))
