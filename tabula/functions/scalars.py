@@ -134,16 +134,3 @@ def sig_round(c, bits: int = 30) -> Column:
     return (F.when(F.abs(c) < F.lit(1e-9), F.lit(0.0))
             .when(F.abs(c) == F.lit(INF), c)
             .otherwise(_veltkamp(c, bits) + F.lit(0.0)))
-
-
-def float_key(c, bits: int = 36) -> Column:
-    """Comparison key for floating values: rounded to ``bits`` significant bits.
-
-    Distinct counts over *computed* doubles (e.g. a variance from a nested
-    roll-up) would otherwise depend on the merge order of partial aggregates:
-    equal value sets can give doubles that differ in the last bits.  Null and
-    non-finite values are kept; -0.0 becomes 0.0.
-    """
-    c = dbl(c)
-    # null -> null and NaN -> NaN fall out of the arithmetic; only +-Inf needs a guard
-    return F.when(F.abs(c) == F.lit(INF), c).otherwise(_veltkamp(c, bits) + F.lit(0.0))

@@ -30,17 +30,17 @@ and rolls the child up to the parent, giving ``<col>_<f1>_<f2>`` names.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.functions.aggregates import BUNDLES, agg_expr, bundle_exprs
-from tabula.functions.scalars import float_key
-from tabula.operators.joins import checked_broadcast
+from tabula.operators.joins import checked_broadcast, keys_in, left_join_null_safe
 from tabula.operators.quantile import exact_median
+from tabula.session import keep
 
 
 def _keys(keys) -> list[str]:
@@ -56,27 +56,26 @@ HOT_ROWS = 200_000
 
 
 def _value_key(df: DataFrame, c: str):
-    """Distinctness key: floating values compared at 36 significant bits (``float_key``)."""
+    """Distinctness key: the value itself; -0.0 counts as 0.0."""
     dt = df.schema[c].dataType
-    return float_key(F.col(c)) if isinstance(dt, (T.FloatType, T.DoubleType)) else F.col(c)
+    return F.col(c) + F.lit(0.0).cast(dt) if isinstance(dt, (T.FloatType, T.DoubleType)) else F.col(c)
 
 
 def _melted_distinct(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nulls: str) -> DataFrame:
     """Skew-safe exact distinct counts: melt -> distinct -> count -> pivot (wide, one row per key)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    numeric = [i for i, c in enumerate(cols) if isinstance(types[c], T.NumericType)]
-    other = [i for i in range(len(cols)) if i not in set(numeric)]
+    # one long form per type: values are never cast, so both paths count alike
+    by_type: dict[str, list[int]] = {}
+    for i, c in enumerate(cols):
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(i)
     parts = []
-    for group, cast in ((numeric, "double"), (other, "string")):
-        if not group:
-            continue
+    for group in by_type.values():
         melted = df.select(*keys, F.explode(F.array(*[
-            F.struct(F.lit(i).alias("__i"), _value_key(df, cols[i]).cast(cast).alias("__v")) for i in group
+            F.struct(F.lit(i).alias("__i"), _value_key(df, cols[i]).alias("__v")) for i in group
         ])).alias("__kv")).select(*keys, "__kv.__i", "__kv.__v")
         if nulls != "propagate":
             melted = melted.where(F.col("__v").isNotNull())
         parts.append(melted.distinct().groupBy(*keys, "__i").agg(F.count(F.lit(1)).alias("__n")))
-    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    long = reduce(DataFrame.unionByName, parts)
     # pivot over the known index list: no extra pass to discover pivot values
     wide = long.groupBy(*keys).pivot("__i", list(range(len(cols)))).agg(F.first("__n"))
     return wide.select(*keys, *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"__nd{i}") for i in range(len(cols))])
@@ -116,8 +115,8 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], cols: Sequence[str], nul
     keys = list(keys)
     if hot is None:
         return df.groupBy(*keys).agg(*_set_exprs(df, cols, nulls, suffix))
-    normal = df.join(hot, keys, "left_anti").groupBy(*keys).agg(*_set_exprs(df, cols, nulls, suffix))
-    melted = _melted_distinct(df.join(hot, keys, "left_semi"), keys, cols, nulls)
+    normal = keys_in(df, hot, keys, "left_anti").groupBy(*keys).agg(*_set_exprs(df, cols, nulls, suffix))
+    melted = _melted_distinct(keys_in(df, hot, keys, "left_semi"), keys, cols, nulls)
     melted = melted.select(*keys, *[F.col(f"__nd{i}").cast("long").alias(c + suffix) for i, c in enumerate(cols)])
     return normal.unionByName(melted)
 
@@ -137,9 +136,9 @@ def _hot_rollup(heavy: DataFrame, keys, fns, nulls, cols, prune) -> DataFrame:
     if med_cols:
         flags = heavy.groupBy(*keys).agg(*[F.max(F.col(c).isNull().cast("int")).alias(f"__null_{c}")
                                            for c in med_cols])
-        out = out.join(flags, keys, "left")
+        out = left_join_null_safe(out, flags, keys, right_small=False)
         for c in med_cols:
-            out = out.join(exact_median(heavy, keys, c, f"{c}_median"), keys, "left")
+            out = left_join_null_safe(out, exact_median(heavy, keys, c, f"{c}_median"), keys, right_small=False)
             if nulls == "propagate":       # a group containing a null has a null median
                 out = out.withColumn(f"{c}_median", F.when(F.col(f"__null_{c}") == 0, F.col(f"{c}_median")))
     return out
@@ -157,12 +156,12 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
     if "median" in fns and not _sized:
         # Spark's median keeps a value map per group: hot groups are measured first
         # (one count per key) and get the exact distributed median instead
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = keep(df)
         hot = hot_keys(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")), keys, "__rows", hot_rows)
         if hot is not None:
-            normal = rollup(df.join(hot, keys, "left_anti"), keys, fns, nulls, cols, prune=prune,
+            normal = rollup(keys_in(df, hot, keys, "left_anti"), keys, fns, nulls, cols, prune=prune,
                             hot_rows=hot_rows, _sized=True)
-            heavy = _hot_rollup(df.join(hot, keys, "left_semi"), keys, fns, nulls, cols, prune)
+            heavy = _hot_rollup(keys_in(df, hot, keys, "left_semi"), keys, fns, nulls, cols, prune)
             order = _order(keys, cols, fns, prune, nd_all)
             return normal.select(*order).unionByName(heavy.select(*order))
     value_fns = [f for f in fns if f != "n_distinct"]
@@ -172,24 +171,28 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
         return df.groupBy(*keys).agg(*value_exprs)
     # the input feeds two aggregations: keep it (memory, spilling to disk; lost
     # blocks are recomputed from lineage) instead of recomputing its upstream
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = keep(df)
     # value aggregates (codegen'd hash aggregation) + the group size, persisted: it is the output
-    main = df.groupBy(*keys).agg(*value_exprs, F.count(F.lit(1)).alias("__rows")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    main = keep(df.groupBy(*keys).agg(*value_exprs, F.count(F.lit(1)).alias("__rows")))
     hot = hot_keys(main, keys, "__rows", hot_rows)
-    out = main.drop("__rows").join(distinct_counts(df, keys, nd_cols, nulls, hot), keys, "left")
+    out = left_join_null_safe(main.drop("__rows"), distinct_counts(df, keys, nd_cols, nulls, hot), keys, right_small=False)
     return out.select(*_order(keys, cols, fns, prune, nd_cols))
 
 
 def nested_rollup(grandchild: DataFrame, child: DataFrame, child_key: str, parent_key: str,
                   fns_inner: Sequence[str] | str = "canonical", fns_outer: Sequence[str] | str = "canonical",
-                  nulls: str = "propagate", child_exclude: Sequence[str] = ()) -> DataFrame:
+                  nulls: str = "propagate", child_exclude: Sequence[str] = (),
+                  inner_map: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """grandchild -> child roll-up, left-joined to the child, then child -> parent roll-up.
 
     ``child`` must carry ``child_key`` and ``parent_key``; the child key
-    itself is not aggregated (the reference drops the child id).
+    itself is not aggregated (the reference drops the child id).  ``inner_map``
+    is applied to the inner roll-up, e.g. to round computed doubles before the
+    outer bundle counts their distinct values.
     """
     inner = rollup(grandchild, child_key, fns_inner, nulls)
+    if inner_map is not None:
+        inner = inner_map(inner)
     joined = child.join(inner, child_key, "left").drop(child_key)
     return rollup(joined, parent_key, fns_outer, nulls, exclude=child_exclude)
 

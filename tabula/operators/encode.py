@@ -11,10 +11,8 @@ E3/E4 ``fit_dummies`` / ``apply_dummies``: levels fitted on one frame (the
 E5 ``ints_as_category``: integer columns are treated as categories.
 
 Level dictionaries are needed on the driver only to *name* output columns
-(E2/E3) and are bounded by ``max_levels`` per column.  Label encoding keeps
-small dictionaries on the driver (size checked) and ranks large ones with a
-range-partitioned distributed dense rank, so no dictionary, however large,
-goes through the driver or a single task.
+(E2/E3).  Label encoding ranks every dictionary with a range-partitioned
+distributed dense rank, so none goes through the driver or a single task.
 """
 
 from __future__ import annotations
@@ -22,13 +20,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.columns import string_columns
-
-DRIVER_LEVELS = 50_000
+from tabula.operators.joins import checked_broadcast
+from tabula.session import checkpoint_dir
 
 
 def _distinct_levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -47,17 +44,18 @@ def level_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     return {c: int(row[c]) for c in cols}
 
 
-def _ranked_large(levels: DataFrame) -> DataFrame:
+def ranked_levels(levels: DataFrame) -> DataFrame:
     """Dense rank of (col, value) by value within col without a single-task window.
 
     Range-partition on (col, value), rank inside each range partition, then
     add the per-partition offsets (one small row per partition and column).
+    The partitioning is checkpointed first: ranks and offsets see the same one
+    even if executors are lost in between.
     """
     spark = levels.sparkSession
+    checkpoint_dir(spark)
     n = max(1, spark.sparkContext.defaultParallelism)
-    ranged = (levels.repartitionByRange(n, "col", "value")
-              .withColumn("__pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = levels.repartitionByRange(n, "col", "value").withColumn("__pid", F.spark_partition_id()).checkpoint()
     local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__pid", "col").orderBy("value")))
     sizes = ranged.groupBy("__pid", "col").count()
     offsets = sizes.withColumn(
@@ -67,40 +65,43 @@ def _ranked_large(levels: DataFrame) -> DataFrame:
             .select("col", "value", (F.col("__local") + F.col("__offset")).cast("int").alias("code")))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str] | None = None,
-                 driver_levels: int = DRIVER_LEVELS) -> DataFrame:
-    """Replace each string column by its 1-based sorted-level code."""
+def label_encode(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Replace each string column by its 1-based sorted-level code.
+
+    Dictionaries of every size take the same way: a ranked table, joined to
+    each column, broadcast only if its measured size allows.
+    """
     cols = list(cols) if cols is not None else string_columns(df)
     if not cols:
         return df
-    levels = _distinct_levels(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    total = levels.count()
+    ranked = ranked_levels(_distinct_levels(df, cols)).checkpoint()
     out = df
-    if total <= driver_levels:
-        by_col: dict[str, list[str]] = {}
-        for r in levels.collect():
-            by_col.setdefault(r["col"], []).append(r["value"])
-        exprs = {}
-        for c in cols:
-            vals = sorted(by_col.get(c, []))
-            if not vals:
-                exprs[c] = F.lit(None).cast("int")
-                continue
-            m = F.create_map(*[x for i, v in enumerate(vals, 1) for x in (F.lit(v), F.lit(i))])
-            exprs[c] = m[F.col(c).cast("string")].cast("int")
-        return out.withColumns(exprs)
-    ranked = _ranked_large(levels)
-    for c in cols:
-        d = ranked.where(F.col("col") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__c_{c}"))
-        out = (out.join(d, out[c].cast("string") == d[f"__v_{c}"], "left")
-               .withColumn(c, F.col(f"__c_{c}")).drop(f"__v_{c}", f"__c_{c}"))
-    return out
+    for i, c in enumerate(cols):
+        d = ranked.where(F.col("col") == c).select(F.col("value").alias(f"__v_{i}"), F.col("code").alias(f"__c_{i}"))
+        d, _ = checked_broadcast(d)
+        out = out.join(d, out[c].cast("string") == d[f"__v_{i}"], "left")
+    codes = {c: f"__c_{i}" for i, c in enumerate(cols)}
+    return out.select(*[F.col(codes[c]).alias(c) if c in codes else out[c] for c in df.columns])
 
 
 def _safe(level: str) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", str(level)).strip("_") or "blank"
 
 
+def dummy_names(levels: Sequence[str]) -> list[str]:
+    """Column-name parts of the levels: letters and digits; levels that look alike are numbered in their order."""
+    names, seen = [], set()
+    for name in map(_safe, levels):
+        own, n = name, 1
+        while own.lower() in seen:
+            n += 1
+            own = f"{name}__{n}"
+        seen.add(own.lower())
+        names.append(own)
+    return names
+
+
+#: A table cannot have more columns than this from one dictionary; refused, not cut.
 DUMMY_LEVEL_CAP = 10_000
 
 
@@ -133,8 +134,8 @@ def apply_dummies(df: DataFrame, levels: Mapping[str, Sequence[str]], drop_sourc
     """One 0/1 column per fitted level in ONE projection; null input -> null indicators."""
     new_cols = []
     for c, vals in levels.items():
-        for v in vals:
-            new_cols.append((F.col(c).cast("string") == F.lit(v)).cast(dtype).alias(f"{c}{sep}{_safe(v)}"))
+        for v, name in zip(vals, dummy_names(vals)):
+            new_cols.append((F.col(c).cast("string") == F.lit(v)).cast(dtype).alias(f"{c}{sep}{name}"))
     keep = [F.col(c) for c in df.columns if not (drop_source and c in levels)]
     return df.select(*keep, *new_cols)
 
@@ -150,32 +151,3 @@ def onehot(df: DataFrame, max_levels: int = 10, cols: Sequence[str] | None = Non
 def ints_as_category(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """E5: integer columns become string categories (then E3 applies)."""
     return df.withColumns({c: F.col(c).cast("string") for c in cols})
-
-
-def encode_observed(df: DataFrame, cols: Sequence[str], max_levels: int = 10_000) -> DataFrame:
-    """``factor(f) %>% as.integer`` on an ordered factor such as a bin index.
-
-    Unused levels are dropped, so the code is the rank of the value among the
-    *observed* values (numeric order).  The number of observed values is
-    measured before it is collected; bins have a fixed bound anyway.
-    """
-    cols = list(cols)
-    counts = level_counts(df, cols)
-    too_wide = [c for c, n in counts.items() if n > max_levels]
-    if too_wide:
-        raise ValueError(f"columns {too_wide} have more than {max_levels} observed levels")
-    rows = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v"))
-                                         for c in cols])).alias("kv")) \
-        .select("kv.col", "kv.v").where(F.col("v").isNotNull()).distinct().collect()
-    by_col: dict[str, list[float]] = {c: [] for c in cols}
-    for r in rows:
-        by_col[r["col"]].append(r["v"])
-    exprs = {}
-    for c, vals in by_col.items():
-        vals = sorted(vals)
-        if not vals:
-            exprs[c] = F.lit(None).cast("int")
-            continue
-        m = F.create_map(*[x for i, v in enumerate(vals, 1) for x in (F.lit(v), F.lit(i))])
-        exprs[c] = m[F.col(c).cast("double")].cast("int")
-    return df.withColumns(exprs)

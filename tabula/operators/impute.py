@@ -17,6 +17,7 @@ lost executor recomputes at most those iterations.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
@@ -79,10 +80,13 @@ def gram_and_change(df: DataFrame, vec: str, p: int, change: str | None = None)
 
 
 def soft_impute(df: DataFrame, key: str, cols: Sequence[str], rank: int = 3, lam: float = 1.9,
-                max_iter: int = 100, tol: float = 1e-5, checkpoint_every: int = 5) -> DataFrame:
+                max_iter: int = 100, tol: float = 1e-5, checkpoint_every: int = 5,
+                unfinished: str = "error") -> DataFrame:
     """Fill nulls in ``cols`` with a rank-``rank`` soft-thresholded SVD reconstruction.
 
     Observed cells are never changed.  Returns ``key`` + completed ``cols``.
+    If ``max_iter`` rounds do not reach ``tol`` it raises, or warns
+    (``unfinished='warn'``).
     Columns are used as given (no scaling), like the reference.
     """
     cols = list(cols)
@@ -122,4 +126,9 @@ def soft_impute(df: DataFrame, key: str, cols: Sequence[str], rank: int = 3, lam
         if (it + 1) % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)    # reliable: survives executor loss, cuts lineage
         stale, state = state, nxt
+    else:
+        message = f"soft_impute: not converged to {tol} after {max_iter} rounds"
+        if unfinished == "error":
+            raise RuntimeError(message)
+        warnings.warn(message, stacklevel=2)
     return state.select(key, *[F.element_at("xh", i + 1).alias(c) for i, c in enumerate(cols)])

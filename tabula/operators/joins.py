@@ -1,32 +1,38 @@
 """Joins (J1-J6) and the size check that guards every broadcast.
 
 Broadcasting is only done for a side whose size was *measured*: the side is
-persisted, counted, and broadcast only when ``rows * width`` stays under a
-byte budget; otherwise the plain (shuffled sort-merge) join is used and AQE
+kept, measured (rows and the length of its strings), and broadcast only when
+that stays under a byte budget; otherwise the plain (shuffled sort-merge) join is used and AQE
 may still switch strategy at runtime from real shuffle statistics.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabula.session import keep
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _row_width(df: DataFrame) -> int:
-    """Rough bytes per row: 8 per fixed-width field, 32 per string / binary, 64 per nested."""
-    def width(dt) -> int:
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            return 32
-        if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
-            return 64
-        return 8
-    return sum(width(f.dataType) for f in df.schema.fields) + 16
+    """Bytes per row of the fixed-width part: 8 per field and 16 for the row."""
+    return 8 * len(df.schema.fields) + 16
+
+
+def _measured_bytes(df: DataFrame) -> int:
+    """Rows times fixed width plus the measured length of strings, binaries and nested values."""
+    loose = [f.name for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+    length = sum((F.coalesce(F.length(c) if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
+                             else F.length(F.to_json(F.struct(c))), F.lit(0)) for c in loose), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(length), F.lit(0)).alias("b")).first()
+    return int(row["n"]) * _row_width(df) + 4 * int(row["b"])
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
@@ -35,9 +41,8 @@ def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[
     ``df`` is persisted (memory and disk, recomputable from lineage if an
     executor is lost) so counting it does not recompute it for the join.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    if n * _row_width(df) <= max_bytes:
+    df = keep(df)
+    if _measured_bytes(df) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
@@ -63,6 +68,18 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.drop(*[f"__rk_{i}" for i in range(len(keys))])
 
 
+def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``right`` with its keys renamed, and the condition that matches null keys to null keys."""
+    right = right.withColumnsRenamed({k: f"__rk_{i}" for i, k in enumerate(keys)})
+    return right, reduce(Column.__and__, [left[k].eqNullSafe(right[f"__rk_{i}"]) for i, k in enumerate(keys)])
+
+
+def keys_in(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join by keys, null being a key like any other."""
+    renamed, on = null_safe_on(df, other.select(*keys), keys)
+    return df.join(renamed, on, how)
+
+
 def rollup_join(base: DataFrame, rollups: Sequence[DataFrame], key: str) -> DataFrame:
     """``base ⟕ r1 ⟕ r2 ...`` on one entity key (J1, entity merge).
 
@@ -76,14 +93,26 @@ def rollup_join(base: DataFrame, rollups: Sequence[DataFrame], key: str) -> Data
     return out
 
 
-def align_on_key(frames: dict[str, DataFrame], key: str, value: str) -> DataFrame:
+def align_on_key(frames: dict[str, DataFrame], key: str, value: str, missing: str = "error") -> DataFrame:
     """Key-aligned column bind of several (key, value) frames.
 
-    Replaces the reference's positional ``data.frame(t1$v, t2$v, ...)``: an
-    inner equi-join on the key, output column per frame name.
+    Replaces the reference's positional ``data.frame(t1$v, t2$v, ...)``: all
+    frames go through ONE aggregation by key, output column per frame name.
+    A key that is absent from a frame, or there twice, fails the query
+    (``missing='error'``); ``'keep'`` leaves nulls, ``'drop'`` the complete keys.
     """
-    out = None
+    long = None
     for name, f in frames.items():
-        part = f.select(F.col(key), F.col(value).alias(name))
-        out = part if out is None else out.join(part, key, "inner")
-    return out
+        part = f.select(F.col(key), F.lit(name).alias("__src"), F.col(value).alias("__v"))
+        long = part if long is None else long.unionByName(part)
+    seen = [F.sum((F.col("__src") == n).cast("int")) for n in frames]
+    out = long.groupBy(key).agg(*[F.max(F.when(F.col("__src") == n, F.col("__v"))).alias(n) for n in frames],
+                                F.array(*seen).alias("__seen"))
+    once = F.forall("__seen", lambda n: n == 1)
+    if missing == "error":
+        message = F.concat(F.lit(f"{key} "), F.coalesce(F.col(key).cast("string"), F.lit("null")),
+                           F.lit(f" is not exactly once in each of {list(frames)}"))
+        out = out.where(F.when(once, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    elif missing == "drop":
+        out = out.where(once)
+    return out.drop("__seen")

@@ -10,7 +10,8 @@ AUC = Σ_s pos(s) · (neg(< s) + ½ neg(= s)) / (P · N) over distinct scores s
    rows per group) + running sum inside the bucket (a window over one
    bucket's distinct scores), so no task ever sorts a whole group;
 4. one final aggregation per group.
-The result is exact; the quantiles only balance the buckets.
+The result is exact; the quantiles only balance the buckets.  Rows with a null
+score or label are left out.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), buckets:
     by = list(by) if by else ["__g"]
     if not grouped:
         df = df.withColumn("__g", F.lit(0))
+    # a row without score or label has no rank and is left out
+    df = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     counts = df.groupBy(*by, F.col(score).alias("__s")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("__pos"),
         F.sum((F.col(label) == 0).cast("long")).alias("__neg"))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = counts.groupBy(*by).agg(F.percentile_approx("__s", probs, 10000).alias("__b"))
     # one small row per group (bounded by the number of groups) joined back
-    joined = counts.join(F.broadcast(bounds), by)
+    joined = counts.join(bounds, by)          # broadcast only if the optimizer finds it small at run time
     bucketed = joined.withColumn("__bk", F.size(F.filter("__b", lambda x: x < F.col("__s")))).drop("__b")
     per_bucket = bucketed.groupBy(*by, "__bk").agg(F.sum("__neg").alias("__bneg"))
     offs = per_bucket.withColumn("__off", F.coalesce(F.sum("__bneg").over(

@@ -8,18 +8,22 @@ correlation matrix reach the driver, where the drop decision is made.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.scalars import ieee_divide
+from tabula.session import keep
 
 # Near-zero-variance defaults (frequency ratio 95/5, 10 % unique).
 FREQ_CUT = 95 / 5
 UNIQUE_CUT = 10.0
 
+#: Column pairs per aggregation.
+PAIRS = 100
+
 
 def _melt(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(col_idx, value) for all non-null cells of the chosen columns, values as doubles."""
@@ -47,8 +51,7 @@ def nzv_metrics(df: DataFrame, cols: Sequence[str] | None = None, freq_cut: floa
                                                  if f.dataType.typeName() in ("integer", "long", "double", "float",
                                                                               "short", "byte")]
     n_rows = df.count()
-    counts = _melt(df, cols).groupBy("i", "v").agg(F.count(F.lit(1)).alias("cnt")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    counts = keep(_melt(df, cols).groupBy("i", "v").agg(F.count(F.lit(1)).alias("cnt")))
     top = counts.groupBy("i").agg(F.max("cnt").alias("top1"))
     per_col = (counts.join(F.broadcast(top), "i")   # one row per column: bounded by the column count
                .groupBy("i").agg(F.first("top1").alias("top1"),
@@ -99,12 +102,18 @@ def correlation_long(df: DataFrame, cols: Sequence[str], complete: bool = False)
     def safe_corr(a, b):
         # corr() itself raises under ANSI mode for a constant column; build it from
         # combinable moments and divide with IEEE semantics (0/0 -> NaN -> null below)
+        # all moments over the rows where both values are there
         a, b = F.col(a).cast("double"), F.col(b).cast("double")
-        return ieee_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-    row = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    stacked = row.select(F.explode(F.array(*[
-        F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr"))
-        for i, j in pairs])).alias("p")).select("p.*")
+        both = a.isNotNull() & b.isNotNull()
+        return ieee_divide(F.covar_pop(a, b), F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b)))
+
+    def rows_of(some):
+        row = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in some])
+        return row.select(F.explode(F.array(*[
+            F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr"))
+            for i, j in some])).alias("p")).select("p.*")
+    # one aggregation plans well up to about a hundred pairs; more pairs take several
+    stacked = reduce(DataFrame.unionByName, [rows_of(pairs[k:k + PAIRS]) for k in range(0, len(pairs), PAIRS)])
     return stacked.withColumn("corr", F.when(F.col("corr").isNaN(), F.lit(None)).otherwise(F.col("corr")))
 
 
@@ -120,13 +129,11 @@ def _ml_correlation(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
 def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: int = 40) -> np.ndarray:
     """p x p matrix on the driver (bounded by the column count); NA -> 0, unit diagonal.
 
-    Up to ``wide`` columns: one aggregation of pairwise moments.  Wider:
-    Spark ML ``Correlation.corr`` (a single tree-aggregated Gram pass over a
-    vector column), since p² / 2 separate aggregates would not plan well.
-    Nulls must be imputed first in the wide path.
+    Pairwise-complete moments.  For more than ``wide`` columns without any null
+    the same values come from Spark ML's single tree-aggregated Gram pass.
     """
     cols = list(cols)
-    if len(cols) > wide:
+    if len(cols) > wide and not any(df.agg(*[F.count_if(F.col(c).isNull()) for c in cols]).first()):
         m = _ml_correlation(df, cols)
         m = np.where(np.isnan(m), 0.0, m)
         np.fill_diagonal(m, 1.0)

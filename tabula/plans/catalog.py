@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabula.functions.columns import FLOATING, columns_of_type, map_columns
 from tabula.functions.scalars import sig_round
 from tabula.plans import sqlkit
+from tabula.session import release
 from tabula.sources.tables import load_tables
 
 
@@ -30,10 +31,9 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     q = CATALOG[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # operators persist intermediates they read twice; drop those of earlier
-        # queries (already consumed) so a long session does not accumulate them.
-        # A dropped cache only means recomputation from lineage, never other results.
-        spark.catalog.clearCache()
+        # operators keep intermediates they read twice; free those of earlier queries
+        # (already consumed).  A freed frame is recomputed if read again.
+        release()
         return stable(q.build(load_tables(spark, sf_dir), spark))
     run.__name__ = name
     return run

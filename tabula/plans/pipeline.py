@@ -53,7 +53,7 @@ class PipelineConfig:
     nulls: str = "propagate"
     onehot_levels: int = 5
     corr_cutoff: float = 0.9
-    pca_k: int = 10
+    pca_k: int = 30
     group_stats: bool = True
 
 
@@ -106,7 +106,6 @@ def _applicant_rows(t, cfg) -> DataFrame:
         .join(analog.labels(t), "SK_ID_CURR", "left")
     test_rows = a.where(F.col("split") == "test")
     u = split.union_train_test(train_rows.drop("split"), test_rows.drop("split"))
-    u = clean.null_out(u, {"DAYS_EMPLOYED": F.col("DAYS_EMPLOYED") == 365243})
     # R2: power transforms (identical for train and test rows)
     return u.withColumns({"EXT_SOURCE_1": X.power("EXT_SOURCE_1", 1 / 3),
                           "AMT_INCOME_SQRT": X.safe_sqrt("AMT_INCOME_TOTAL")})
@@ -119,6 +118,7 @@ def build_feature_table(spark: SparkSession, t: dict, cfg: PipelineConfig | None
                              _pos(t, cfg), _previous(t, cfg)], "SK_ID_CURR")
     # Null count of the joined row, then ratios
     merged = merged.withColumn("na", R.row_null_count([c for c in merged.columns if c not in ("TARGET",)]))
+    merged = clean.null_out(merged, {"DAYS_EMPLOYED": F.col("DAYS_EMPLOYED") == 365243})
     merged = merged.withColumns({
         "age_bucket": X.cut_right_closed(-F.col("DAYS_BIRTH") / 50, recipes.AGE_BREAKS),
         "DAYS_EMPLOYED_PERC": X.safe_sqrt(X.ieee_divide("DAYS_EMPLOYED", "DAYS_BIRTH")),
@@ -137,7 +137,7 @@ def build_feature_table(spark: SparkSession, t: dict, cfg: PipelineConfig | None
     })
     merged = merged.withColumn("INC_PER_CHLD", X.ieee_divide(F.col("credit_per_child"), F.col("CNT_CHILDREN") + 1))
     # Organisation median lookup, then non-finite -> null
-    merged = groupstats.median_lookup(merged, "ORGANIZATION_TYPE", "AMT_CREDIT", "NEW_INC_BY_ORG")
+    merged = groupstats.median_lookup(merged, "ORGANIZATION_TYPE", "AMT_INCOME_TOTAL", "NEW_INC_BY_ORG")
     merged = clean.clean_non_finite(merged)
     # the merged applicant table feeds several measured decisions below: write it
     # once (shared checkpoint folder) so none of them recomputes the five roll-ups
@@ -171,7 +171,7 @@ def train_and_score(feature_table: DataFrame, cfg: PipelineConfig | None = None,
     data = data.withColumn("split", F.when(F.col("is_train") == 0, F.lit("test")).otherwise(F.col("split")))
     params = dict(maxIter=30, maxDepth=5, stepSize=0.1, subsamplingRate=0.87, featureSubsetStrategy="0.95")
     params.update(gbt)
-    res = train.train_gbt(data.where(F.col("split") != "test"), feats, label="TARGET", split_col="split",
+    res = train.train_gbt(data.where((F.col("split") != "test") & F.col("TARGET").isNotNull()), feats, label="TARGET", split_col="split",
                           valid_value="val", **params)
     scores = train.score(res, data.where(F.col("split") == "test"), "SK_ID_CURR")
     return res, scores, train.importance(res, feature_table.sparkSession, top=30)

@@ -340,7 +340,7 @@ def soft_impute(t, spark):
                                      "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
                                      (F.col("CNT_CHILDREN") / 10).alias("children"))
     return impute.soft_impute(a, "SK_ID_CURR", ["income", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "children"],
-                              rank=3, lam=1.9, max_iter=30)
+                              rank=3, lam=1.9, max_iter=30, unfinished="warn")
 
 
 # ---------------------------------------------------------------------------

@@ -117,17 +117,23 @@ def _nested_sql() -> str:
           + f" FROM ({A['bureau_balance']}) x")
     inner = (f"SELECT SK_ID_BUREAU, {', '.join(S.bundle(_BB_COLS, _CANON, int_cols=['MONTHS_BALANCE']))} "
              f"FROM ({bb}) bb GROUP BY SK_ID_BUREAU")
+    # the outer bundle counts distinct computed doubles: round them openly, as the Spark side does
+    inner = S.stable(inner, S.bundle_doubles(_BB_COLS, _CANON, ["MONTHS_BALANCE"]))
     child = (f"SELECT b.* EXCLUDE (SK_ID_BUREAU), i.* EXCLUDE (SK_ID_BUREAU) FROM ({BUREAU_ENC_SQL}) b "
              f"LEFT JOIN ({inner}) i ON b.SK_ID_BUREAU = i.SK_ID_BUREAU")
     return (f"SELECT SK_ID_CURR, {', '.join(S.bundle(_OUTER_COLS, _CANON, int_cols=_OUTER_INTS))} "
             f"FROM ({child}) c GROUP BY SK_ID_CURR")
 
 
+def rounded_doubles(df):
+    return C.map_columns(df, lambda c, _: X.sig_round(c), C.columns_of_type(df, *C.FLOATING))
+
+
 @query("nested_rollup", ops="E2 A12 J2 A1", sql=_nested_sql(),
        doubles=S.bundle_doubles(_OUTER_COLS, _CANON, _OUTER_INTS))
 def nested_rollup_q(t, spark):
     bb = onehot(analog.bureau_balance(t), max_levels=10)
-    return nested_rollup(bb, bureau_encoded(t), "SK_ID_BUREAU", "SK_ID_CURR")
+    return nested_rollup(bb, bureau_encoded(t), "SK_ID_BUREAU", "SK_ID_CURR", inner_map=rounded_doubles)
 
 
 # ---------------------------------------------------------------------------

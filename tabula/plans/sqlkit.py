@@ -44,11 +44,6 @@ def sig(x: str, bits: int = 30) -> str:
             f"WHEN abs({x}) < 1e-9 THEN 0.0 ELSE {veltkamp(x, bits)} + 0.0 END)")
 
 
-def fkey(x: str, bits: int = 36) -> str:
-    """Distinctness key for doubles (same definition as ``float_key``)."""
-    return f"(CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) THEN {x} ELSE {veltkamp(x, bits)} + 0.0 END)"
-
-
 def stable(inner: str, double_cols: Sequence[str]) -> str:
     """Wrap a query so its double columns are rounded like ``tabula.functions.sig_round``."""
     if not double_cols:
@@ -84,7 +79,7 @@ def agg(fn: str, x: str, nulls: str = "propagate", mean: str | None = None, inte
         base["kurtosis"] = (f"(CASE WHEN {const} THEN NULL ELSE "
                             f"avg(pow({dev}, 4)) / pow(avg(pow({dev}, 2)), 2) END)")
     if fn == "n_distinct":
-        key = x if integer else fkey(f"({x})::DOUBLE")
+        key = x if integer else f"({x})::DOUBLE"
         if nulls == "propagate":
             return f"(count(DISTINCT {key}) + max(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END))::BIGINT"
         return f"count(DISTINCT {key})::BIGINT"

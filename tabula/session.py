@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -47,6 +48,25 @@ def build_session(master: str | None = None, app: str = "tabula",
     return spark
 
 
+_KEPT: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist an intermediate that is read more than once (memory, spilling to disk; lost
+    blocks are recomputed) and note it for ``release``."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(df)
+    return df
+
+
+def release() -> None:
+    """Free what operators have kept so far; never touches frames that the caller cached."""
+    while _KEPT:
+        df = _KEPT.pop()
+        if df.sparkSession.sparkContext._jsc is not None:      # its session may have ended
+            df.unpersist()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints / written intermediate tables.
 

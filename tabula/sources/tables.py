@@ -50,29 +50,15 @@ def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_score_files(spark: SparkSession, paths: Mapping[str, str], key: str = "SK_ID_CURR",
                      score: str = "TARGET", fmt: str = "csv") -> DataFrame:
-    """Long form (source, key, score) of many score files in ONE scan.
+    """Long form (source, key, score) of many score files.
 
-    ``paths`` maps a logical name to a file, directory or glob.  The file a
-    row came from (``input_file_name``) is matched against each path's
-    directory prefix, so no per-file driver loop over data happens.
+    ``paths`` maps a logical name to a file, directory or glob of any store
+    Spark reads; each name is one scan with its name as a literal tag.
     """
-    import glob as _glob
-
-    def prefix(p: str) -> str:
-        p = os.path.abspath(p)
-        if _glob.has_magic(p):
-            p = os.path.dirname(p.split("*")[0].split("?")[0].split("[")[0]) + os.sep
-        elif os.path.isdir(p):
-            p = p.rstrip(os.sep) + os.sep
-        return p
-    reader = spark.read.option("header", True)
-    if fmt == "csv":
-        df = reader.schema(f"`{key}` long, `{score}` double").csv(list(paths.values()))
-    else:
-        df = reader.parquet(*paths.values())
-    src = F.regexp_replace(F.input_file_name(), "^file:/+", "/")
-    name = None
-    for n, p in paths.items():
-        cond = src.startswith(prefix(p))
-        name = F.when(cond, F.lit(n)) if name is None else name.when(cond, F.lit(n))
-    return df.select(name.alias("source"), F.col(key), F.col(score).cast("double").alias(score))
+    out = None
+    for name, path in paths.items():
+        reader = spark.read.option("header", True)
+        df = reader.schema(f"`{key}` long, `{score}` double").csv(path) if fmt == "csv" else reader.parquet(path)
+        df = df.select(F.lit(name).alias("source"), F.col(key), F.col(score).cast("double").alias(score))
+        out = df if out is None else out.unionByName(df)
+    return out

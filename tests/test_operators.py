@@ -52,7 +52,7 @@ def test_label_encode_sorted_levels_and_null(spark):
 
 def test_label_encode_distributed_path(spark):
     df = spark.createDataFrame([(f"v{i:03d}",) for i in range(50)] + [(None,)], "s string")
-    codes = [r["s"] for r in encode.label_encode(df, driver_levels=5).collect()]
+    codes = [r["s"] for r in encode.label_encode(df).collect()]
     assert codes[:50] == list(range(1, 51)) and codes[50] is None
 
 
