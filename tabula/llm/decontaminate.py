@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabula.llm.common import maybe_broadcast, written
+from tabula.llm.common import free_name, maybe_broadcast, written
 
 #: What separates words, in a Java regular expression class.
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -108,24 +108,26 @@ def op3(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without contaminated documents; columns stay."""
     bad = contamination(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))
-    bad = bad.filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("th").alias("_bad_th")).distinct()
+    bad_id, bad_th = free_name(docs.columns, "bad_id"), free_name(docs.columns, "bad_th")
+    bad = bad.filter("contaminated").select(F.col("doc_id").alias(bad_id), F.col("th").alias(bad_th)).distinct()
     bad = written(bad, "contaminated")
     bad = maybe_broadcast(bad, bad.count(), 48)        # beyond the bound, a shuffled join
-    on = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_th"))
+    on = docs["doc_id"].eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_th))
     return docs.join(bad, on, "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with every hit word (and the separators after it) cut from the text."""
     per = contamination(docs.select("doc_id", "text"), benchmark.select("item_id", "text")).filter("n_hit > 0")
-    per = per.select(F.col("doc_id").alias("_hit_id"), F.col("th").alias("_hit_th"), F.col("found").alias("_found")).dropDuplicates(["_hit_id", "_hit_th"])
-    on = docs["doc_id"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs["text"]) == F.col("_hit_th"))
+    hit_id, hit_th, found = (free_name(docs.columns, c) for c in ("hit_id", "hit_th", "found"))
+    per = per.select(F.col("doc_id").alias(hit_id), F.col("th").alias(hit_th), F.col("found").alias(found)).dropDuplicates([hit_id, hit_th])
+    on = docs["doc_id"].eqNullSafe(F.col(hit_id)) & (F.xxhash64(docs["text"]) == F.col(hit_th))
     word, sep = f"[^{RAW_SEPARATORS}]+", f"[{RAW_SEPARATORS}]*"
     chunks = F.regexp_extract_all(F.col("text"), F.lit(f"({word}{sep})"), 1)
-    kept = F.filter(chunks, lambda c, i: ~F.exists("_found", lambda x: (x["pos"] <= i) & (i < x["end"])))
+    kept = F.filter(chunks, lambda c, i: ~F.exists(found, lambda x: (x["pos"] <= i) & (i < x["end"])))
     cut = F.concat(F.regexp_extract(F.col("text"), f"^({sep})", 1), F.array_join(kept, ""))
     out = docs.join(per, on, "left")
-    return out.withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
+    return out.withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
 
 
 #: DuckDB SQL for op3 (RE2 classes are the same).
