@@ -40,8 +40,10 @@ def row_mean(cols: Sequence) -> Column:
 
 
 def _central_sum(cols: Sequence, power: int) -> Column:
-    m = row_mean(cols)
-    return F.aggregate(_arr(cols), F.lit(0.0), lambda acc, x: acc + F.pow(x - m, F.lit(float(power))))
+    # the mean is bound as a lambda variable, so it is computed once per row and not once per element
+    sums = F.transform(F.array(row_mean(cols)), lambda m: F.aggregate(
+        _arr(cols), F.lit(0.0), lambda acc, x: acc + F.pow(x - m, F.lit(float(power)))))
+    return F.element_at(sums, 1)
 
 
 def row_sd(cols: Sequence) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.aggregates import agg_expr
-from tabula.operators.joins import left_join_null_safe
+from tabula.operators.joins import keys_in, left_join_null_safe
 
 
 def _keys(keys) -> list[str]:
@@ -59,6 +59,16 @@ def add_group_stats(df: DataFrame, keys, named: Mapping[str, Column], small: boo
     return left_join_null_safe(df, group_stats(df, keys, named), _keys(keys), right_small=small)
 
 
+def add_group_blocks(df: DataFrame, blocks: Sequence[tuple[Sequence[str], Mapping[str, Column]]]) -> DataFrame:
+    """Several ``add_group_stats`` at once; every block is aggregated from ``df`` itself, so no
+    statistics table repeats the joins of the blocks before it."""
+    tables = [(keys, group_stats(df, keys, named)) for keys, named in blocks]
+    out = df
+    for keys, stats in tables:
+        out = left_join_null_safe(out, stats, _keys(keys))
+    return out
+
+
 def mean_stats(prefix: str, exprs: Mapping[str, Column], with_var: bool = False,
                nulls: str = "propagate") -> dict[str, Column]:
     """``{prefix+name: mean(expr)}`` (+ ``_var`` twins) with the reference's null propagation."""
@@ -76,8 +86,7 @@ def median_lookup(df: DataFrame, key: str, value: str, out: str, nulls: str = "p
     The lookup table has one row per category; its size is measured before
     it is broadcast (``left_join_null_safe``).  Categories above ``HOT_ROWS``
     rows get ``quantile.exact_median`` instead of Spark's per-group value map.
-    Null keys are kept as a group but never treated as hot (anti/semi joins
-    do not match null keys), so they stay on the built-in path.
+    The null category is a category like any other, also when it is hot.
     """
     from tabula.operators.bundles import HOT_ROWS, hot_keys
     from tabula.operators.quantile import exact_median
@@ -88,11 +97,11 @@ def median_lookup(df: DataFrame, key: str, value: str, out: str, nulls: str = "p
         med = df.groupBy(key).agg(agg_expr("median", value, nulls).alias(out))
     else:
         # categories are few but large: those above HOT_ROWS get the exact distributed median
-        normal = df.join(hot, [key], "left_anti").groupBy(key).agg(agg_expr("median", value, nulls).alias(out))
-        heavy = df.join(hot, [key], "left_semi")
+        normal = keys_in(df, hot, [key], "left_anti").groupBy(key).agg(agg_expr("median", value, nulls).alias(out))
+        heavy = keys_in(df, hot, [key], "left_semi")
         m = exact_median(heavy, [key], value, out)
         if nulls == "propagate":
             flags = heavy.groupBy(key).agg(F.max(F.col(value).isNull().cast("int")).alias("__null"))
-            m = flags.join(m, [key], "left").select(key, F.when(F.col("__null") == 0, F.col(out)).alias(out))
+            m = left_join_null_safe(flags, m, [key]).select(key, F.when(F.col("__null") == 0, F.col(out)).alias(out))
         med = normal.unionByName(m)
     return left_join_null_safe(df, med, [key])

@@ -22,26 +22,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.operators.joins import checked_broadcast
+from tabula.session import keep
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], col: str, out: str, limit: int = 1_000_000,
-                 buckets: int = 512, max_rounds: int = 8) -> DataFrame:
-    """Per-key exact median of ``col`` (nulls ignored); meant for a small set of hot keys."""
-    keys = list(keys)
-    x = df.select(*keys, F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull())
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+                 buckets: int = 512, max_rounds: int = 64) -> DataFrame:
+    """Per-key exact median of ``col`` (nulls ignored); meant for a small set of hot keys.
+
+    A null key is a key like any other: the keys are compared inside a struct, whose equality
+    holds for null fields.  Raises if ``max_rounds`` do not narrow every key to ``limit``
+    candidates (a round divides them by about ``buckets``) rather than rank more in one window.
+    """
+    packed = df.select(F.struct(*keys).alias("__key"), F.col(col).cast("double").alias("__x"))
+    med = _median(packed.where(F.col("__x").isNotNull()), limit, buckets, max_rounds, out)
+    return med.select(*[F.col("__key").getField(k).alias(k) for k in keys], out)
+
+
+def _median(x: DataFrame, limit: int, buckets: int, max_rounds: int, out: str) -> DataFrame:
+    keys = ["__key"]
+    x = keep(x)
     state = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).select(
         *keys, F.floor((F.col("__n") + 1) / 2).cast("long").alias("__k1"),
         (F.floor(F.col("__n") / 2) + 1).cast("long").alias("__k2"),
         F.lit(None).cast("double").alias("__lo"), F.lit(None).cast("double").alias("__hi"),
         F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__cand"), F.lit(False).alias("__single"))
     probs = [i / buckets for i in range(1, buckets)]
-    spark = df.sparkSession
+    spark = x.sparkSession
     for _ in range(max_rounds):
         # one row per (hot) key: cut its lineage each round by rebuilding it from
         # its rows (size measured first), otherwise the plan compounds per round
@@ -54,7 +64,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], col: str, out: str, limit:
         cand = x.join(state, keys).where((F.col("__lo").isNull() | (F.col("__x") > F.col("__lo"))) &
                                          (F.col("__hi").isNull() | (F.col("__x") <= F.col("__hi"))))
         bounds = cand.groupBy(*keys).agg(F.percentile_approx("__x", probs, 10 * buckets).alias("__b"))
-        tagged = cand.join(F.broadcast(bounds), keys).withColumn(
+        tagged = cand.join(checked_broadcast(bounds)[0], keys).withColumn(
             "__bk", F.size(F.filter("__b", lambda v: v < F.col("__x"))))
         per = tagged.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__mn"),
                                                 F.max("__x").alias("__mx"))
@@ -75,6 +85,8 @@ def exact_median(df: DataFrame, keys: Sequence[str], col: str, out: str, limit:
                  .select(*keys, "__k1", "__k2", F.coalesce("__lo", "__lo_prev").alias("__lo"),
                          F.col("__mx").alias("__hi"),
                          F.col("__nb").alias("__below"), "__cand", (F.col("__mn") == F.col("__mx")).alias("__single")))
+    else:
+        raise RuntimeError(f"median: more than {limit} candidates left after {max_rounds} rounds")
     cand = x.join(state, keys).where((F.col("__lo").isNull() | (F.col("__x") > F.col("__lo"))) &
                                      (F.col("__hi").isNull() | (F.col("__x") <= F.col("__hi"))))
     # rank DISTINCT candidate values by cumulative count (duplicates collapse map-side)

@@ -146,59 +146,44 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: int = 40) -> np
     return m
 
 
-def find_correlation(corr: np.ndarray, cutoff: float = 0.9, exact: bool | None = None) -> list[int]:
-    """Indices of columns to drop so no remaining pair has |r| > cutoff (caret ``findCorrelation``).
-
-    ``exact`` (default when p < 100): visit columns in decreasing mean |r|
-    order; for each pair above the cutoff drop the column whose mean |r|
-    (recomputed over the still-kept columns) is larger.  Otherwise the fast
-    form: mean |r| computed once, for each pair above the cutoff drop the
-    column with the larger mean.
+def find_correlation(corr: np.ndarray, cutoff: float = 0.9, exact: bool = True) -> list[int]:
+    """Indices of columns to drop so that no remaining pair has |r| above ``cutoff``.
+
+    Of a pair above the cutoff, the column that is more correlated with the others goes.
+    ``exact``: columns are visited by decreasing mean |r|, and the first of a pair goes if its
+    mean |r| with the columns still there exceeds the mean |r| of the other remaining columns.
+    Otherwise the two columns' means over all columns, taken once, decide.
     """
-    x = np.abs(np.asarray(corr, dtype=float))
-    p = x.shape[0]
+    r = np.abs(np.asarray(corr, dtype=float))
+    p = r.shape[0]
     if p < 2:
         return []
-    if exact is None:
-        exact = p < 100
     if not exact:
-        avg = x.mean(axis=0)
-        drop = set()
-        for i in range(p):
-            for j in range(i + 1, p):
-                if x[i, j] > cutoff:
-                    drop.add(j if avg[j] > avg[i] else i)
-        return sorted(drop)
-    off = x.copy()
-    np.fill_diagonal(off, np.nan)
-    order = np.argsort(-np.nanmean(off, axis=0), kind="stable")
-    xo = x[np.ix_(order, order)]
-    x2 = xo.copy()
-    np.fill_diagonal(x2, np.nan)
-    deleted = np.zeros(p, dtype=bool)
-    for i in range(p - 1):
-        if not np.any(x2[~np.isnan(x2)] > cutoff):
-            break
-        if deleted[i]:
-            continue
-        for j in range(i + 1, p):
-            if not deleted[i] and not deleted[j] and xo[i, j] > cutoff:
-                mn1 = np.nanmean(x2[i, :])
-                mn2 = np.nanmean(np.delete(x2, j, axis=0))
-                if mn1 > mn2:
-                    deleted[i] = True
-                    x2[i, :] = np.nan
-                    x2[:, i] = np.nan
-                else:
-                    deleted[j] = True
-                    x2[j, :] = np.nan
-                    x2[:, j] = np.nan
-    return sorted(int(order[k]) for k in np.where(deleted)[0])
+        mean = r.mean(axis=0)
+        pairs = np.argwhere(np.triu(r > cutoff, 1))
+        return sorted({int(j if mean[j] > mean[i] else i) for i, j in pairs})
+    r = r.copy()
+    np.fill_diagonal(r, 0.0)
+    there = np.ones(p, dtype=bool)
+    visit = np.argsort(-(r.sum(axis=0) / (p - 1)), kind="stable")
+    for at, first in enumerate(visit):
+        for second in visit[at + 1:]:
+            if not there[first]:
+                break
+            if not there[second] or r[first, second] <= cutoff:
+                continue
+            others = there.sum() - 1
+            own = r[first, there].sum() / others
+            without_second = there.copy()
+            without_second[second] = False
+            rest = r[np.ix_(without_second, there)].sum() / others ** 2
+            there[first if own > rest else second] = False
+    return np.flatnonzero(~there).tolist()
 
 
 def correlation_filter(df: DataFrame, cols: Sequence[str], cutoff: float = 0.9,
-                       protect: Sequence[str] = ()) -> list[str]:
+                       protect: Sequence[str] = (), exact: bool = True) -> list[str]:
     """Names of columns to drop (M4); ``protect`` keeps named columns even if flagged."""
     cols = list(cols)
-    drop = [cols[i] for i in find_correlation(correlation_matrix(df, cols), cutoff)]
+    drop = [cols[i] for i in find_correlation(correlation_matrix(df, cols), cutoff, exact)]
     return [c for c in drop if c not in set(protect)]

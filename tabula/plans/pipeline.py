@@ -145,8 +145,8 @@ def build_feature_table(spark: SparkSession, t: dict, cfg: PipelineConfig | None
     # Group statistics joined back
     if cfg.group_stats:
         exprs = {suffix: F.col(src) for suffix, src in GROUP_STAT_INPUTS.items()}
-        for prefix, keys in GROUP_BLOCKS.items():
-            merged = groupstats.add_group_stats(merged, keys, groupstats.mean_stats(prefix, exprs))
+        merged = groupstats.add_group_blocks(merged, [(keys, groupstats.mean_stats(prefix, exprs))
+                                                      for prefix, keys in GROUP_BLOCKS.items()])
     # Encode, clean; write the wide table once (lineage cut, restart point)
     merged = clean.clean_non_finite(encode.label_encode(merged))
     wide = materialize(merged, "feature-table-wide")
@@ -155,7 +155,8 @@ def build_feature_table(spark: SparkSession, t: dict, cfg: PipelineConfig | None
     wide = wide.drop(*selection.nzv_columns(wide, feats))
     feats = [c for c in wide.columns if c not in ids]
     imputed = impute.mean_impute(wide, feats)
-    drop = selection.correlation_filter(imputed, feats, cfg.corr_cutoff)
+    # the reference's default: averages are taken anew after each drop below a hundred columns only
+    drop = selection.correlation_filter(imputed, feats, cfg.corr_cutoff, exact=len(feats) < 100)
     k = min(cfg.pca_k, len(feats))
     pcs = reduce.pca_scores(imputed, feats, k, keep=["SK_ID_CURR"])
     return materialize(wide.drop(*drop).join(pcs, "SK_ID_CURR", "left"), "feature-table")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tabula.functions import columns as C
@@ -14,6 +13,7 @@ from tabula.operators.split import hash_split
 from tabula.plans import analog
 from tabula.plans import sqlkit as S
 from tabula.plans.registry import query
+from tabula.session import keep
 
 A = analog.SQL
 SPLIT_SQL = "(('0x' || substr(md5(concat({k}::VARCHAR, ':', '42')), 1, 8))::BIGINT < {thr})"
@@ -289,7 +289,7 @@ GROUP_BLOCKS = {
     "org_edu_": ["ORGANIZATION_TYPE", "NAME_EDUCATION_TYPE"],
     "occ_": ["OCCUPATION_TYPE"],
 }
-VAR_BLOCKS = {"age_": ["age_bucket"], "occ_": ["OCCUPATION_TYPE"]}
+VAR_BLOCKS = {"age_": ["age_bucket"], **GROUP_BLOCKS}
 _KEYS = ["age_bucket", "CODE_GENDER", "NAME_EDUCATION_TYPE", "ORGANIZATION_TYPE", "OCCUPATION_TYPE"]
 
 
@@ -317,10 +317,10 @@ def _build_group(blocks, with_var):
     def build(t, spark):
         # read by every statistics table and by the joins: keep it instead of
         # recomputing the orders roll-up once per block
-        a = applicant_features(t).persist(StorageLevel.MEMORY_AND_DISK)
-        for prefix, keys in blocks.items():
-            exprs = {suffix: F.col(src) for suffix, src in GROUP_STAT_INPUTS.items()}
-            a = groupstats.add_group_stats(a, keys, groupstats.mean_stats(prefix, exprs, with_var))
+        a = keep(applicant_features(t))
+        exprs = {suffix: F.col(src) for suffix, src in GROUP_STAT_INPUTS.items()}
+        a = groupstats.add_group_blocks(a, [(keys, groupstats.mean_stats(prefix, exprs, with_var))
+                                            for prefix, keys in blocks.items()])
         names = [f"{p}{s}{v}" for p in blocks for s in GROUP_STAT_INPUTS for v in (("", "_var") if with_var else ("",))]
         return a.select("SK_ID_CURR", *_KEYS, *names)
     return build

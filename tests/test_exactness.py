@@ -63,3 +63,32 @@ def test_score_files_in_one_folder_keep_their_names(spark, tmp_path):
         (tmp_path / f"{n}.csv").write_text(f"SK_ID_CURR,TARGET\n7,{v}\n")
     out = read_score_files(spark, {"a": os.path.join(tmp_path, "a_*.csv"), "b": os.path.join(tmp_path, "b_*.csv")})
     assert sorted(map(tuple, out.collect())) == [("a", 7, 0.1), ("b", 7, 0.2)]
+
+
+def test_median_of_hot_null_category(spark, monkeypatch):
+    from tabula.operators import bundles, groupstats
+    rows = [(None, float(v)) for v in (5, 1, 9, 3)] + [("a", float(v)) for v in (2, 8, 4)] + [("b", 7.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    want = {None: 4.0, "a": 4.0, "b": 7.0}
+    for hot in (bundles.HOT_ROWS, 2):
+        monkeypatch.setattr(bundles, "HOT_ROWS", hot)
+        got = groupstats.median_lookup(df, "k", "x", "m").select("k", "m").distinct().collect()
+        assert {r["k"]: r["m"] for r in got} == want and len(got) == 3
+
+
+def test_hot_rollup_median_of_the_null_key(spark):
+    from tabula.operators.bundles import rollup
+    df = spark.createDataFrame([(None, 1), (None, 2), (None, 4), (1, 3), (1, 5)], "k int, x long")
+    normal = {tuple(r) for r in rollup(df, "k", ["mean", "median", "n_distinct"]).collect()}
+    hot = {tuple(r) for r in rollup(df, "k", ["mean", "median", "n_distinct"], hot_rows=1).collect()}
+    assert normal == hot and (None, 7 / 3, 2.0, 3) in hot
+
+
+def test_row_kurtosis_equals_numpy(spark):
+    import numpy as np
+    from tabula.functions import rowwise
+    df = spark.createDataFrame([(1.0, 2.0, 4.0, 9.0), (3.0, -1.0, 0.5, 2.0)], "a double, b double, c double, d double")
+    for r in df.withColumn("k", rowwise.row_kurtosis(list("abcd"))).withColumn("s", rowwise.row_sd(list("abcd"))).collect():
+        x = np.array(r[:4])
+        assert abs(r["k"] - ((x - x.mean()) ** 4).mean() / x.var() ** 2) < 1e-12
+        assert abs(r["s"] - x.std(ddof=1)) < 1e-12
