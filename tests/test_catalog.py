@@ -27,7 +27,7 @@ def test_every_query_has_sql_or_is_declared_rows_only():
     assert set(sql) <= set(qs)
     rows_only = set(CATALOG) - set(sql)
     assert rows_only == {"corr_filter_pairwise", "pca_scores", "svd_scores_uncentered", "soft_impute",
-                         "gbt_scores", "importance_topk", "feature_table_pipeline"}
+                         "gbt_scores", "gbt_scores_weighted", "importance_topk", "feature_table_pipeline"}
 
 
 @pytest.mark.parametrize("name", FAST)
