@@ -11,7 +11,8 @@ the other, so no broadcast grows past that size.
 
 Rows are told apart by (id, hash of text), so repeated rows each get the same
 result.  Null and empty texts have no words.  Null item ids mark hits but are
-not counted as items.  Empty tables give empty results.
+not counted as items.  Empty tables give empty results.  Extra columns of documents,
+whatever their names, pass through.
 """
 
 from __future__ import annotations

@@ -133,6 +133,23 @@ def test_spans_are_cut_and_the_rest_stays(spark):
     assert rows(decontaminate.remove_spans(docs, bench)) == [(1, "(Say) four."), (2, "untouched text"), (3, None)]
 
 
+CLASHING = ("bad_id", "bad_th", "hit_id", "hit_th", "found", "row_nr", "fp", "gone_nr", "is_target", "target_id",
+            "log_weight", "gumbel_key", "selected", "cleaned", "nr", "root", "node", "th")
+
+
+def test_extra_columns_with_clashing_names_pass_through(spark):
+    data = [(1, "one two three here", *["v"] * len(CLASHING)), (2, "nothing of that kind", *[None] * len(CLASHING)), (None, None, *["w"] * len(CLASHING))]
+    docs = spark.createDataFrame(data, "doc_id long, text string, " + ", ".join(f"{c} string" for c in CLASHING))
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    assert rows(decontaminate.remove_documents(docs, bench)) == sorted(data[1:], key=repr)
+    cut = [(1, "here", *data[0][2:]), *data[1:]]
+    assert rows(decontaminate.remove_spans(docs, bench)) == sorted(cut, key=repr)
+    everything = sorted(data, key=repr)
+    assert rows(simhash.keep_one(docs)) == everything
+    assert rows(secrets.redact(docs, RANKS)) == everything
+    assert rows(importance.keep_selected(docs, labels_of(spark, []))) == everything
+
+
 # languages
 
 def test_language_accuracy_on_held_out_documents(spark):
