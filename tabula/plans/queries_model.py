@@ -14,7 +14,9 @@ from tabula.plans import sqlkit as S
 from tabula.plans.registry import query
 from tabula.plans.queries_stats import PREV_SQL, previous_apps, split_sql
 from tabula.session import keep
-from tabula.sources.sinks import fill_template
+from tabula.operators.joins import align_on_key
+from tabula.sources.sinks import fill_template, materialize, score_file_name, scratch_folder, write_scores
+from tabula.sources.tables import read_score_files
 
 A = analog.SQL
 
@@ -158,6 +160,28 @@ def blend_median(t, spark):
 _NAMES = [f"t{i}" for i in range(1, 8)]
 
 
+def written_score_files(t, spark) -> dict:
+    """Each score table written as a file of its own (key, score); name -> path."""
+    folder = scratch_folder(spark, "score-files")
+    wide = materialize(align_on_key(score_tables(t), "SK_ID_CURR", "TARGET"), "scores")
+    for n in _NAMES:
+        write_scores(wide, wide.select("SK_ID_CURR", F.col(n).alias("TARGET")), f"{folder}/{n}")
+    return {n: f"{folder}/{n}" for n in _NAMES}
+
+
+@query("score_files_long", ops="S8 S6 S7", doubles=["TARGET"], sql=" UNION ALL ".join(
+    f"SELECT '{n}' AS source, SK_ID_CURR, {n} AS TARGET FROM ({SCORES_SQL}) s" for n in _NAMES))
+def score_files_long(t, spark):
+    return read_score_files(spark, written_score_files(t, spark))
+
+
+@query("blend_score_files", ops="S8 J6 L8 C16", sql=_blend_sql(BLEND_80_20), doubles=["TARGET"])
+def blend_score_files(t, spark):
+    files = written_score_files(t, spark)
+    frames = {n: read_score_files(spark, {n: path}) for n, path in files.items()}
+    return B.blend(frames, "SK_ID_CURR", "TARGET", "weighted", BLEND_80_20)
+
+
 @query("score_correlation", ops="M9 M2 J6",
        sql=" UNION ALL ".join(
            f"SELECT '{a}' AS col_a, '{b}' AS col_b, {S.nonfinite_null(f'corr({a}, {b})')} AS corr FROM ({SCORES_SQL}) s"
@@ -307,6 +331,28 @@ def svd_scores_uncentered(t, spark):
     return reduce.svd_scores_array(embedding_vectors(t), "x", 64, 3, keep=["vec_id"])
 
 
+def _row_length(scores, key, k):
+    return scores.select(key, sum((F.col(f"PC{i}") * F.col(f"PC{i}") for i in range(1, k + 1)), F.lit(0.0)).alias("sq_length"))
+
+
+#: With as many components as columns, scores are a rotation of the rows and keep their lengths.
+@query("svd_full_lengths", ops="M6", doubles=["sq_length"],
+       sql="SELECT vec_id, list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) AS sq_length FROM embeddings")
+def svd_full_lengths(t, spark):
+    return _row_length(reduce.svd_scores_array(embedding_vectors(t), "x", 64, 64, keep=["vec_id"]), "vec_id", 64)
+
+
+_SCALED = [c for c in NUM_COLS if c != "FLAG_MOBIL"]
+
+
+@query("pca_full_lengths", ops="M5 M3", doubles=["sq_length"], sql="SELECT SK_ID_CURR, " + " + ".join(
+    f"pow(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 2)" for c in _SCALED) + f" AS sq_length FROM ({_IMPUTED_SQL}) i")
+def pca_full_lengths(t, spark):
+    imputed = impute.mean_impute(numeric_applicants(t), NUM_COLS)
+    scores = reduce.pca_scores(imputed, _SCALED, k=len(_SCALED), keep=["SK_ID_CURR"])
+    return _row_length(scores, "SK_ID_CURR", len(_SCALED))
+
+
 _KNN_K = 5
 _KNN_FOLDS = 5
 
@@ -326,13 +372,32 @@ _KNN_SQL = f"""
     FROM ranked WHERE j <= {_KNN_K}"""
 
 
-@query("knn_class_distance_sums", ops="L1 O3 L10", sql=_KNN_SQL, doubles=["dist_sum"])
+@query("knn_class_distance_sums", ops="L1 O3", sql=_KNN_SQL, doubles=["dist_sum"])
 def knn_class_distance_sums(t, spark):
+    return knn_distance_frame(t)
+
+
+def knn_distance_frame(t):
     v = split.hash_split(embedding_vectors(t), "vec_id", _VALID_P, labels=("train", "test"))
     v = v.withColumn("fold", F.when(F.col("split") == "train", split.hash_fold("vec_id", _KNN_FOLDS, seed=7))
                      .otherwise(F.lit(-1)))
     train_rows = v.where(F.col("split") == "train")
-    return knn.knn_distance_sums(train_rows, v, "vec_id", "x", "label", _KNN_K, fold="fold", block_rows=256)
+    return knn.knn_distance_sums(train_rows, v, "vec_id", "x", "label", _KNN_K, fold="fold")
+
+
+_KNN_CLASSES = range(10)                # the classes of the embeddings table
+_KNN_COLUMNS = [f"knn_{c}_{j}" for c in _KNN_CLASSES for j in range(1, _KNN_K + 1)]
+
+
+@query("knn_columns_by_split", ops="L1 L10 O3 L2", doubles=_KNN_COLUMNS, sql=f"""
+    SELECT e.vec_id, CASE WHEN {split_sql('e.vec_id', _VALID_P)} THEN 'train' ELSE 'test' END AS split,
+           {', '.join(f"max(CASE WHEN k.label = {c} AND k.j = {j} THEN k.dist_sum END) AS knn_{c}_{j}"
+                      for c in _KNN_CLASSES for j in range(1, _KNN_K + 1))}
+    FROM embeddings e LEFT JOIN ({_KNN_SQL}) k ON e.vec_id = k.vec_id GROUP BY e.vec_id""")
+def knn_columns_by_split(t, spark):
+    table = split.hash_split(t["embeddings"].select("vec_id"), "vec_id", _VALID_P, labels=("train", "test"))
+    columns = knn.distance_columns(knn_distance_frame(t), "vec_id", "label", _KNN_K, list(_KNN_CLASSES))
+    return knn.with_columns(table, columns, "vec_id")
 
 
 @query("soft_impute", ops="M7")
@@ -379,6 +444,18 @@ def gbt_scores_weighted(t, spark):
     return train.score(res, data.where(F.col("split") == "test"), "SK_ID_CURR")
 
 
+@query("train_score_write", ops="L3 L4 L5 S6 S7 S8 C17")
+def train_score_write(t, spark):
+    """Fit, score the test rows, write the score file named by the validation AUC, read it back."""
+    res, data = fitted(t, POS_WEIGHT)
+    test = data.where(F.col("split") == "test")
+    auc = float("nan") if res.valid_auc is None else res.valid_auc
+    name = score_file_name("scores_", auc)
+    path = f"{scratch_folder(spark, 'submission')}/{name}"
+    write_scores(test.select("SK_ID_CURR"), train.score(res, test, "SK_ID_CURR"), path)
+    return read_score_files(spark, {name: path}).withColumn("valid_auc", F.lit(auc))
+
+
 @query("importance_topk", ops="L7 O1")
 def importance_topk(t, spark):
     res, _ = fitted(t)

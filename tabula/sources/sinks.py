@@ -9,10 +9,9 @@ S7  a submission template is filled by *key* (left join), never by position.
 
 from __future__ import annotations
 
-import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.session import checkpoint_dir
@@ -33,11 +32,16 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     one-node lineage.  The folder comes from the session (``checkpoint_dir``).
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", f"{name or 'tbl'}-{uuid.uuid4().hex[:12]}")
+    path = scratch_folder(spark, name or "tbl")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the session's shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def score_file_name(prefix: str, metric: float, digits: int = 5) -> str:
     return f"{prefix}{round(float(metric), digits)}.csv"
 

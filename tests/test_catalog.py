@@ -11,7 +11,8 @@ from tests.oracle_compare import compare, duck
 
 FAST = ["sentinel_null_out", "ratio_ieee", "cut_right_closed", "row_kurtosis", "bundle_moments",
         "category_means_two_keys", "label_encode", "onehot_max_levels", "blend_median", "auc_rank",
-        "nzv_columns", "knn_class_distance_sums", "gram_matrix_long", "group_median_lookup"]
+        "nzv_columns", "knn_class_distance_sums", "knn_columns_by_split", "gram_matrix_long",
+        "svd_full_lengths", "pca_full_lengths", "blend_score_files", "group_median_lookup"]
 
 
 def test_entry_smoke(spark):
@@ -27,7 +28,7 @@ def test_every_query_has_sql_or_is_declared_rows_only():
     assert set(sql) <= set(qs)
     rows_only = set(CATALOG) - set(sql)
     assert rows_only == {"corr_filter_pairwise", "pca_scores", "svd_scores_uncentered", "soft_impute",
-                         "gbt_scores", "gbt_scores_weighted", "importance_topk", "feature_table_pipeline"}
+                         "gbt_scores", "gbt_scores_weighted", "train_score_write", "importance_topk", "feature_table_pipeline"}
 
 
 @pytest.mark.parametrize("name", FAST)
@@ -43,6 +44,14 @@ def test_rows_only_queries_run(spark):
         assert e.queries()[name](spark, SF_SMALL).count() >= 0
 
 
+def test_train_score_write(spark):
+    import __spark_entry__ as e
+    got = e.queries()["train_score_write"](spark, SF_SMALL).collect()
+    assert got and len({r["SK_ID_CURR"] for r in got}) == len(got)
+    assert all(0 <= r["TARGET"] <= 1 for r in got)
+    assert len({r["source"] for r in got}) == 1 and f"{round(got[0]['valid_auc'], 4)}"[:5] in got[0]["source"]
+
+
 def test_score_files_round_trip(spark):
     from tabula.sources import read_score_files, write_scores
     d = tempfile.mkdtemp(prefix="tabula-scores-")
