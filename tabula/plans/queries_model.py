@@ -14,7 +14,6 @@ from tabula.plans import sqlkit as S
 from tabula.plans.registry import query
 from tabula.plans.queries_stats import PREV_SQL, previous_apps, split_sql
 from tabula.session import keep
-from tabula.operators.joins import align_on_key
 from tabula.sources.sinks import fill_template, materialize, score_file_name, scratch_folder, write_scores
 from tabula.sources.tables import read_score_files
 
@@ -112,16 +111,23 @@ def entity_merge(t, spark):
 # ---------------------------------------------------------------------------
 # Score tables, template fill, blends, AUC
 # ---------------------------------------------------------------------------
+_NAMES = [f"t{i}" for i in range(1, 8)]
+
+
+def score_wide(t):
+    """All seven scores as columns of one derivation."""
+    return analog.applicants(t).select(
+        "SK_ID_CURR",
+        F.col("EXT_SOURCE_1").alias("t1"), F.col("EXT_SOURCE_2").alias("t2"), F.col("EXT_SOURCE_3").alias("t3"),
+        X.ieee_divide("CNT_CHILDREN", "CNT_FAM_MEMBERS").alias("t4"),
+        (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("AMT_ANNUITY") / 100000))).alias("t5"),
+        (F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("DAYS_BIRTH") / 1000))).alias("t6"),
+        ((F.col("EXT_SOURCE_1") + F.col("EXT_SOURCE_2") + F.col("EXT_SOURCE_3")) / 3).alias("t7"))
+
+
 def score_tables(t) -> dict:
-    a = analog.applicants(t)
-    exprs = {
-        "t1": F.col("EXT_SOURCE_1"), "t2": F.col("EXT_SOURCE_2"), "t3": F.col("EXT_SOURCE_3"),
-        "t4": X.ieee_divide("CNT_CHILDREN", "CNT_FAM_MEMBERS"),
-        "t5": F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("AMT_ANNUITY") / 100000)),
-        "t6": F.lit(1.0) / (F.lit(1.0) + F.exp(F.col("DAYS_BIRTH") / 1000)),
-        "t7": (F.col("EXT_SOURCE_1") + F.col("EXT_SOURCE_2") + F.col("EXT_SOURCE_3")) / 3,
-    }
-    return {n: a.select("SK_ID_CURR", e.alias("TARGET")) for n, e in exprs.items()}
+    wide = score_wide(t)
+    return {n: wide.select("SK_ID_CURR", F.col(n).alias("TARGET")) for n in _NAMES}
 
 
 SCORES_SQL = f"""
@@ -157,13 +163,10 @@ def blend_median(t, spark):
     return B.blend(score_tables(t), "SK_ID_CURR", "TARGET", "median")
 
 
-_NAMES = [f"t{i}" for i in range(1, 8)]
-
-
 def written_score_files(t, spark) -> dict:
     """Each score table written as a file of its own (key, score); name -> path."""
     folder = scratch_folder(spark, "score-files")
-    wide = materialize(align_on_key(score_tables(t), "SK_ID_CURR", "TARGET"), "scores")
+    wide = materialize(score_wide(t), "scores")
     for n in _NAMES:
         write_scores(wide, wide.select("SK_ID_CURR", F.col(n).alias("TARGET")), f"{folder}/{n}")
     return {n: f"{folder}/{n}" for n in _NAMES}
@@ -220,12 +223,10 @@ def _auc_sql():
 
 @query("auc_rank", ops="L6", sql=_auc_sql(), doubles=["auc"])
 def auc_rank(t, spark):
-    lab = analog.labels(t)
-    long = None
-    for n, df in score_tables(t).items():
-        part = df.join(lab.withColumnRenamed("TARGET", "y"), "SK_ID_CURR").select(
-            F.lit(n).alias("score_name"), F.col("TARGET").alias("s"), "y")
-        long = part if long is None else long.unionByName(part)
+    # one derivation of all scores, then one row per (score, applicant)
+    wide = score_wide(t).join(analog.labels(t).withColumnRenamed("TARGET", "y"), "SK_ID_CURR")
+    pairs = F.array(*[F.struct(F.lit(n).alias("score_name"), F.col(n).cast("double").alias("s")) for n in _NAMES])
+    long = wide.select("y", F.explode(pairs).alias("p")).select("p.score_name", "p.s", "y")
     return metrics.auc(long, "y", "s", by=["score_name"])
 
 
@@ -400,13 +401,30 @@ def knn_columns_by_split(t, spark):
     return knn.with_columns(table, columns, "vec_id")
 
 
+_SOFT = ["income", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "children"]
+
+
+def soft_input(t):
+    return numeric_applicants(t).select("SK_ID_CURR", (F.col("AMT_INCOME_TOTAL") / 10000).alias("income"),
+                                        "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
+                                        (F.col("CNT_CHILDREN") / 10).alias("children"))
+
+
 @query("soft_impute", ops="M7")
 def soft_impute(t, spark):
-    a = numeric_applicants(t).select("SK_ID_CURR", (F.col("AMT_INCOME_TOTAL") / 10000).alias("income"),
-                                     "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
-                                     (F.col("CNT_CHILDREN") / 10).alias("children"))
-    return impute.soft_impute(a, "SK_ID_CURR", ["income", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "children"],
-                              rank=3, lam=1.9, max_iter=30, unfinished="warn")
+    return impute.soft_impute(soft_input(t), "SK_ID_CURR", _SOFT, rank=3, lam=1.9, max_iter=30, unfinished="warn")
+
+
+#: An invariant only: observed cells come back unchanged and no cell is left null.
+@query("soft_impute_observed", ops="M7", doubles=_SOFT,
+       sql=f"""SELECT SK_ID_CURR, AMT_INCOME_TOTAL::DOUBLE / 10000 AS income, EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3,
+                      CNT_CHILDREN::DOUBLE / 10 AS children, 0 AS n_null FROM ({NUMERIC_SQL}) n""")
+def soft_impute_observed(t, spark):
+    full = soft_impute(t, spark)
+    seen = soft_input(t).select("SK_ID_CURR", *[F.col(c).isNotNull().alias(f"seen_{c}") for c in _SOFT])
+    n_null = sum((F.col(c).isNull().cast("int") for c in _SOFT), F.lit(0))
+    return full.join(seen, "SK_ID_CURR").select(
+        "SK_ID_CURR", *[F.when(F.col(f"seen_{c}"), F.col(c)).alias(c) for c in _SOFT], n_null.alias("n_null"))
 
 
 # ---------------------------------------------------------------------------
