@@ -6,10 +6,11 @@ lineage, survive lost executors and are removed when the driver's JVM ends.
 
 from __future__ import annotations
 
+import math
 import uuid
 from bisect import bisect_left
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabula.session import checkpoint_dir
 
@@ -50,16 +51,24 @@ def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int, limit: int = BROAD
     return F.broadcast(df) if rows * row_bytes <= limit else df
 
 
-def hash_sample(df: DataFrame, key: Column, rows: int, seed: int = 7) -> DataFrame:
-    """About ``rows`` rows chosen by the hash of ``key`` (all, if there are no more).
+def hash_sample(df: DataFrame, rows: int, seed: int = 7) -> DataFrame:
+    """At least ``rows`` of the distinct rows (all, if there are no more), and not many more.
 
-    The choice depends on the key alone, so a recomputed partition chooses alike.
+    The choice is by the rows' 64-bit hashes, so a recomputed partition chooses alike, and however
+    often a row is repeated it is chosen once or not at all.
     """
-    n = df.count()
-    if n <= rows:
-        return df
-    cells = 1 << 20
-    return df.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(cells)) < int(cells * rows / n))
+    value = F.xxhash64(F.lit(seed), *(F.col(c) for c in df.columns))
+    n = df.agg(F.approx_count_distinct(value, 0.02)).collect()[0][0]
+    # room for the count's error (three times 2 %) and the spread of the choice
+    want = 1.07 * (rows + 6 * math.sqrt(rows) + 10)
+    if n > want:
+        df = df.filter(value < F.lit(hash_bound(want, n)))
+    return df.distinct()
+
+
+def hash_bound(rows: float, n: int) -> int:
+    """The signed 64-bit value below which ``rows`` of ``n`` hashes are expected."""
+    return -(1 << 63) + int((1 << 64) * min(rows / n, 1 - 2 ** -53))
 
 
 def kth_largest(df: DataFrame, col: str, k: int, step: int = 12) -> int | None:

@@ -125,7 +125,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     added columns.
     """
     ids = target_ids.select(F.col(id_col).alias("target_id")).dropna().distinct()
-    ids = written(hash_sample(ids, F.col("target_id"), max_targets), "targets")
+    ids = written(hash_sample(ids, max_targets), "targets")
     n_ids = ids.count()
     flag, weight, key = (free_name(docs.columns, c) for c in ("is_target", "log_weight", "gumbel_key"))
     tid = free_name([*docs.columns, flag], "target_id")

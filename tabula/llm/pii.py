@@ -275,9 +275,9 @@ def find(texts: list[str | None], model: Field | None, least_belief: float = 0.6
 
 
 def fit(docs: DataFrame, max_rows: int = 4000) -> Field | None:
-    """Train on about ``max_rows`` of the documents with a digit or an @."""
+    """Train on about ``max_rows`` of the distinct texts with a digit or an @."""
     texts = docs.select("text").filter(F.col("text").rlike("[0-9@]"))
-    return train([r["text"] for r in hash_sample(texts, F.col("text"), max_rows).collect()])
+    return train([r["text"] for r in hash_sample(texts, max_rows).collect()])
 
 
 def joined(spans: list[Span]) -> str:

@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> OrdinalMo
     if len(n) < 2:
         return None
     most = {1: max(max_rows // 2, max_rows - n[0]), 0: max(max_rows - max_rows // 2, max_rows - n[1])}
-    part = [hash_sample(known.filter(F.col("toxic") == t), F.col("doc_id"), most[t]) for t in (0, 1)]
+    part = [hash_sample(known.filter(F.col("toxic") == t), most[t]) for t in (0, 1)]
     got = docs.select("doc_id", "text").join(F.broadcast(part[0].unionAll(part[1])), "doc_id").select("text", "toxic").mapInArrow(
         _featurise, "toxic int, idx binary, cnt binary").collect()
     toxic = np.array([r["toxic"] for r in got], np.int64)
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> OrdinalMo
     idx = [np.cumsum(np.frombuffer(zlib.decompress(r["idx"]), "<i4"), dtype=np.int32) for r in got]
     cnt = [np.frombuffer(zlib.decompress(r["cnt"]), "<i4") for r in got]
     # a label sampled more thinly than the other stands for more rows
-    weight = np.array([max(n[t] / most[t], 1.0) for t in (0, 1)])[toxic]
+    weight = np.array([max(n[t] / part[t].count(), 1.0) for t in (0, 1)])[toxic]
     return fit_ordinal(idx, grade_rows(idx, cnt, toxic), cnt=cnt, weight=weight)
 
 

@@ -104,10 +104,10 @@ def read_archive(content: bytes) -> Iterator[bytes]:
 
 
 def train_dictionary(pages: DataFrame, size: int = 64 << 10, sample_records: int = 400, sample_bytes: int = 16 << 10) -> bytes:
-    """Dictionary from the records of about ``sample_records`` pages, chosen by hash; empty if too few."""
+    """Dictionary from the records of about ``sample_records`` distinct pages, chosen by hash; empty if too few."""
     rows = hash_sample(pages.select("page_id", "url", F.substring("html", 1, sample_bytes).alias("html")),
-                       F.col("page_id"), sample_records).collect()
-    rows.sort(key=lambda r: (r["page_id"] is None, r["page_id"]))
+                       sample_records).collect()
+    rows.sort(key=lambda r: tuple((v is None, v) for v in r))
     samples = [encode_record(r["page_id"], r["url"], (r["html"] or "").encode("utf-8", "replace"), None, False) for r in rows]
     if sum(map(len, samples)) < 20 * 1024 or len(samples) < 20:
         return b""

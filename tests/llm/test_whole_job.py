@@ -31,3 +31,18 @@ def test_stems_inside_varying_words_are_features():
     score = [(model.weights[b] * toxicity.values(b, n)).sum() for b, n in ((i, c), (j, d))]
     flag = model.above(np.array(score))[:, 0] >= 0.5
     assert flag.tolist() == [True, False]
+
+
+# samples
+
+def test_samples_are_never_empty_and_hold_a_repeated_row_once(spark):
+    for n in (10 ** 6, 10 ** 9, 10 ** 12, 10 ** 15):
+        assert abs((common.hash_bound(400, n) + (1 << 63)) / (1 << 64) * n - 400) < 1
+    unique = spark.range(20_000).select(F.concat(F.lit("text "), "id").alias("text"))
+    many = unique.unionByName(spark.range(10_000).select(F.lit("the same").alias("text")))
+    many = many.unionByName(spark.range(5_000).select(F.lit(None).cast("string").alias("text")))
+    for seed in range(3):
+        got = [r.text for r in common.hash_sample(many, 400, seed).collect()]
+        assert 400 <= len(got) == len(set(got)) < 700
+    assert common.hash_sample(many, 30_000).count() == 20_002
+    assert common.hash_sample(many, 1).count() >= 1
