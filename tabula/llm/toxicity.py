@@ -115,15 +115,46 @@ def grade_rows(idx: list[np.ndarray], cnt: list[np.ndarray], toxic: np.ndarray,
     return np.where(toxic == 0, 0, 1 + (held >= 3) + (held >= 6))
 
 
-def trust(col: np.ndarray, rows: np.ndarray, value: np.ndarray, grade: np.ndarray, weight: np.ndarray, half_z: float = 5.0) -> np.ndarray:
+class _Rows:
+    """Rows of buckets and values, end to end; sums are taken over some rows at a time to spare the driver's memory."""
+
+    def __init__(self, idx: list[np.ndarray], cnt: list[np.ndarray] | None, part: int = 1 << 19):
+        self.sizes = np.array([len(i) for i in idx], np.int64)
+        self.col = np.concatenate(idx).astype(np.int32, copy=False) if len(idx) else np.zeros(0, np.int32)
+        self.value = np.ones(self.col.size, np.float32)
+        at = np.concatenate([[0], np.cumsum(self.sizes)])
+        if cnt is not None:
+            for i, c, a, b in zip(idx, cnt, at, at[1:]):
+                self.value[a:b] = values(i, c)
+        self.parts: list[tuple[slice, slice]] = []
+        first = 0
+        for r in range(1, len(idx) + 1):
+            if r == len(idx) or at[r + 1] - at[first] > part:
+                self.parts.append((slice(first, r), slice(at[first], at[r])))
+                first = r
+
+    def by_row(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.sizes.size)
+        for r, e in self.parts:
+            n = r.stop - r.start
+            out[r] = np.bincount(np.repeat(np.arange(n), self.sizes[r]), weights=weights[self.col[e]] * self.value[e], minlength=n)
+        return out
+
+    def by_bucket(self, of_row: np.ndarray, power: int = 1) -> np.ndarray:
+        out = np.zeros(BUCKETS)
+        for r, e in self.parts:
+            out += np.bincount(self.col[e], weights=np.repeat(of_row[r], self.sizes[r]) * self.value[e] ** power, minlength=BUCKETS)
+        return out
+
+
+def trust(x: _Rows, grade: np.ndarray, weight: np.ndarray, half_z: float = 5.0) -> np.ndarray:
     """Share in 0..1 of each bucket's weight that counts, by how far its rows' grades are from all
     rows': half at ``half_z`` standard errors.  The penalty on a bucket's weight is the larger the
     smaller its share; no bucket is left out."""
     above = np.array(grade) > 0
     p = np.average(above, weights=weight)
-    size = int(col.max(initial=-1)) + 1
-    num = np.bincount(col, weights=((above - p) * weight)[rows] * value, minlength=size)
-    var = np.bincount(col, weights=(weight * weight * np.where(above, (1 - p) ** 2, p * p))[rows] * value * value, minlength=size)
+    num = x.by_bucket((above - p) * weight)
+    var = x.by_bucket(weight * weight * np.where(above, (1 - p) ** 2, p * p), 2)
     z2 = num * num / np.maximum(var, 1e-12)
     return z2 / (z2 + half_z * half_z)
 
@@ -132,15 +163,10 @@ def fit_ordinal(idx: list[np.ndarray], grade: np.ndarray, l2: float = 1e-3, step
                 cnt: list[np.ndarray] | None = None, weight: np.ndarray | None = None) -> OrdinalModel:
     """Full-batch Adam on the cumulative-link log likelihood of the rows (times ``weight``), L2 on the
     weights before they are scaled by their bucket's share of trust."""
-    sizes = np.array([len(i) for i in idx], np.int64)
-    flat = np.concatenate(idx) if len(idx) else np.zeros(0, np.int32)
-    rows = np.repeat(np.arange(len(idx)), sizes)
-    value = values(flat, np.concatenate(cnt) if cnt else 1).astype(np.float64)
+    x = _Rows(idx, cnt)
     weight = np.ones(len(idx)) if weight is None else weight / weight.mean()
-    used, col = np.unique(flat, return_inverse=True)
-    scale = trust(col, rows, value, grade, weight)
-    value *= scale[col]
-    n, d, k = len(idx), used.size, GRADES - 1
+    scale = trust(x, grade, weight)
+    n, d, k = len(idx), BUCKETS, GRADES - 1
     share = np.array([(np.sum(weight * (grade <= j)) + 0.5) / (n + 1.0) for j in range(k)])
     first = np.log(share / (1 - share))
     # theta_0 and the logs of the gaps: thresholds stay in order
@@ -150,7 +176,7 @@ def fit_ordinal(idx: list[np.ndarray], grade: np.ndarray, l2: float = 1e-3, step
     for step in range(1, steps + 1):
         w, gaps = par[:d], np.exp(par[d + 1:])
         theta = par[d] + np.concatenate([[0.0], np.cumsum(gaps)])
-        s = np.bincount(rows, weights=w[col] * value, minlength=n)
+        s = x.by_row(w * scale)
         cdf = np.concatenate([np.zeros((n, 1)), 1 / (1 + np.exp(-np.clip(theta[None, :] - s[:, None], -40, 40))),
                               np.ones((n, 1))], axis=1)
         pdf = cdf * (1 - cdf)
@@ -161,13 +187,11 @@ def fit_ordinal(idx: list[np.ndarray], grade: np.ndarray, l2: float = 1e-3, step
         for j in range(k):
             by_theta[j] = -(up[grade == j].sum() - low[grade == j + 1].sum()) / n
         tail = np.cumsum(by_theta[::-1])[::-1]
-        g = np.concatenate([np.bincount(col, weights=by_score[rows] * value, minlength=d) + l2 * w, [by_theta.sum()],
+        g = np.concatenate([x.by_bucket(by_score) * scale + l2 * w, [by_theta.sum()],
                             tail[1:] * gaps])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         par = par - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    weights = np.zeros(BUCKETS)
-    weights[used] = par[:d] * scale
-    return OrdinalModel(weights, par[d] + np.concatenate([[0.0], np.cumsum(np.exp(par[d + 1:]))]))
+    return OrdinalModel(par[:d] * scale, par[d] + np.concatenate([[0.0], np.cumsum(np.exp(par[d + 1:]))]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> OrdinalModel | None:
@@ -185,7 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> OrdinalMo
     if len(set(toxic.tolist())) < 2:
         return None
     idx = [np.cumsum(np.frombuffer(zlib.decompress(r["idx"]), "<i4"), dtype=np.int32) for r in got]
-    cnt = [np.frombuffer(zlib.decompress(r["cnt"]), "<i4") for r in got]
+    cnt = [np.minimum(np.frombuffer(zlib.decompress(r["cnt"]), "<i4"), 60_000).astype(np.uint16) for r in got]
+    del got
     # a label sampled more thinly than the other stands for more rows
     weight = np.array([max(n[t] / part[t].count(), 1.0) for t in (0, 1)])[toxic]
     return fit_ordinal(idx, grade_rows(idx, cnt, toxic), cnt=cnt, weight=weight)
