@@ -123,3 +123,15 @@ def replace_spans(text: str | None, spans: list[tuple[str, int, int]], mark: str
             parts += [text[at:a], mark]
         end = at = max(end, b)
     return "".join(parts) + text[at:]
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, share: int = 2000) -> DataFrame:
+    """Inner join of ``left`` with ``right`` (one row per key; ``count``: rows of ``left`` with it).
+
+    Keys that hold more than a ``share``-th of the counted rows are at most ``share``: their rows of ``right``
+    are broadcast, the others' joined by a shuffle, so no key makes a large task.
+    """
+    total = right.agg(F.sum(count)).collect()[0][0] or 0
+    hot = F.col(count) > total / share
+    few = F.broadcast(right.filter(hot))
+    return left.join(few, key).unionByName(left.join(F.broadcast(right.filter(hot).select(key)), key, "left_anti").join(right.filter(~hot), key))

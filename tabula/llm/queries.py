@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabula.llm import decontaminate, importance, langid, packing, pii, secrets, simhash, topk, toxicity, warc
+from tabula.llm import alignment, decontaminate, importance, jaccard, langid, merkle, packing, pii, secrets, simhash, topk, toxicity, warc
 from tabula.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing_bin_slack": _on(packing.op8, "documents"),
     "op9_topk_search": _on(topk.op9, "embeddings"),
     "op10_secret_scan": _on(secrets.op10, "documents"),
+    "op11_jaccard_divideskip": _on(jaccard.op11, "documents"),
+    "op12_merkle_manifest": _on(merkle.op12, "documents"),
+    "op13_token_alignment": _on(alignment.op13, "documents"),
     "pipeline": _pipeline,
 }
 
@@ -41,4 +44,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": decontaminate.OP3_SQL,
     "op6_warc_dictionary": warc.OP6_SQL,
     "op9_topk_search": topk.OP9_SQL,
+    "op11_jaccard_divideskip": jaccard.OP11_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
 }
