@@ -63,3 +63,11 @@ def column_difference(a: DataFrame | Sequence[str], b: DataFrame | Sequence[str]
     ac = a.columns if isinstance(a, DataFrame) else list(a)
     bc = set(b.columns if isinstance(b, DataFrame) else b)
     return [c for c in ac if c not in bc]
+
+
+def free_name(columns: Sequence[str], base: str) -> str:
+    """``base``, lengthened until no column (in any case) has that name."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

@@ -9,9 +9,12 @@ engine and stable under repartitioning or executor loss.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabula.functions.columns import free_name
+from tabula.operators.joins import checked_broadcast
+
 
 def hash_unit(key, seed: int = 42) -> Column:
     """Unsigned 32-bit hash of ``"<key>:<seed>"`` as a long in [0, 2^32)."""
@@ -27,6 +30,37 @@ def hash_split(df: DataFrame, key: str, p: float = 0.85, seed: int = 42, col: st
                          .otherwise(F.lit(labels[1])))
 
 
+def stratified_split(df: DataFrame, key: str, label: str, p: float = 0.85, seed: int = 42, col: str = "split",
+                     labels: tuple[str, str] = ("train", "val")) -> DataFrame:
+    """Tag exactly ``ceil(p * n)`` rows of every class (null is one) with ``labels[0]``: those of the smallest hashes.
+
+    The hash at which a class is cut is found by radix rounds over 12, 12 and 8 bits: each counts rows by
+    class and bits and keeps, per class, the cell that holds the wanted rank (a window over at most
+    4096 cells).  Rows are never sorted or gathered by class; only those with the very hash of the cut are
+    ranked, by key, so keys have to be unique (two of them share a 32-bit hash now and then).
+    """
+    h, c, rest = (free_name(df.columns, x) for x in ("hash", "class", "rest"))
+    rows = df.withColumn(h, hash_unit(key, seed))
+    narrow = rows.select(F.col(label).alias(c), h)
+    cut = narrow.groupBy(c).agg(F.ceil(F.lit(p) * F.count(F.lit(1)) - F.lit(1e-9)).alias(rest)).withColumn("cell", F.lit(0).cast("long"))
+    for shift, bits in ((20, 12), (8, 12), (0, 8)):
+        cut, _ = checked_broadcast(cut)
+        state = cut.select(F.col(c).alias("c_"), F.col(rest), F.col("cell").alias("above"))
+        within = narrow.join(state, F.col(c).eqNullSafe(F.col("c_")) & (F.shiftright(h, shift + bits) == F.col("above")))
+        cells = within.groupBy(c, rest, F.shiftright(h, shift).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+        before = F.coalesce(F.sum("n").over(Window.partitionBy(c).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        cells = cells.withColumn("before", before).where((F.col("before") < F.col(rest)) & (F.col(rest) <= F.col("before") + F.col("n")))
+        cut = cells.select(c, (F.col(rest) - F.col("before")).alias(rest), "cell")
+    cut, _ = checked_broadcast(cut)
+    state = cut.select(F.col(c).alias("c_"), F.col(rest).alias("rest_"), F.col("cell").alias("cut_"))
+    rows = rows.join(state, F.col(label).eqNullSafe(F.col("c_")), "left")
+    on = rows.where(F.col(h) == F.col("cut_"))
+    rank = F.row_number().over(Window.partitionBy(label, h).orderBy(key))
+    on = on.withColumn(col, F.when(rank <= F.col("rest_"), F.lit(labels[0])).otherwise(F.lit(labels[1])))
+    off = rows.where(~F.col(h).eqNullSafe(F.col("cut_"))).withColumn(col, F.when(F.col(h) < F.col("cut_"), F.lit(labels[0])).otherwise(F.lit(labels[1])))
+    return off.unionByName(on).drop(h, "c_", "rest_", "cut_")
+
+
 def hash_fold(key: str, k: int, seed: int = 42) -> Column:
     """Fold number 0..k-1 from the same hash (used for out-of-fold features)."""
     return (hash_unit(key, seed) % F.lit(k)).cast("int")
