@@ -49,3 +49,4 @@ from tabula.plans import queries_core  # noqa: E402,F401
 from tabula.plans import queries_stats  # noqa: E402,F401
 from tabula.plans import queries_model  # noqa: E402,F401
 from tabula.plans import queries_scale  # noqa: E402,F401
+from tabula.plans import queries_recipe  # noqa: E402,F401
