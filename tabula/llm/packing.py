@@ -18,7 +18,7 @@ in its task plus the counts of earlier tasks) says which use of which pattern
 it fills.
 
 Ids are those of the ``tokenizers`` file; its rank file gives the same ids and
-is what tasks load.  Special tokens' names in a text are ordinary text.
+is what tasks load.  As by that file, the name of one of its added tokens in a text is that token.
 
 Defined results: a null text is empty and has the end id only; repeated rows
 are packed each; a null doc_id passes through; an empty table gives no pieces.
@@ -27,6 +27,7 @@ are packed each; a null doc_id passes through; an empty table gives no pieces.
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -65,17 +66,27 @@ class PieceCache(dict):
 class Encoder:
     """Text -> token ids as little-endian 16-bit integers."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
+        """``added``: tokens that are cut out of a text before it is tokenised."""
         import tiktoken
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        if max(ranks.values()) >= 1 << 16:
+        if max([*ranks.values(), *(added or {}).values()]) >= 1 << 16:
             raise ValueError("ids of more than 16 bits")
+        self.added = {name: np.array([i], np.uint16).tobytes() for name, i in (added or {}).items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.first, self.inner = PieceCache(self.encode, ""), PieceCache(self.encode, " ")
         self.line_end = np.array(self.encode("\n"), np.uint16).tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if self.cut and self.cut.search(text):
+            return b"".join(self.added[part] if i % 2 else self.plain(part) for i, part in enumerate(self.cut.split(text)))
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
         if not text:
             return b""
         if _ODD.search(text):
@@ -88,14 +99,21 @@ class Encoder:
         return self.line_end.join(lines)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(ranks_path: str) -> Encoder:
-    if ranks_path not in _ENCODERS:
+def encoder(ranks_path: str, added: dict[str, int] | None = None) -> Encoder:
+    key = ranks_path, tuple(sorted((added or {}).items()))
+    if key not in _ENCODERS:
         import public_tokenizers
-        _ENCODERS[ranks_path] = Encoder(ranks_path, public_tokenizers.PATTERN)
-    return _ENCODERS[ranks_path]
+        _ENCODERS[key] = Encoder(ranks_path, public_tokenizers.PATTERN, added)
+    return _ENCODERS[key]
+
+
+def added_tokens(json_path: str) -> dict[str, int]:
+    """Added tokens of a ``tokenizers`` file and their ids."""
+    with open(json_path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
 
 
 def fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -216,9 +234,9 @@ def place(table: np.ndarray, keys: np.ndarray, cls: np.ndarray, rank: np.ndarray
         rows, cls, rank = rows[on], use[on, 6], i[on]
 
 
-def _tokenise(ranks_path: str, capacity: int):
+def _tokenise(ranks_path: str, capacity: int, added: dict[str, int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(ranks_path), np.array([END_ID], np.uint16).tobytes()
+        encode, end = encoder(ranks_path, added), np.array([END_ID], np.uint16).tobytes()
         part, seen, full = TaskContext.get().partitionId(), np.zeros(capacity, np.int64), 0
         for batch in batches:
             ids, tokens, rank, full_at = [], [], [], []
@@ -280,12 +298,12 @@ def _cut(table: np.ndarray, bins: int, capacity: int):
     return run
 
 
-def pack(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, added: dict[str, int] | None = None) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids (little-endian unsigned 32-bit, binary),
     doc_tokens, sequence_id, offset."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     tokens = docs.select("doc_id", "text").mapInArrow(
-        _tokenise(ranks_path, capacity),
+        _tokenise(ranks_path, capacity, added),
         f"doc_id {kind}, part long, ids binary, doc_tokens long, rest long, rank long, full_at long")
     tokens = written(tokens, "tokens", "zstd")
     # ranks go on from task to task
@@ -302,7 +320,12 @@ def pack(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY) -> DataFram
         f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
-def op8(docs: DataFrame) -> DataFrame:
+def pack_files(docs: DataFrame) -> DataFrame:
+    """``pack`` with the ids of byte_bpe_50k.json, and their checksum ``ids_crc32``."""
     import public_tokenizers
-    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), added=added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
+
+
+def op8(docs: DataFrame) -> DataFrame:
+    return pack_files(docs).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
