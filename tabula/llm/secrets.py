@@ -1,11 +1,12 @@
 """Secret scan: fixed patterns, and a token-efficiency test for random strings.
 
 A subword vocabulary spends few tokens on words and many on random characters.
-Candidates are runs of 20 or more base64 or URL-safe characters that mix
-letters and digits; one with at most ``ratio`` characters per token is a span
-of kind ``opaque``, unless it is a known form of digest (hexadecimal of a
-digest's length, a digest with its algorithm's name in front) or identifier
-(UUID, number, path or name made of words).
+Candidates are runs of 16 or more base64 or URL-safe characters with a letter.  One with
+few characters per token is a span of kind ``opaque``: at most ``ratio`` (1.9), less by
+``SHORT`` below 20 characters, and less by ``PLAIN`` for letters of one case (a capital in front aside), which
+long words look like.  Left out are known forms of digest (hexadecimal of a
+digest's length, a digest with its algorithm's name in front) and identifiers
+(UUID, number, path or name made of several words).
 
 Spans are (kind, start, end) in code points.  Fixed patterns are matched
 leftmost, without overlap, kind by kind; the method's spans are added where
@@ -30,15 +31,17 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}+")
 KINDS = ("assign", "access", "hex", "opaque")
-RATIO = 1.9
+RATIO, SHORT, PLAIN = 1.9, 0.2, 0.2
+LONG = 20
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 NAMED_DIGEST = re.compile(r"(?:md5|sha1|sha224|sha256|sha384|sha512)[-=_/].+", re.I)
 #: Names and paths: words (with a short number behind at most) joined by - _ /.
-NAME = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[-_/=+]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[-_/=+]*")
+NAME = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[-_/=+]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))+[-_/=+]*")
 
 Span = tuple[str, int, int]
 
@@ -51,14 +54,19 @@ def base_spans(text: str) -> list[Span]:
 
 
 def excluded(s: str) -> bool:
-    """Known digests and identifiers, and what doesn't mix letters and digits."""
-    return (not re.search("[0-9]", s) or not re.search("[A-Za-z]", s) or bool(UUID.fullmatch(s))
+    """Known digests and identifiers, and what has no letter."""
+    return (not re.search("[A-Za-z]", s) or bool(UUID.fullmatch(s))
             or (len(s) in DIGEST_LENGTHS and bool(DIGEST.fullmatch(s))) or bool(NAMED_DIGEST.fullmatch(s)) or bool(NAME.fullmatch(s)))
 
 
+def most_characters(s: str, ratio: float = RATIO) -> float:
+    """Characters per token up to which a run counts as random."""
+    return ratio - SHORT * (len(s) < LONG) - PLAIN * bool(WORD.fullmatch(s))
+
+
 def opaque_spans(text: str, count_tokens, ratio: float = RATIO) -> list[Span]:
     return [("opaque", m.start(), m.end()) for m in CANDIDATE.finditer(text)
-            if not excluded(m[0]) and len(m[0]) <= ratio * count_tokens(m[0])]
+            if not excluded(m[0]) and len(m[0]) <= most_characters(m[0], ratio) * count_tokens(m[0])]
 
 
 def find(text: str | None, count_tokens, ratio: float = RATIO) -> tuple[list[Span], list[Span]]:
