@@ -1,9 +1,10 @@
 """Language identification with bit-sliced Bloom filters over character trigrams.
 
 Training counts trigrams (letters lower-cased, everything else one space) by
-language over all training rows.  A trigram belongs to a language if its share
-of that language's trigrams is at least ``least_share``: a rule that behaves
-alike at every size and keeps at most ``1 / least_share`` trigrams a language.
+language over all training rows.  A trigram belongs to the language that uses it most, by its share of
+the language's trigrams, and to every other whose share is at least ``ratio`` of that.  So every trigram enters a filter,
+and the rule behaves alike at every size, while a word quoted in another language does not make its
+trigrams that language's.
 One Bloom filter per language is stored bit-sliced: each cell is a bitmask with
 one bit a language, so the AND of a trigram's cells gives at once all languages
 containing it.  A text's popcounts per language are corrected for the false
@@ -25,7 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-LEAST_SHARE = 2e-5
+from tabula.llm.common import written
+
+#: A trigram belongs to the languages where its share is at least this part of its highest share.
+RATIO = 0.2
+#: Slots of 8 bytes (for each 64 languages) that the filters may take; with fewer slots than the trigrams ask for
+#: the rate of false positives grows, and the correction with it.
+MOST_SLOTS = 1 << 23
 HASHES = 4
 BITS_PER_ITEM = 16
 #: Characters handled at once inside a task.
@@ -109,11 +116,20 @@ class LanguageFilters:
     def build(cls, grams: dict[str, np.ndarray], weights: dict[str, int]) -> LanguageFilters:
         languages = sorted(grams)
         most = max((len(g) for g in grams.values()), default=0)
-        m = 1 << max(10, (BITS_PER_ITEM * most - 1).bit_length())
+        m = cls.width(most)
         cells = np.zeros((max(1, -(-len(languages) // 64)), m), np.uint64)
         for i, lang in enumerate(languages):
             for slot in cls.slots(grams[lang].astype(np.uint64), m):
                 cells[i // 64][slot] |= np.uint64(1 << (i % 64))
+        return cls.of(languages, cells, weights)
+
+    @staticmethod
+    def width(most: int) -> int:
+        """Slots for filters of up to ``most`` trigrams."""
+        return 1 << max(10, (BITS_PER_ITEM * most - 1).bit_length())
+
+    @classmethod
+    def of(cls, languages: list[str], cells: np.ndarray, weights: dict[str, int]) -> LanguageFilters:
         fill = np.array([((cells[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(languages))])
         default = max(range(len(languages)), key=lambda i: (weights[languages[i]], -i), default=0)
         return cls(languages, default, cells, fill ** HASHES)
@@ -163,22 +179,43 @@ class LanguageFilters:
         return langs, scores
 
 
-def fit(train: DataFrame, least_share: float = LEAST_SHARE) -> LanguageFilters:
-    """Filters learned from (text, lang) rows; counts cover all of them."""
+def _cells(m: int):
+    """Rows (gram, languages) -> the cells they set: word of 64 languages, slot, bits."""
+    schema = pa.schema([("word", pa.int32()), ("slot", pa.int64()), ("bits", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            langs = lists.flatten().to_numpy()
+            sizes = np.diff(lists.offsets.to_numpy())
+            for slot in LanguageFilters.slots(batch.column(0).to_numpy().astype(np.uint64), m):
+                yield pa.RecordBatch.from_arrays([pa.array(langs // 64, pa.int32()), pa.array(np.repeat(slot, sizes)),
+                                                  pa.array((np.uint64(1) << (langs % 64).astype(np.uint64)).view(np.int64))], schema=schema)
+    return run
+
+
+def fit(train: DataFrame, ratio: float = RATIO, most_slots: int = MOST_SLOTS) -> LanguageFilters:
+    """Filters learned from (text, lang) rows; counts cover all of them.
+
+    The cells are aggregated by Spark; the driver gets one total a language and at most ``most_slots`` cells.
+    """
     counted = train.filter(F.col("lang").isNotNull()).select(F.col("text").alias("text"), F.col("lang").alias("lang"))
-    counts = counted.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.cache()
-    try:
-        total = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        whole = F.sum("n").alias("whole")
-        frequent = counts.join(counts.groupBy("lang").agg(whole), "lang").filter(F.col("n") >= least_share * F.col("whole"))
-        # at most 1 / least_share rows a language
-        rows = frequent.select("lang", "gram").toPandas()
-    finally:
-        counts.unpersist()
-    grams = {lang: np.zeros(0, np.int64) for lang in total}
-    grams.update({lang: np.sort(g["gram"].to_numpy()) for lang, g in rows.groupby("lang")})
-    return LanguageFilters.build(grams, total)
+    counts = written(counted.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
+    total = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    if not total:
+        return LanguageFilters.build({}, {})
+    languages = sorted(total)
+    sizes = counts.sparkSession.createDataFrame([(x, i, total[x]) for i, x in enumerate(languages)], "lang string, nr long, whole long")
+    shares = counts.join(F.broadcast(sizes), "lang").select("gram", "nr", (F.col("n") / F.col("whole")).alias("share"))
+    # as many entries a trigram as there are languages
+    grams = shares.groupBy("gram").agg(F.max("share").alias("top"), F.collect_list(F.struct("nr", "share")).alias("held"))
+    grams = written(grams.select("gram", F.transform(F.filter("held", lambda x: x["share"] >= ratio * F.col("top")), lambda x: x["nr"]).alias("nrs")), "members")
+    most = grams.select(F.explode("nrs").alias("nr")).groupBy("nr").count().agg(F.max("count")).collect()[0][0]
+    m = min(LanguageFilters.width(most), most_slots)
+    found = grams.mapInArrow(_cells(m), "word int, slot long, bits long").groupBy("word", "slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    cells = np.zeros((-(-len(languages) // 64), m), np.uint64)
+    cells[found["word"].to_numpy(), found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return LanguageFilters.of(languages, cells, total)
 
 
 def identify(docs: DataFrame, model: LanguageFilters) -> DataFrame:
