@@ -4,13 +4,14 @@ Two multinomial models over hashed n-grams are counted: one over the target
 text (rows labelled good), one over the raw text (all documents).  A document's
 log importance weight is the mean log ratio of the two models over its n-grams
 times ``effective_length`` (as if every document were a text of that many
-n-grams, so long documents are not favoured).  Gumbel noise, a hash of the row,
-is added and the k largest keys are selected: a sample without replacement in
+n-grams, so long documents are not favoured).  Gumbel noise is added and the k largest keys are selected: a sample without replacement in
 proportion to the weights.
 
-Defined results: null and empty texts have no n-grams and weight 0; rows whose
-key ties with the k-th are all selected; repeated rows get equal keys; without
-any target row all weights are 0 and everything is selected; an empty table
+Every row has its own noise, a hash of its number, id and text; the number is written once
+with the keys.  Exactly k rows are selected: of those that tie with the k-th key, the ones of smallest number.
+
+Defined results: null and empty texts have no n-grams and weight 0; repeated rows are
+chosen independently; without any target row all weights are 0, and without a k everything is selected; an empty table
 gives an empty result.  Other columns pass through untouched.
 """
 
@@ -116,12 +117,12 @@ def fit_log_ratio(docs: DataFrame, target_flag: str, text_col: str = "text", bit
 
 def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           effective_length: float = 100.0, bits: int = BITS, seed: int = 11,
-          max_targets: int = 200_000, carry: list[str] | None = None) -> tuple[DataFrame, str, str, str]:
-    """All columns and rows of ``docs`` with target flag, log weight and Gumbel key.
+          max_targets: int = 200_000, carry: list[str] | None = None) -> tuple[DataFrame, str, str, str, str]:
+    """All columns and rows of ``docs`` with target flag, log weight, Gumbel key and row number.
 
     ``target_ids`` (one column ``id_col``) names the target rows; the target model
     and the calibration use about ``max_targets`` of them.  ``carry`` names the
-    columns to keep (all).  Returns the written table and the names of the three
+    columns to keep (all).  Returns the written table and the names of the four
     added columns.
     """
     ids = target_ids.select(F.col(id_col).alias("target_id")).dropna().distinct()
@@ -133,6 +134,8 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     flagged = docs.join(maybe_broadcast(ids, n_ids, 40), docs[id_col] == ids[tid], "left")
     flagged = flagged.withColumn(flag, F.col(tid).isNotNull()).drop(tid)
     ratio = fit_log_ratio(flagged, flag, text_col, bits)
+    number = free_name([*docs.columns, flag, weight, key], "row_number")
+    flagged = flagged.withColumn(number, F.monotonically_increasing_id())
 
     @pandas_udf("double")
     def log_weight(texts: pd.Series) -> pd.Series:
@@ -143,23 +146,23 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
                 out[i] = ratio[found].mean() * effective_length
         return pd.Series(out)
 
-    row = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(text_col))
+    row = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), F.col(text_col), F.col(number))
     uniform = (F.shiftrightunsigned(row, 11).cast("double") + 0.5) / float(1 << 53)
     scored = flagged.withColumn(weight, log_weight(F.col(text_col)))
     gumbel = F.col(weight) - F.log(-F.log(uniform))
     scored = scored.withColumn(key, F.round(gumbel * float(1 << FRACTION)).cast("long"))
-    kept = scored.select(*(docs.columns if carry is None else carry), flag, weight, key)
-    return written(kept, "importance"), flag, weight, key
+    kept = scored.select(*(docs.columns if carry is None else carry), flag, weight, key, number)
+    return written(kept, "importance"), flag, weight, key, number
 
 
 def resample(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              k: int | None = None, miss: float = 0.002, **options) -> tuple[DataFrame, str, str, str]:
-    """``docs`` with log weight, key and a boolean: is the key among the ``k`` largest?
+    """``docs`` with log weight, key and a boolean: is the row one of the ``k`` of largest keys?
 
     Without ``k`` it is the number of documents whose plain log weight is not below
     the ``miss`` quantile of the target rows' log weights.
     """
-    scored, flag, weight, key = score(docs, target_ids, id_col, text_col, **options)
+    scored, flag, weight, key, number = score(docs, target_ids, id_col, text_col, **options)
     if k is None:
         plain = F.round(F.col(weight) * float(1 << FRACTION)).cast("long").alias("plain")
         goods = scored.filter(F.col(flag)).select(plain)
@@ -168,8 +171,13 @@ def resample(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", tex
         k = scored.count() if cut is None else scored.select(plain).filter(F.col("plain") >= cut).count()
     last = kth_largest(scored, key, k)
     chosen = free_name(scored.columns, "selected")
-    least = last if last is not None else (-(1 << 63) if k > 0 else (1 << 63) - 1)
-    return scored.withColumn(chosen, F.col(key) >= F.lit(least)).drop(flag), weight, key, chosen
+    if last is None:                                   # k below one, or beyond the rows
+        taken = F.lit(k > 0)
+    else:
+        above = scored.filter(F.col(key) > F.lit(last)).count()
+        ties = scored.filter(F.col(key) == F.lit(last)).select((-F.col(number)).alias("n"))
+        taken = (F.col(key) > F.lit(last)) | ((F.col(key) == F.lit(last)) & (-F.col(number) >= F.lit(kth_largest(ties, "n", k - above))))
+    return scored.withColumn(chosen, taken).drop(flag, number), weight, key, chosen
 
 
 def op1(docs: DataFrame, labels: DataFrame) -> DataFrame:
