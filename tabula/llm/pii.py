@@ -1,19 +1,23 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
-The fixed patterns give base spans.  The field adds occurrences they miss: its
-nodes are the tokens of a document that hold a digit or an ``@``, its labels
+The fixed patterns give base spans.  The field adds what they miss: its
+nodes are the tokens of a document that hold a digit or an ``@`` (neighbouring groups of
+digits are one token), its labels
 the kinds and "none".  Node potentials are a softmax regression over the
 token's shape and context; neighbours share chain potentials; repeated or
-similar tokens (same letters, or same digits in another notation), however far
+similar tokens (same letters, or the same last seven digits in another notation), however far
 apart, share skip potentials.  Base spans clamp their tokens.  Loopy
 sum-product message passing, run on all documents of a batch as one graph of
 separate parts, then carries labels to the other occurrences, so an entity is
-labelled consistently across its document.  A token is added if its belief in
-a kind is at least ``least_belief`` and a token like it has that kind as base.
+labelled consistently across its document.
+
+A token is added if its belief in a kind is at least ``least_belief``, where no like token is a base span of that
+kind ``alone_belief``, and if it can be of that kind (digits, checksum).
 
 Occurrences of a token are linked to the next one only, so the graph grows
-with the text.  Training uses the base spans as labels, on about ``max_rows``
-documents chosen by hash (a parameter); every document is scanned whole.
+with the text.  Training uses the base spans as labels, and each phone number and card again in notations that the
+patterns don't match, on about ``max_rows`` distinct documents chosen by hash (a parameter): tasks turn them into feature
+rows, the driver gets the distinct ones with their counts.  Every document is scanned whole, however long.
 
 Defined results: null is an empty text; empty texts have no spans; repeated
 rows give equal rows; empty tables give empty results; without any base span
@@ -44,6 +48,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 NODE_CHARS = LOCAL_CHARS | frozenset("@()")
 NODE_RUN = re.compile(r"[A-Za-z0-9+@._%()-]+")
+GROUP = re.compile(r"\+?\(?[0-9](?:[0-9 ()-]|\.(?=[0-9]{3}))*")
+SUFFIX = 7                       # digits that notations of one number share
 FEATURES = 1 << 12
 LABELS = 1 + len(KINDS)
 
@@ -93,7 +99,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 def nodes_of(text: str) -> list[tuple[int, int]]:
-    """Tokens with a digit or an @, without punctuation at their ends."""
+    """Tokens with a digit or an @, without punctuation at their ends; groups of digits with a blank
+    between them are one token of up to 15 digits."""
     out, last = [], 0
     for m in re.finditer("[0-9@]", text):
         if m.start() < last:
@@ -106,10 +113,18 @@ def nodes_of(text: str) -> list[tuple[int, int]]:
             end -= 1
         while start < m.start() and text[start] in ".-_%)":
             start += 1
-        out.append((start, end))
+        if out and text[out[-1][1]:start] == " " and GROUP.fullmatch(text, start, end) and GROUP.fullmatch(text, *out[-1]) \
+                and digits_of(text[out[-1][0]:end]) <= 15:
+            out[-1] = out[-1][0], end
+        else:
+            out.append((start, end))
     return out
 
 
+def digits_of(token: str) -> int:
+    return sum(c in "0123456789" for c in token)
+
+
 def _shape(token: str) -> str:
     shape = re.sub("[A-Za-z]+", "a", token)
     return re.sub("[0-9]+", lambda m: f"9{min(len(m[0]), 20)}", shape)
@@ -130,8 +145,8 @@ def likeness(token: str) -> str | None:
     """What repeated or similar tokens have in common; None for tokens too short to tell."""
     digits = "".join(c for c in token if c in "0123456789")
     if "@" not in token and len(digits) >= 6 and not re.search("[A-Za-z]", token):
-        # notations of one number differ in what stands between; addresses in dots don't
-        return token if token.count(".") == 3 else digits
+        # notations of one number differ in what stands between and before; addresses in dots don't
+        return token if IP.fullmatch(token) else digits[-SUFFIX:]
     return token.lower() if len(token) >= 5 else None
 
 
@@ -215,69 +230,139 @@ def _logsum(x: np.ndarray) -> np.ndarray:
     return np.logaddexp.reduce(x, axis=-1, keepdims=True)
 
 
-def _pair_potentials(pairs: list[tuple[int, int]], y: np.ndarray) -> np.ndarray:
+def _pair_potentials(seen: np.ndarray) -> np.ndarray:
     """Log ratio of seen to expected label pairs, symmetric, smoothed and bounded."""
-    seen = np.full((LABELS, LABELS), 0.5)
-    for a, b in pairs:
-        seen[y[a], y[b]] += 1
-        seen[y[b], y[a]] += 1
+    seen = seen + seen.T + 0.5
     rows = seen.sum(axis=1, keepdims=True)
     return np.clip(np.log(seen * seen.sum() / (rows * rows.T)), -4, 4)
 
 
-def train(texts: list[str], steps: int = 150, rate: float = 0.1, l2: float = 1e-4) -> Field | None:
-    """Node potentials by softmax regression, pair potentials by counts; labels are the base spans."""
-    bases = [base_spans(t) for t in texts]
+def variants(kind: str, token: str) -> list[str]:
+    """Notations of a phone number or card that the fixed patterns don't match."""
+    groups = re.findall("[0-9]+", token)
+    digits = "".join(groups)
+    if kind == "phone":
+        if len(groups) > 1 and len(groups[0]) <= 3:
+            digits = digits[len(groups[0]):]
+        else:
+            digits = digits[-10:]
+        if len(digits) < 7:
+            return []
+        a, b, c = digits[:-7], digits[-7:-4], digits[-4:]
+        if not a:
+            return [f"{b}-{c}"]
+        return [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"1-{a}-{b}-{c}", f"0{a} {b}{c}"]
+    if kind == "card":
+        parts = [digits[i:i + 4] for i in range(0, len(digits), 4)]
+        return [".".join(parts), "_".join(parts)]
+    return []
+
+
+def examples(texts: list[str | None]) -> tuple[list[list[int]], list[int], np.ndarray]:
+    """Feature rows and labels of the nodes of training texts, two variants of every number among them, and the
+    label pairs counted on chain and skip edges."""
+    bases = [base_spans(t) if t else [] for t in texts]
     g = build_graph(texts, bases)
-    y = np.maximum(np.array(g.fixed, np.int64), 0)
+    x, y, pairs = list(g.feats), [max(f, 0) for f in g.fixed], np.zeros((2, LABELS, LABELS))
+    for i, (d, (start, end), label) in enumerate(zip(g.doc, g.span, g.fixed)):
+        if label > 0:
+            text = texts[d]
+            forms = variants(KINDS[label - 1], text[start:end])
+            at = zlib.crc32(text[start:end].encode("utf-8", "replace"))
+            for form in {forms[(at + j) % len(forms)] for j in (0, 1)} if forms else ():
+                near = text[max(0, start - 30):start]
+                x.append(features(near + form + text[end:end + 30], len(near), len(near) + len(form)))
+                y.append(label)
+    for k, edges in enumerate((g.chain, g.skip)):
+        for a, b in edges:
+            pairs[k, max(g.fixed[a], 0), max(g.fixed[b], 0)] += 1
+    return x, y, pairs
+
+
+def fit_rows(x: np.ndarray, y: np.ndarray, times: np.ndarray, pairs: np.ndarray, steps: int = 150, rate: float = 0.1, l2: float = 1e-4) -> Field | None:
+    """Node potentials by softmax regression on rows that occur ``times``, pair potentials by counts."""
     if not y.any():
         return None
-    x = np.array(g.feats, np.int64)
     w, m, v = (np.zeros((FEATURES, LABELS)) for _ in range(3))
-    onehot = np.eye(LABELS)[y]
+    onehot, share = np.eye(LABELS)[y], (times / times.sum())[:, None]
     for step in range(1, steps + 1):
         s = w[x].sum(axis=1)
-        r = (np.exp(s - _logsum(s)) - onehot) / len(y)
+        r = (np.exp(s - _logsum(s)) - onehot) * share
         grad = l2 * w
         for f in range(x.shape[1]):
             for c in range(LABELS):
                 grad[:, c] += np.bincount(x[:, f], weights=r[:, c], minlength=FEATURES)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return Field(w, _pair_potentials(g.chain, y), _pair_potentials(g.skip, y))
+    return Field(w, _pair_potentials(pairs[0]), _pair_potentials(pairs[1]))
+
+
+def train(texts: list[str]) -> Field | None:
+    """A field from texts in memory; their base spans are the labels."""
+    x, y, pairs = examples(texts)
+    return fit_rows(np.array(x, np.int64).reshape(len(y), -1), np.array(y, np.int64), np.ones(len(y)), pairs)
 
 
-def find(texts: list[str | None], model: Field | None, least_belief: float = 0.6) -> list[tuple[list[Span], list[Span]]]:
+def possible(kind: str, token: str, alone: bool) -> bool:
+    """Whether a token can be of a kind at all; ``alone``: without a like base span, short numbers can't."""
+    digits = "".join(c for c in token if c in "0123456789")
+    if kind == "email":
+        return bool(re.fullmatch(r"[^@]+@[^@]+", token))
+    if re.search("[A-Za-z@]", token):
+        return False
+    if kind == "ip":
+        parts = re.findall("[0-9]+", token)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return (9 if alone else 7) <= len(digits) <= 15
+
+
+def find(texts: list[str | None], model: Field | None, least_belief: float = 0.6, alone_belief: float = 0.95) -> list[tuple[list[Span], list[Span]]]:
     """For each text its base spans, and all spans, by start and kind."""
     bases = [base_spans(t) if t else [] for t in texts]
     added: list[list[Span]] = [[] for _ in texts]
     if model is not None:
-        # a document without base spans has nothing to carry over
-        g = build_graph([t if b else None for t, b in zip(texts, bases)], bases)
-        if any(f < 0 for f in g.fixed) and g.skip:
+        g = build_graph(texts, bases)
+        if any(f < 0 for f in g.fixed):
             belief = model.beliefs(g)
             kind = belief.argmax(axis=1)
             known = {(d, k, f) for d, k, f in zip(g.doc, g.like, g.fixed) if f > 0 and k is not None}
-            chained = {b for _, b in g.chain}
-            before = None
-            for i, d in enumerate(g.doc):
-                take = (g.fixed[i] < 0 and kind[i] > 0 and belief[i, kind[i]] >= least_belief
-                        and (d, g.like[i], int(kind[i])) in known)
-                if take:
-                    name, (start, end) = KINDS[kind[i] - 1], g.span[i]
-                    if before == i - 1 and i in chained and added[d][-1][0] == name:
-                        added[d][-1] = (name, added[d][-1][1], end)
-                    else:
-                        added[d].append((name, start, end))
-                    before = i
+            for i in np.flatnonzero((np.array(g.fixed) < 0) & (kind > 0) & (belief.max(axis=1) >= min(least_belief, alone_belief))).tolist():
+                d, name, (start, end) = g.doc[i], KINDS[kind[i] - 1], g.span[i]
+                alone = (d, g.like[i], int(kind[i])) not in known
+                if belief[i, kind[i]] >= (alone_belief if alone else least_belief) and possible(name, texts[d][start:end], alone):
+                    added[d].append((name, start, end))
     order = {k: i for i, k in enumerate(KINDS)}
     return [(b, sorted(b + outside(a, b), key=lambda s: (s[1], order[s[0]]))) for a, b in zip(added, bases)]
 
 
+def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes as (features, label, -1), label pairs of edges as ([kind of edge, label], label, count)."""
+    schema = pa.schema([("x", pa.list_(pa.int32())), ("y", pa.int32()), ("pairs", pa.int64())])
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            x, y, pairs = examples(batch.column(0).slice(at, 200).to_pylist())
+            edges = np.argwhere(pairs > 0).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x + [e[:2] for e in edges], pa.list_(pa.int32())), pa.array(y + [e[2] for e in edges], pa.int32()),
+                 pa.array([-1] * len(x) + [int(pairs[tuple(e)]) for e in edges], pa.int64())], schema=schema)
+
+
 def fit(docs: DataFrame, max_rows: int = 4000) -> Field | None:
     """Train on about ``max_rows`` of the distinct texts with a digit or an @."""
     texts = docs.select("text").filter(F.col("text").rlike("[0-9@]"))
-    return train([r["text"] for r in hash_sample(texts, max_rows).collect()])
+    rows = hash_sample(texts, max_rows).mapInArrow(_example_rows, "x array<int>, y int, pairs long")
+    rows = rows.groupBy("x", "y", (F.col("pairs") >= 0).alias("edge")).agg(F.sum(F.abs("pairs")).alias("times")).collect()
+    nodes, edges = [r for r in rows if not r["edge"]], [r for r in rows if r["edge"]]
+    if not nodes:
+        return None
+    pairs = np.zeros((2, LABELS, LABELS))
+    for r in edges:
+        pairs[r["x"][0], r["x"][1], r["y"]] += r["times"]
+    order = sorted(nodes, key=lambda r: (r["x"], r["y"]))            # sums in the same order on every run
+    return fit_rows(np.array([r["x"] for r in order], np.int64), np.array([r["y"] for r in order], np.int64),
+                    np.array([r["times"] for r in order], float), pairs)
 
 
 def joined(spans: list[Span]) -> str:
