@@ -39,8 +39,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents (see ``packing.op8``)."""
-    return packing.op8(docs)
+    """Pieces of all documents with their token ids (see ``packing.pack_files``)."""
+    return packing.pack_files(docs)
 
 
 STAGES = [
