@@ -37,7 +37,8 @@ from tabula.llm.common import BROADCAST_BYTES, written
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 BLANK = "▁"
 CACHED = 48
-CACHE_PARTS = 150_000
+CACHE_PARTS = 300_000            # in each of two generations
+CHUNK = 16_000                   # characters that are tokenised at once
 PAIR_BYTES = 48                  # of a pair in a broadcast table
 SHIFT = 32                       # a pair of ids in one long: A's id above, B's below
 
@@ -59,75 +60,109 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         alphabet = byte_alphabet()
-        self.a_bytes = {i: bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode()
-                        for t, i in self.a.get_vocab().items()}
+        vocabulary = self.a.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.a_bytes[i] = bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_byte = [bool(re.fullmatch("<0x[0-9A-F]{2}>", p)) for p in pieces]
+        self.b_byte = np.array([bool(re.fullmatch("<0x[0-9A-F]{2}>", p)) for p in pieces])
         self.b_bytes = [bytes([int(p[3:5], 16)]) if byte else p.replace(BLANK, " ").encode() for p, byte in zip(pieces, self.b_byte)]
-        self.cache: dict[str, tuple | None] = {}
-
-    def a_ends(self, ids: list[int], spans: list[tuple[int, int]], place: list[int] | None) -> list[int]:
-        """Byte ends of A's tokens; ``place``: byte offset of each character (None if they are the same)."""
-        out, end = [], 0
-        for i, (_, stop) in enumerate(spans):
-            inside = i + 1 < len(spans) and spans[i + 1][0] < stop       # the next token shares this one's last character
-            end = end + len(self.a_bytes[ids[i]]) if inside else (place[stop] if place else stop)
-            out.append(end)
-        return out
-
-    def b_ends(self, pieces) -> list[int]:
-        """Byte ends of B's tokens, the blank put before the text included."""
-        out, end = [], 0
-        for p in pieces:
-            end = end + 1 if self.b_byte[p.id] else p.end + 1
-            out.append(end)
-        return out
-
-    def cuts(self, parts: list[str]) -> list[tuple[list[int], list[int], list[int], list[int]] | None]:
-        """Ids and byte ends of A and of B for a blank and each part; None if the bytes differ."""
-        out = []
-        coded = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        for part, a, b in zip(parts, coded, self.b.encode(parts, return_type="proto", num_threads=1)):
-            whole, a_ids, b_ids = (" " + part).encode(), a.ids, [p.id for p in b.pieces]
-            if b"".join(map(self.a_bytes.__getitem__, a_ids)) != whole or b"".join(map(self.b_bytes.__getitem__, b_ids)) != whole:
-                out.append(None)
-                continue
-            place = None
-            if len(whole) > len(part) + 1:
-                place = np.concatenate([[0], np.cumsum([len(c.encode()) for c in " " + part])]).tolist()
-            out.append((a_ids, self.a_ends(a_ids, a.offsets, place), b_ids, self.b_ends(b.pieces)))
-        return out
+        self.a_len, self.b_len = (np.array([len(x) for x in table]) for table in (self.a_bytes, self.b_bytes))
+        # an id as text with what may follow it
+        self.marked = [np.array([f"{i}{mark}" for i in range(len(table)) for mark in ",|;"], object) for table in (self.a_bytes, self.b_bytes)]
+        self.young: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
+
+    def a_tokens(self, text: str, whole: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """A's ids and their byte ends in ``whole``, a blank and the text; None if the tokens give other bytes."""
+        got = self.a.encode(" " + text, add_special_tokens=False)
+        ids = got.ids
+        if b"".join(map(self.a_bytes.__getitem__, ids)) != whole:
+            return None
+        ids, spans = np.array(ids), got.offsets
+        start, ends = (np.fromiter((x[k] for x in spans), np.int64, len(spans)) for k in (0, 1))
+        if len(whole) > len(text) + 1:                                   # characters -> bytes
+            heads = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
+            inside = np.append(start[1:] < ends[:-1], False)             # the next token shares this one's last character
+            ends = refine(np.append(heads, len(whole))[ends], inside, self.a_len[ids])
+        return ids, ends
+
+    def b_tokens(self, text: str, whole: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same of B, which puts the blank before the text itself; its spans are bytes of the text."""
+        pieces = self.b.encode(text, return_type="proto").pieces
+        ids = [p.id for p in pieces]
+        if b"".join(map(self.b_bytes.__getitem__, ids)) != whole:
+            return None
+        ids, ends = np.array(ids), np.array([p.end for p in pieces]) + 1
+        fallback = self.b_byte[ids]
+        return ids, refine(ends, fallback, self.b_len[ids]) if fallback.any() else ends
+
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids and byte ends of A and of B for a blank and the text."""
+        whole = (" " + text).encode()
+        a, b = self.a_tokens(text, whole), self.b_tokens(text, whole)
+        return None if a is None or b is None else (*a, *b)
 
     def align(self, parts: list[str]) -> list[tuple | None]:
-        """For each part: number of A tokens, of B tokens, of groups, its links as 64-bit integers, its groups as text."""
-        out = []
-        for cut in self.cuts(parts):
-            if cut is None:
-                out.append(None)
-                continue
-            a_ids, a_ends, b_ids, b_ends = cut
-            links, groups, i, j, a_from, b_from = [], [], 0, 0, 0, 0
-            while i < len(a_ids):
-                links.append(a_ids[i] << SHIFT | b_ids[j])
-                x, y = a_ends[i], b_ends[j]
-                i += x <= y
-                j += y <= x
-                if x == y:
-                    groups.append(",".join(map(str, a_ids[a_from:i])) + "|" + ",".join(map(str, b_ids[b_from:j])))
-                    a_from, b_from = i, j
-            out.append((len(a_ids), len(b_ids), len(groups), np.array(links, np.int64).tobytes(), ";".join(groups)))
+        """For each part: number of A tokens, of B tokens, of groups, its links as 64-bit integers, its groups as text
+        (each followed by a semicolon); None if the tokens don't give its bytes."""
+        out: list[tuple | None] = [None] * len(parts)
+        joined = [i for i, p in enumerate(parts) if p and not p[0].isspace() and not p[-1].isspace()]
+        chunk, size = [], 0
+        for i in joined:
+            chunk.append(i)
+            size += len(parts[i])
+            if size > CHUNK:
+                self._align(parts, chunk, out)
+                chunk, size = [], 0
+        self._align(parts, chunk, out)
+        # blanks at a part's edge would not be cut, and one part with other bytes spoils its chunk
+        for i, p in enumerate(parts):
+            if out[i] is None:
+                self._align(parts, [i], out)
         return out
 
+    def _align(self, parts: list[str], chunk: list[int], out: list) -> None:
+        got = self.tokens(" ".join(parts[i] for i in chunk)) if chunk else None
+        if got is None:
+            return
+        a_ids, a_ends, b_ids, b_ends = got
+        cuts = np.union1d(a_ends, b_ends)
+        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        links = (a_ids[np.searchsorted(a_ends, cuts)] << SHIFT | b_ids[np.searchsorted(b_ends, cuts)]).tobytes()
+        # tokens by group, A's before B's, each with the mark that follows it
+        group = [np.searchsorted(both, ends) for ends in (a_ends, b_ends)]
+        last = [np.append(g[1:] != g[:-1], True) for g in group]
+        order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        shown = np.concatenate([self.marked[0][3 * a_ids + last[0]], self.marked[1][3 * b_ids + 2 * last[1]]])[order].tolist()
+        ends = np.cumsum([len(parts[i].encode()) + 1 for i in chunk])
+        at = [np.concatenate([[0], np.searchsorted(x, ends, side="right")]).tolist() for x in (a_ends, b_ends, both, cuts)]
+        for k, i in enumerate(chunk):
+            (a, a_), (b, b_), (g, g_), (n, n_) = ((x[k], x[k + 1]) for x in at)
+            out[i] = a_ - a, b_ - b, g_ - g, links[8 * n:8 * n_], "".join(shown[a + b:a_ + b_])
+
     def look_up(self, texts: list[list[str]]) -> dict[str, tuple | None]:
-        """Alignments of all parts of some texts."""
+        """Alignments of all parts of some texts, from the cache (what was used lately stays) or anew."""
         parts = {p for text in texts for p in text}
-        known = {p: self.cache[p] for p in parts & self.cache.keys()}
-        fresh = list(parts - known.keys())
+        known = {p: self.young[p] for p in parts & self.young.keys()}
+        back = {p: self.old[p] for p in (parts & self.old.keys()) - known.keys()}
+        fresh = list(parts - known.keys() - back.keys())
         got = dict(zip(fresh, self.align(fresh)))
-        if len(self.cache) > CACHE_PARTS:
-            self.cache.clear()
-        self.cache.update((p, x) for p, x in got.items() if len(p) <= CACHED)
-        return known | got
+        self.young.update(back)
+        self.young.update((p, x) for p, x in got.items() if len(p) <= CACHED)
+        if len(self.young) > CACHE_PARTS:
+            self.young, self.old = {}, self.young
+        return known | back | got
+
+
+def refine(ends: np.ndarray, inside: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens; where ``inside``, the span doesn't tell, and the token's decoded bytes are counted from
+    the last end that does."""
+    total = np.cumsum(length)
+    sure = np.where(inside, -1, np.arange(ends.size))
+    base = np.maximum.accumulate(sure)
+    known = base >= 0
+    return np.where(known, ends[base] + total - total[base], total)
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -167,7 +202,7 @@ def _documents(a_path: str, b_path: str):
             return 0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)
         n_a, n_b, n_groups, links, groups = zip(*got)
         links = np.frombuffer(b"".join(links), np.int64)
-        return (sum(n_a), sum(n_b), sum(n_groups), links.size, hashlib.sha256(";".join(groups).encode()).hexdigest(),
+        return (sum(n_a), sum(n_b), sum(n_groups), links.size, hashlib.sha256("".join(groups)[:-1].encode()).hexdigest(),
                 *np.unique(links, return_counts=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,13 +280,13 @@ def groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1).to_pylist()):
                 rows, at = [], 0
-                cuts = align.cuts(parts_of(text))
-                for a_ids, a_ends, b_ids, b_ends in [] if None in cuts else cuts:
-                    a_at, b_at = ({end: i + 1 for i, end in enumerate(ends)} for ends in (a_ends, b_ends))
+                cuts = [align.tokens(p) for p in parts_of(text)]
+                for a_ids, a_ends, b_ids, b_ends in [] if any(c is None for c in cuts) else cuts:
+                    a_at, b_at = ({end: i + 1 for i, end in enumerate(ends.tolist())} for ends in (a_ends, b_ends))
                     shared = [0, *sorted(a_at.keys() & b_at.keys())]
                     for x, y in pairwise(shared):
-                        rows.append((at + x, at + y, a_ids[a_at.get(x, 0):a_at[y]], b_ids[b_at.get(x, 0):b_at[y]]))
-                    at += a_ends[-1]
+                        rows.append((at + x, at + y, a_ids[a_at.get(x, 0):a_at[y]].tolist(), b_ids[b_at.get(x, 0):b_at[y]].tolist()))
+                    at += shared[-1]
                 for i in range(0, len(rows), 10_000):
                     some = rows[i:i + 10_000]
                     start, end, a, b = zip(*some)

@@ -249,11 +249,14 @@ def test_groups_tile_the_text(spark, tokenizers_pair):
 def test_cutting_at_single_blanks_changes_nothing(tokenizers_pair, parts):
     text = "".join(parts).encode("utf-8", "ignore").decode()
     align = alignment.aligner(A_PATH, B_PATH)
-    cuts = align.cuts(alignment.parts_of(text))
+    parts = alignment.parts_of(text)
+    cuts = [align.tokens(p) for p in parts]
     a, b, groups, _ = plain_alignment(tokenizers_pair, text)
-    if None in cuts or not cuts:
+    if not cuts or any(c is None for c in cuts):
         assert not a
     else:
         assert [i for c in cuts for i in c[0]] == a and [i for c in cuts for i in c[2]] == b
-        assert ";".join(x[4] for x in align.align(alignment.parts_of(text))) == ";".join(
-            ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y, _ in groups)
+        for ids, ends, table in [(c[k], c[k + 1], t) for c in cuts for k, t in ((0, align.a_len), (2, align.b_len))]:
+            assert ends.tolist() == np.cumsum(table[ids]).tolist()
+        assert "".join(x[4] for x in align.align(parts)) == "".join(
+            ",".join(map(str, x)) + "|" + ",".join(map(str, y)) + ";" for x, y, _ in groups)
