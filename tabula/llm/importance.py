@@ -36,7 +36,7 @@ FRACTION = 32
 
 
 class _Tokens(dict):
-    """Token -> 32-bit hash and 8-bit shape, remembered for up to a million tokens."""
+    """Token -> 32-bit hash and 8-bit shape, remembered for up to 300,000 tokens."""
 
     def __missing__(self, token: str) -> int:
         if token.islower():
@@ -52,7 +52,7 @@ class _Tokens(dict):
         else:
             shape = 16 + zlib.crc32(token.encode("utf-8", "replace")) % 240
         value = zlib.crc32(token.encode("utf-8", "replace")) << 8 | shape
-        if len(self) >= 1_000_000:
+        if len(self) >= 300_000:
             self.clear()
         self[token] = value
         return value

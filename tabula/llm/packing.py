@@ -32,6 +32,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +46,12 @@ END_ID = 1
 #: Whitespace other than single blanks and line ends between words.
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]")
 _FULL_SHIFT = 33
+KEPT = 32                        # characters of the pieces that are remembered
 
 
 class PieceCache(dict):
     """Blank-separated piece -> its ids as bytes; every piece is cut off where the
-    tokenizer's own pattern also cuts, so its ids don't depend on its neighbours."""
+    tokenizer's own pattern also cuts, so its ids don't depend on its neighbours.  Long pieces are not kept."""
 
     def __init__(self, encode, prefix: str, most: int = 400_000):
         super().__init__()
@@ -57,25 +59,34 @@ class PieceCache(dict):
 
     def __missing__(self, piece: str) -> bytes:
         value = np.array(self.encode(self.prefix + piece), np.uint16).tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        self[piece] = value
+        if len(piece) <= KEPT:
+            if len(self) >= self.most:
+                self.clear()
+            self[piece] = value
         return value
 
 
+@lru_cache(maxsize=2)
+def encoding(ranks_path: str, pattern: str):
+    """A process's one tiktoken encoding of a rank file (they take tens of MB)."""
+    import tiktoken
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    if max(ranks.values()) >= 1 << 16:
+        raise ValueError("ids of more than 16 bits")
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
     """Text -> token ids as little-endian 16-bit integers."""
 
     def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
         """``added``: tokens that are cut out of a text before it is tokenised."""
-        import tiktoken
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        if max([*ranks.values(), *(added or {}).values()]) >= 1 << 16:
+        if max(added.values() if added else [0]) >= 1 << 16:
             raise ValueError("ids of more than 16 bits")
         self.added = {name: np.array([i], np.uint16).tobytes() for name, i in (added or {}).items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.encode = encoding(ranks_path, pattern).encode_ordinary
         self.first, self.inner = PieceCache(self.encode, ""), PieceCache(self.encode, " ")
         self.line_end = np.array(self.encode("\n"), np.uint16).tobytes()
 
