@@ -17,7 +17,6 @@ operators  DataFrame -> DataFrame operators (roll-ups, group statistics,
            blending)
 plans      analog entities over the provided tables, the query catalog and
            the end-to-end pipeline recipe
-streaming  nothing: the reference has no streaming semantics
 """
 
 __version__ = "0.1.0"
