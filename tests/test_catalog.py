@@ -28,7 +28,8 @@ def test_every_query_has_sql_or_is_declared_rows_only():
     assert set(sql) <= set(qs)
     rows_only = set(CATALOG) - set(sql)
     assert rows_only == {"corr_filter_pairwise", "pca_scores", "svd_scores_uncentered", "soft_impute",
-                         "gbt_scores", "gbt_scores_weighted", "train_score_write", "importance_topk", "feature_table_pipeline"}
+                         "gbt_scores", "gbt_scores_weighted", "train_score_write", "importance_topk", "feature_table_pipeline",
+                         "auc_by_round", "gbt_best_round_scores", "train_on_feature_table", "declared_categories"}
 
 
 @pytest.mark.parametrize("name", FAST)
