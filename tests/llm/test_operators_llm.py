@@ -271,6 +271,46 @@ def test_search_equals_brute_force(spark, block):
     assert rows(got) == sorted(want, key=repr)
 
 
+def _plain_search(data, every, k):
+    """Each query against every row but its own, by row number, in Python integers."""
+    v = [(i, [int(np.floor(256 * x)) if abs(x) < 2 ** 44 else int(x) * 256 for x in e]) for i, e in data]
+    want = []
+    for at, (i, q) in enumerate(v):
+        if i % every == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, x)), j) for row, (j, x) in enumerate(v) if row != at and len(x) == len(q))[:k]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    return sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("block", [None, 2])
+def test_search_leaves_out_only_the_querys_own_row(spark, block):
+    rng = np.random.default_rng(6)
+    data = [(i % 7 * 5, rng.normal(size=6).round(2).tolist()) for i in range(30)]     # ids are repeated
+    data += [(5, [1.0] * 6)] * 9 + [(10, [0.0] * 6), (10, [0.0] * 6), (20, [-1.0] * 6)]
+    use = topk.usable(spark.createDataFrame(data, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = topk.search(use.filter("id % 5 = 0"), use, 5, block).select("query_id", "rank", "vec_id", "score")
+    assert rows(got) == _plain_search(data, 5, 5)
+    apart = topk.search(use.filter("id = 20"), use, 100, own=False)       # queries that are no candidates leave out nothing
+    assert apart.groupBy("place").count().filter("count != 42").isEmpty()
+
+
+def test_scores_of_large_components_are_exact(spark):
+    rng = np.random.default_rng(8)
+    data = [(i, (rng.normal(size=16) * 10.0 ** (i % 8)).tolist()) for i in range(60)] + [(65, [1e6] * 16), (66, [1e6] * 15 + [1e6 - 1 / 256]),
+                                                                                         (70, [3.0e6, -3.0e6] * 8)]
+    use = topk.usable(spark.createDataFrame(data, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = topk.search(use.filter("id % 5 = 0"), use, 5).select("query_id", "rank", "vec_id", "score")
+    assert rows(got) == _plain_search(data, 5, 5)
+    # products beyond a long that get into no result do no harm
+    wide = [(0, [1.0e6, 1.0]), (1, [-1.0e12, 1.0]), (2, [1.0, 0.0]), (3, [2.0, 5.0])]
+    use = topk.usable(spark.createDataFrame(wide, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = topk.search(use.filter("id = 0"), use, 2).select("query_id", "rank", "vec_id", "score")
+    assert rows(got) == _plain_search(wide, 50, 2)
+    with pytest.raises(Exception, match="does not fit a long|too large|too big"):
+        use = topk.usable(spark.createDataFrame([(0, [1e15]), (1, [1e15])], "vec_id long, embedding array<double>"), "vec_id", "embedding")
+        topk.search(use, use, 1).collect()
+
+
 # registered queries, pipeline
 
 def test_oracles_agree_on_the_small_tables(spark):
