@@ -7,24 +7,28 @@ follow-up ``[is.na] <- 0``).
 
 ``soft_impute`` — low-rank matrix completion by iterative soft-thresholded
 SVD (Mazumder, Hastie, Tibshirani 2010), "svd" type: X̂ ← P_Ω(X) + P_Ω⊥(S_λ(X̂)).
-Each iteration is one distributed pass: partition-wise Gram matrices of the
-current completed rows (mapInPandas, p x p each) summed by a grouped
-aggregation; the p x p eigen-decomposition runs on the driver (p = number of
+Each iteration is one distributed pass: tiles of the Gram matrix of the
+current completed rows, summed in a tree (``partials``); the p x p eigen-decomposition runs on the driver (p = number of
 columns); the refill is row-local.  Lineage is cut with a reliable
 checkpoint in the session's checkpoint folder every few iterations, so a
 lost executor recomputes at most those iterations.
+
+``als_impute`` — the same completion problem by alternating ridge steps
+(Hastie, Mazumder, Lee, Zadeh 2015), see there.
 """
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabula.operators.partials import array_matrix, reduced, tiles
 from tabula.session import checkpoint_dir
 
 
@@ -47,36 +51,37 @@ def _matrix(col) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=float) for v in col.to_numpy()])
 
 
-def gram_and_change(df: DataFrame, vec: str, p: int, change: str | None = None) -> tuple[np.ndarray, float]:
-    """Σ x xᵀ over rows of an array<double> column (+ optional sum of a per-row change column).
+def _gram_kernel(p: int, with_change: bool):
+    def run(batches):
+        sums, change = {}, 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = array_matrix(batch.column(0), p)
+            if with_change:
+                change += float(np.sum(batch.column(1).to_numpy(zero_copy_only=False)))
+            for tile, i, j in tiles(p):
+                got = x[:, i].T @ x[:, j]
+                sums[tile] = sums[tile] + got if tile in sums else got
+        yield from sums.items()
+        yield -1, np.array([change])
+    return run
 
-    Each partition reduces its rows to one p x p block with numpy; the blocks
-    are summed by a grouped aggregation, so only O(p²) values per partition
-    move and the driver receives p² numbers.
-    """
-    def part(it):
-        acc = np.zeros((p, p))
-        ch = 0.0
-        for pdf in it:
-            if len(pdf):
-                x = _matrix(pdf[vec])
-                acc += x.T @ x
-                if change:
-                    ch += float(pdf[change].sum())
-        i, j = np.indices((p, p))
-        yield pd.DataFrame({"i": np.append(i.ravel(), -1), "j": np.append(j.ravel(), -1),
-                            "g": np.append(acc.ravel(), ch)})
-    cols = [vec] + ([change] if change else [])
-    rows = (df.select(*cols).mapInPandas(part, "i int, j int, g double")
-            .groupBy("i", "j").agg(F.sum("g").alias("g")).collect())
+
+def gram_tiles(df: DataFrame, vec: str, p: int, change: str | None = None) -> DataFrame:
+    """The tiles of Σ x xᵀ on and above the diagonal (``partials``); tile -1: the sum of ``change``."""
+    return reduced(df.select(vec, *([change] if change else [])), _gram_kernel(p, change is not None))
+
+
+def gram_and_change(df: DataFrame, vec: str, p: int, change: str | None = None) -> tuple[np.ndarray, float]:
+    """Σ x xᵀ over rows of an array<double> column (+ optional sum of a per-row change column) on the driver."""
+    found = {r["tile"]: np.frombuffer(r["state"], float) for r in gram_tiles(df, vec, p, change).collect()}
     g = np.zeros((p, p))
-    total_change = 0.0
-    for r in rows:
-        if r["i"] < 0:
-            total_change = r["g"]
-        else:
-            g[r["i"], r["j"]] = r["g"]
-    return g, total_change
+    for tile, i, j in tiles(p):
+        if tile in found:
+            g[i, j] = found[tile].reshape(i.stop - i.start, j.stop - j.start)
+            g[j, i] = g[i, j].T
+    return g, float(found[-1][0]) if -1 in found else 0.0
 
 
 def soft_impute(df: DataFrame, key: str, cols: Sequence[str], rank: int = 3, lam: float = 1.9,
@@ -132,3 +137,94 @@ def soft_impute(df: DataFrame, key: str, cols: Sequence[str], rank: int = 3, lam
             raise RuntimeError(message)
         warnings.warn(message, stacklevel=2)
     return state.select(key, *[F.element_at("xh", i + 1).alias(c) for i, c in enumerate(cols)])
+
+
+@dataclass
+class Factors:
+    """The column factors (p x rank) of a completion, the objective of every round, and whether it settled."""
+
+    v: np.ndarray
+    objective: list[float] = field(default_factory=list)
+    converged: bool = False
+
+
+def _row_factors(x: np.ndarray, v: np.ndarray, lam: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(values with 0 for NaN, presence, ridge factors) of rows, given the column factors."""
+    there = (~np.isnan(x)).astype(float)
+    x0 = np.where(there > 0, x, 0.0)
+    p, r = v.shape
+    squares = there @ (v[:, :, None] * v[:, None, :]).reshape(p, r * r)
+    u = np.linalg.solve(squares.reshape(-1, r, r) + lam * np.eye(r), (x0 @ v)[:, :, None])[:, :, 0]
+    return x0, there, u
+
+
+def als_fit(df: DataFrame, vec: str, p: int, rank: int = 3, lam: float = 1.9, max_iter: int = 500,
+            tol: float = 1e-9, seed: int = 0) -> Factors:
+    """Column factors V minimising ||P(X - U V')||^2 + lam (||U||^2 + ||V||^2), P: observed cells only.
+
+    At its minimum U V' is the low-rank soft-thresholded completion of ``soft_impute``.  A round is one
+    pass over the unchanged input: the ridge factors of a row follow from V alone, so they are computed
+    in the task and not kept; each column's ridge system (rank x rank) is summed over the rows
+    (``partials``) and solved on the driver.  Nothing is stored between rounds but V (p x rank), so
+    there is no lineage to cut.  Both steps are minimisers, so the objective never rises.  Settled when
+    a round lowers it by less than ``tol`` of itself; rows or columns without values have zero factors.
+    """
+    v = np.random.default_rng(seed).normal(size=(p, rank))
+    fit = Factors(v)
+
+    def kernel(v):
+        def run(batches):
+            a, b, loss = np.zeros((p, rank * rank)), np.zeros((p, rank)), 0.0
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x, there, u = _row_factors(array_matrix(batch.column(0), p), v, lam)
+                a += there.T @ (u[:, :, None] * u[:, None, :]).reshape(len(u), rank * rank)
+                b += x.T @ u
+                loss += float((((x - u @ v.T) * there) ** 2).sum() + lam * (u ** 2).sum())
+            yield 0, np.concatenate([a.ravel(), b.ravel(), [loss]])
+        return run
+
+    for _ in range(max_iter):
+        found = reduced(df.select(vec), kernel(fit.v)).collect()
+        if not found:
+            fit.v, fit.converged = np.zeros((p, rank)), True
+            break
+        sums = np.frombuffer(found[0]["state"], float)
+        fit.objective.append(float(sums[-1] + lam * (fit.v ** 2).sum()))
+        a = sums[:p * rank * rank].reshape(p, rank, rank)
+        b = sums[p * rank * rank:-1].reshape(p, rank)
+        fit.v = np.linalg.solve(a + lam * np.eye(rank), b[:, :, None])[:, :, 0]
+        last = fit.objective[-2:]
+        if len(last) == 2 and last[0] - last[1] <= tol * abs(last[0]):
+            fit.converged = True
+            break
+    return fit
+
+
+def als_impute(df: DataFrame, key: str, cols: Sequence[str], rank: int = 3, lam: float = 1.9, max_iter: int = 500,
+               tol: float = 1e-9) -> tuple[DataFrame, Factors]:
+    """``key`` + ``cols`` with nulls and NaN filled from the factors of ``als_fit``, and the factors.
+
+    Observed cells are never changed; a row without any value is filled with zeros.  Raises if
+    ``max_iter`` rounds do not settle.  ``lam`` > 0.  The input is read once a round: give a written
+    or cheap table.
+    """
+    cols = list(cols)
+    if not lam > 0:
+        raise ValueError("lam must be positive")
+    x = F.array(*[F.col(c).cast("double") for c in cols]).alias("x")
+    fit = als_fit(df.select(x), "x", len(cols), rank, lam, max_iter, tol)
+    if not fit.converged:
+        raise RuntimeError(f"als_impute: not settled to {tol} after {max_iter} rounds")
+    v = fit.v
+
+    def fill(batches):
+        for pdf in batches:
+            if len(pdf):
+                rows = _matrix(pdf["x"])
+                _, there, u = _row_factors(rows, v, lam)
+                yield pd.DataFrame({key: pdf[key], "x": list(np.where(there > 0, rows, u @ v.T))})
+    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, x array<double>"
+    full = df.select(F.col(key), x).mapInPandas(fill, schema)
+    return full.select(key, *[F.element_at("x", i + 1).alias(c) for i, c in enumerate(cols)]), fit

@@ -5,9 +5,9 @@ M5 uses Spark ML: ``VectorAssembler`` -> ``StandardScaler(withMean, withStd)``
 the driver); its transform does not centre, hence the scaler first.
 
 M6 (``prcomp(x, center=FALSE, scale=FALSE)``) uses the same distributed
-Gram pass as soft-impute (partition-wise xᵀx summed by a grouped
-aggregation), an eigen-decomposition of the p x p matrix on the driver, and
-a row-local projection.
+Gram pass as soft-impute (tiles of xᵀx summed in a tree), an eigen-decomposition of the p x p matrix on the driver, and
+a row-local projection.  For wide rows and few components there is a truncated
+form that needs a p x (k + 10) matrix only (subspace iteration).
 
 Component signs are arbitrary in any SVD; both operators normalise each
 component so that its largest-magnitude loading is positive, which makes
@@ -19,12 +19,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.operators.impute import gram_and_change
+from tabula.operators.impute import gram_and_change, gram_tiles
+from tabula.operators.partials import array_matrix, reduced, tiles
 
 
 def _sign_fix(v: np.ndarray) -> np.ndarray:
@@ -79,10 +81,68 @@ def svd_scores_array(df: DataFrame, vec: str, p: int, k: int, keep: Sequence[str
 
 
 def gram_long(df: DataFrame, vec: str, p: int) -> DataFrame:
-    """Σ x xᵀ as a long (i, j, value) DataFrame, 1-based indices, computed distributed."""
-    g, _ = gram_and_change(df, vec, p)
-    rows = [(i + 1, j + 1, float(g[i, j])) for i in range(p) for j in range(p)]
-    return df.sparkSession.createDataFrame(rows, "i int, j int, value double")
-
-
-__all__ = ["pca_scores", "svd_scores", "svd_scores_array", "gram_long", "array_to_vector"]
+    """Σ x xᵀ as a long (i, j, value) DataFrame, 1-based indices, made from the tiles in the tasks."""
+    spans = {tile: (i, j) for tile, i, j in tiles(p)}
+
+    def rows(batches):
+        for pdf in batches:
+            for tile, state in zip(pdf["tile"], pdf["state"]):
+                if tile < 0:
+                    continue
+                i, j = spans[tile]
+                g = np.frombuffer(state, float).reshape(i.stop - i.start, j.stop - j.start)
+                a, b = np.indices(g.shape)
+                a, b = (a + i.start + 1).ravel(), (b + j.start + 1).ravel()
+                mirror = slice(None) if i != j else slice(0)       # tiles below the diagonal are not kept
+                yield pd.DataFrame({"i": np.concatenate([a, b[mirror]]), "j": np.concatenate([b, a[mirror]]),
+                                    "value": np.concatenate([g.ravel(), g.ravel()[mirror]])})
+    return gram_tiles(df, vec, p).mapInPandas(rows, "i int, j int, value double")
+
+
+def leading_directions(df: DataFrame, vec: str, p: int, k: int, extra: int = 10, max_iter: int = 60,
+                       tol: float = 1e-10, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(singular values, p x k right singular vectors) of the rows, without a p x p matrix anywhere.
+
+    Subspace iteration with ``extra`` directions beside the k wanted ones: a round is one pass over the
+    rows that sums x (x'V), a p x (k + extra) matrix (``partials``), whose orthonormal basis is the next V.
+    Settled when no wanted squared singular value moves by more than ``tol`` of the largest; raises after
+    ``max_iter`` rounds.  With fewer than k directions in the data the rest is an arbitrary orthonormal
+    completion with value 0.
+    """
+    width = min(p, k + extra)
+    v = np.linalg.qr(np.random.default_rng(seed).normal(size=(p, width)))[0]
+
+    def kernel(v):
+        def run(batches):
+            total = np.zeros(v.shape)
+            for batch in batches:
+                if batch.num_rows:
+                    x = array_matrix(batch.column(0), p)
+                    total += x.T @ (x @ v)
+            yield 0, total
+        return run
+
+    before = None
+    for _ in range(max_iter):
+        found = reduced(df.select(vec), kernel(v)).collect()
+        y = np.frombuffer(found[0]["state"], float).reshape(p, width) if found else np.zeros((p, width))
+        # the rows' squares within the span of V, and its axes in order of their size
+        small = v.T @ y
+        value, turn = np.linalg.eigh((small + small.T) / 2)
+        order = np.argsort(value)[::-1]
+        value, axes = np.clip(value[order], 0, None), v @ turn[:, order]
+        if before is not None and np.abs(value[:k] - before).max(initial=0) <= tol * max(value[0], 1e-300):
+            return np.sqrt(value[:k]), axes[:, :k]
+        before = value[:k]
+        v = np.linalg.qr(y @ turn[:, order])[0]
+    raise RuntimeError(f"leading_directions: not settled to {tol} after {max_iter} rounds")
+
+
+def svd_scores_truncated(df: DataFrame, vec: str, p: int, k: int, keep: Sequence[str] = (), prefix: str = "PC",
+                         **settings) -> DataFrame:
+    """The first ``k`` uncentred SVD scores of wide rows (e.g. one-hot indicators); null elements are not allowed."""
+    _, basis = leading_directions(df, vec, p, k, **settings)
+    return _project(df, F.col(vec), _sign_fix(basis), prefix, keep)
+
+
+__all__ = ["pca_scores", "svd_scores", "svd_scores_array", "gram_long", "leading_directions", "svd_scores_truncated", "array_to_vector"]

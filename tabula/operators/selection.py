@@ -1,6 +1,6 @@
 """Column statistics and column filters (M1, M2, M4, M9).
 
-The data work is distributed (melt + aggregations, one Gram/moment pass);
+The data work is distributed (melt + aggregations, one pass for all pairs);
 only per-column summaries (bounded by the number of columns) and the p x p
 correlation matrix reach the driver, where the drop decision is made.
 """
@@ -8,21 +8,21 @@ correlation matrix reach the driver, where the drop decision is made.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.scalars import ieee_divide
+from tabula.operators.moments import pair_moments
 from tabula.session import keep
 
 # Near-zero-variance defaults (frequency ratio 95/5, 10 % unique).
 FREQ_CUT = 95 / 5
 UNIQUE_CUT = 10.0
 
-#: Column pairs per aggregation.
-PAIRS = 100
+#: Columns whose pairs are one aggregation; it plans well up to about a hundred pairs.
+WIDE = 14
 
 
 def _melt(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -83,21 +83,17 @@ def drop_nzv(df: DataFrame, cols: Sequence[str] | None = None, **kw) -> DataFram
     return df.drop(*drop) if drop else df
 
 
-def correlation_long(df: DataFrame, cols: Sequence[str], complete: bool = False) -> DataFrame:
-    """Pearson correlation of every column pair (a < b in list order) in ONE aggregation.
+def correlation_long(df: DataFrame, cols: Sequence[str], wide: int = WIDE) -> DataFrame:
+    """Pearson correlation of every column pair (a < b in list order), each over the rows where both are there.
 
-    ``corr`` is a combinable central-moment aggregate, so the pass is a
-    single partial + final aggregation with no shuffle of rows.  A pair with
-    a constant column gives null.
+    Up to ``wide`` columns are one aggregation of central moments inside Catalyst; more come from
+    one scan with matrix products (``moments``).  A pair with a constant column gives null, an empty
+    table no correlation at all (null or no rows).
     """
     cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if complete:
-        # no nulls (e.g. after imputation): one tree-aggregated Gram pass (Spark ML),
-        # p x p to the driver, returned as a small long table
-        m = _ml_correlation(df, cols)
-        rows = [(cols[i], cols[j], None if np.isnan(m[i, j]) else float(m[i, j])) for i, j in pairs]
-        return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+    if len(cols) > wide:
+        return pair_moments(df, cols).select("col_a", "col_b", "corr")
 
     def safe_corr(a, b):
         # corr() itself raises under ANSI mode for a constant column; build it from
@@ -105,42 +101,23 @@ def correlation_long(df: DataFrame, cols: Sequence[str], complete: bool = False)
         # all moments over the rows where both values are there
         a, b = F.col(a).cast("double"), F.col(b).cast("double")
         both = a.isNotNull() & b.isNotNull()
-        return ieee_divide(F.covar_pop(a, b), F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b)))
-
-    def rows_of(some):
-        row = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in some])
-        return row.select(F.explode(F.array(*[
-            F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr"))
-            for i, j in some])).alias("p")).select("p.*")
-    # one aggregation plans well up to about a hundred pairs; more pairs take several
-    stacked = reduce(DataFrame.unionByName, [rows_of(pairs[k:k + PAIRS]) for k in range(0, len(pairs), PAIRS)])
+        # merged means of a constant such as 0.1 may differ in the last digit: no spread by its range
+        spread = [F.min(F.when(both, c)) < F.max(F.when(both, c)) for c in (a, b)]
+        return F.when(spread[0] & spread[1], ieee_divide(F.covar_pop(a, b), F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))))
+
+    row = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    stacked = row.select(F.explode(F.array(*[
+        F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"c{i}_{j}").alias("corr"))
+        for i, j in pairs])).alias("p")).select("p.*")
     return stacked.withColumn("corr", F.when(F.col("corr").isNaN(), F.lit(None)).otherwise(F.col("corr")))
 
 
-def _ml_correlation(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
-    """Pearson matrix of null-free columns via Spark ML (one distributed pass)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="error").transform(
-        df.select(*[F.col(c).cast("double") for c in cols])).select("__v")
-    return Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
-
-
-def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: int = 40) -> np.ndarray:
-    """p x p matrix on the driver (bounded by the column count); NA -> 0, unit diagonal.
-
-    Pairwise-complete moments.  For more than ``wide`` columns without any null
-    the same values come from Spark ML's single tree-aggregated Gram pass.
-    """
+def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: int = WIDE) -> np.ndarray:
+    """p x p matrix on the driver (bounded by the column count); NA -> 0, unit diagonal."""
     cols = list(cols)
-    if len(cols) > wide and not any(df.agg(*[F.count_if(F.col(c).isNull()) for c in cols]).first()):
-        m = _ml_correlation(df, cols)
-        m = np.where(np.isnan(m), 0.0, m)
-        np.fill_diagonal(m, 1.0)
-        return m
     idx = {c: i for i, c in enumerate(cols)}
     m = np.eye(len(cols))
-    for r in correlation_long(df, cols).collect():
+    for r in correlation_long(df, cols, wide).collect() if len(cols) > 1 else []:
         v = 0.0 if r["corr"] is None else float(r["corr"])
         m[idx[r["col_a"]], idx[r["col_b"]]] = m[idx[r["col_b"]], idx[r["col_a"]]] = v
     return m
