@@ -99,14 +99,14 @@ def gram_long(df: DataFrame, vec: str, p: int) -> DataFrame:
     return gram_tiles(df, vec, p).mapInPandas(rows, "i int, j int, value double")
 
 
-def leading_directions(df: DataFrame, vec: str, p: int, k: int, extra: int = 10, max_iter: int = 60,
-                       tol: float = 1e-10, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def leading_directions(df: DataFrame, vec: str, p: int, k: int, extra: int = 10, max_iter: int = 100,
+                       tol: float = 1e-6, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(singular values, p x k right singular vectors) of the rows, without a p x p matrix anywhere.
 
     Subspace iteration with ``extra`` directions beside the k wanted ones: a round is one pass over the
     rows that sums x (x'V), a p x (k + extra) matrix (``partials``), whose orthonormal basis is the next V.
-    Settled when no wanted squared singular value moves by more than ``tol`` of the largest; raises after
-    ``max_iter`` rounds.  With fewer than k directions in the data the rest is an arbitrary orthonormal
+    Settled when every wanted direction v satisfies X'X v = s^2 v up to ``tol`` of the largest s^2; raises
+    after ``max_iter`` rounds.  With fewer than k directions in the data the rest is an arbitrary orthonormal
     completion with value 0.
     """
     width = min(p, k + extra)
@@ -122,7 +122,6 @@ def leading_directions(df: DataFrame, vec: str, p: int, k: int, extra: int = 10,
             yield 0, total
         return run
 
-    before = None
     for _ in range(max_iter):
         found = reduced(df.select(vec), kernel(v)).collect()
         y = np.frombuffer(found[0]["state"], float).reshape(p, width) if found else np.zeros((p, width))
@@ -130,11 +129,10 @@ def leading_directions(df: DataFrame, vec: str, p: int, k: int, extra: int = 10,
         small = v.T @ y
         value, turn = np.linalg.eigh((small + small.T) / 2)
         order = np.argsort(value)[::-1]
-        value, axes = np.clip(value[order], 0, None), v @ turn[:, order]
-        if before is not None and np.abs(value[:k] - before).max(initial=0) <= tol * max(value[0], 1e-300):
+        value, axes, images = np.clip(value[order], 0, None), v @ turn[:, order], y @ turn[:, order]
+        if np.linalg.norm((images - axes * value)[:, :k], axis=0).max(initial=0) <= tol * value[0]:
             return np.sqrt(value[:k]), axes[:, :k]
-        before = value[:k]
-        v = np.linalg.qr(y @ turn[:, order])[0]
+        v = np.linalg.qr(images)[0]
     raise RuntimeError(f"leading_directions: not settled to {tol} after {max_iter} rounds")
 
 

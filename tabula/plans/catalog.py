@@ -51,3 +51,4 @@ from tabula.plans import queries_model  # noqa: E402,F401
 from tabula.plans import queries_scale  # noqa: E402,F401
 from tabula.plans import queries_recipe  # noqa: E402,F401
 from tabula.plans import queries_restart  # noqa: E402,F401
+from tabula.plans import queries_wide  # noqa: E402,F401

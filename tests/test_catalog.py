@@ -12,7 +12,8 @@ from tests.oracle_compare import compare, duck
 FAST = ["sentinel_null_out", "ratio_ieee", "cut_right_closed", "row_kurtosis", "bundle_moments",
         "category_means_two_keys", "label_encode", "onehot_max_levels", "blend_median", "auc_rank",
         "nzv_columns", "knn_class_distance_sums", "knn_columns_by_split", "gram_matrix_long",
-        "svd_full_lengths", "pca_full_lengths", "blend_score_files", "group_median_lookup"]
+        "svd_full_lengths", "pca_full_lengths", "blend_score_files", "group_median_lookup",
+        "corr_wide_with_nulls", "corr_matrix_long"]
 
 
 def test_entry_smoke(spark):
@@ -29,7 +30,8 @@ def test_every_query_has_sql_or_is_declared_rows_only():
     rows_only = set(CATALOG) - set(sql)
     assert rows_only == {"corr_filter_pairwise", "pca_scores", "svd_scores_uncentered", "soft_impute",
                          "gbt_scores", "gbt_scores_weighted", "train_score_write", "importance_topk", "feature_table_pipeline",
-                         "auc_by_round", "gbt_best_round_scores", "train_on_feature_table", "declared_categories"}
+                         "auc_by_round", "gbt_best_round_scores", "train_on_feature_table", "declared_categories",
+                         "svd_truncated_onehot", "als_completion"}
 
 
 @pytest.mark.parametrize("name", FAST)
