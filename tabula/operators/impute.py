@@ -158,6 +158,15 @@ def _row_factors(x: np.ndarray, v: np.ndarray, lam: float) -> tuple[np.ndarray,
     return x0, there, u
 
 
+def _balanced(v: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """The column factors of the same product U V' with the least ||U||^2 + ||V||^2, given U'U (``squares``)."""
+    axes, d, turn = np.linalg.svd(v, full_matrices=False)
+    inner = d[:, None] * (turn @ squares @ turn.T) * d          # its eigenvalues: the squared singular values of U V'
+    value, vectors = np.linalg.eigh((inner + inner.T) / 2)
+    even = (axes @ vectors) * np.clip(value, 0, None) ** 0.25
+    return np.pad(even, ((0, 0), (0, v.shape[1] - even.shape[1])))      # more factors than columns: the rest are zero
+
+
 def als_fit(df: DataFrame, vec: str, p: int, rank: int = 3, lam: float = 1.9, max_iter: int = 500,
             tol: float = 1e-9, seed: int = 0) -> Factors:
     """Column factors V minimising ||P(X - U V')||^2 + lam (||U||^2 + ||V||^2), P: observed cells only.
@@ -166,23 +175,26 @@ def als_fit(df: DataFrame, vec: str, p: int, rank: int = 3, lam: float = 1.9, ma
     pass over the unchanged input: the ridge factors of a row follow from V alone, so they are computed
     in the task and not kept; each column's ridge system (rank x rank) is summed over the rows
     (``partials``) and solved on the driver.  Nothing is stored between rounds but V (p x rank), so
-    there is no lineage to cut.  Both steps are minimisers, so the objective never rises.  Settled when
-    a round lowers it by less than ``tol`` of itself; rows or columns without values have zero factors.
+    there is no lineage to cut.  The length of U and V is balanced after each round (``_balanced``), else
+    they creep towards their balance, the more slowly the more rows there are.  All steps lower the
+    objective, so it never rises.  Settled when a round lowers it by less than ``tol`` of itself; rows or
+    columns without values have zero factors.
     """
     v = np.random.default_rng(seed).normal(size=(p, rank))
     fit = Factors(v)
 
     def kernel(v):
         def run(batches):
-            a, b, loss = np.zeros((p, rank * rank)), np.zeros((p, rank)), 0.0
+            a, b, squares, loss = np.zeros((p, rank * rank)), np.zeros((p, rank)), np.zeros((rank, rank)), 0.0
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 x, there, u = _row_factors(array_matrix(batch.column(0), p), v, lam)
                 a += there.T @ (u[:, :, None] * u[:, None, :]).reshape(len(u), rank * rank)
                 b += x.T @ u
+                squares += u.T @ u
                 loss += float((((x - u @ v.T) * there) ** 2).sum() + lam * (u ** 2).sum())
-            yield 0, np.concatenate([a.ravel(), b.ravel(), [loss]])
+            yield 0, np.concatenate([a.ravel(), b.ravel(), squares.ravel(), [loss]])
         return run
 
     for _ in range(max_iter):
@@ -193,8 +205,9 @@ def als_fit(df: DataFrame, vec: str, p: int, rank: int = 3, lam: float = 1.9, ma
         sums = np.frombuffer(found[0]["state"], float)
         fit.objective.append(float(sums[-1] + lam * (fit.v ** 2).sum()))
         a = sums[:p * rank * rank].reshape(p, rank, rank)
-        b = sums[p * rank * rank:-1].reshape(p, rank)
-        fit.v = np.linalg.solve(a + lam * np.eye(rank), b[:, :, None])[:, :, 0]
+        b = sums[a.size:a.size + p * rank].reshape(p, rank)
+        v = np.linalg.solve(a + lam * np.eye(rank), b[:, :, None])[:, :, 0]
+        fit.v = _balanced(v, sums[a.size + p * rank:-1].reshape(rank, rank))
         last = fit.objective[-2:]
         if len(last) == 2 and last[0] - last[1] <= tol * abs(last[0]):
             fit.converged = True

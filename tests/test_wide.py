@@ -1,6 +1,7 @@
 """One-scan moments, Gram tiles, truncated SVD and alternating completion against numpy."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +129,20 @@ def test_alternating_completion_equals_plain_numpy(spark):
         impute.als_impute(df, "id", cols, max_iter=1)
     empty, fit = impute.als_impute(df.limit(0), "id", cols)
     assert fit.converged and empty.count() == 0
+
+
+def test_alternating_completion_settles_on_many_rows(spark):
+    """Without balancing the factors, these rows take more than 500 rounds, the limit."""
+    rng = np.random.default_rng(6)
+    x = 3 * rng.random((3000, 5)) * [10, 1, 1, 1, 2]
+    x[rng.random(x.shape) < 0.05] = np.nan
+    x = np.tile(x, (20, 1))
+    df = spark.createDataFrame(pd.DataFrame({"v": list(x)}))
+    fit = impute.als_fit(df, "v", 5)
+    assert fit.converged and len(fit.objective) < 200
+    assert all(b <= a * (1 + 1e-12) for a, b in zip(fit.objective, fit.objective[1:]))
+    v, squares = rng.normal(size=(6, 3)), rng.normal(size=(9, 3))
+    even = impute._balanced(v, squares.T @ squares)
+    product = squares @ v.T
+    length = np.linalg.svd(product, compute_uv=False).sum()
+    assert np.isclose((even ** 2).sum(), length) and np.allclose(product @ even @ np.linalg.pinv(even), product)
