@@ -7,7 +7,7 @@ the driver); its transform does not centre, hence the scaler first.
 M6 (``prcomp(x, center=FALSE, scale=FALSE)``) uses the same distributed
 Gram pass as soft-impute (tiles of xᵀx summed in a tree), an eigen-decomposition of the p x p matrix on the driver, and
 a row-local projection.  For wide rows and few components there is a truncated
-form that needs a p x (k + 10) matrix only (subspace iteration).
+form that needs a few p x (k + 10) matrices only (block Krylov iteration).
 
 Component signs are arbitrary in any SVD; both operators normalise each
 component so that its largest-magnitude loading is positive, which makes
@@ -99,18 +99,25 @@ def gram_long(df: DataFrame, vec: str, p: int) -> DataFrame:
     return gram_tiles(df, vec, p).mapInPandas(rows, "i int, j int, value double")
 
 
+#: Blocks of directions that ``leading_directions`` holds at most.
+_BLOCKS = 6
+
+
 def leading_directions(df: DataFrame, vec: str, p: int, k: int, extra: int = 10, max_iter: int = 100,
                        tol: float = 1e-6, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(singular values, p x k right singular vectors) of the rows, without a p x p matrix anywhere.
 
-    Subspace iteration with ``extra`` directions beside the k wanted ones: a round is one pass over the
-    rows that sums x (x'V), a p x (k + extra) matrix (``partials``), whose orthonormal basis is the next V.
+    Block Krylov iteration with ``extra`` directions beside the k wanted ones: a round is one pass over
+    the rows that sums x (x'V), a p x (k + extra) matrix (``partials``); V is what X'X added to the best
+    directions so far.  They are the best ones of all V's span, so close singular values take few rounds;
+    after ``_BLOCKS`` of them only the 2 (k + extra) best are kept, and p directions are the whole space.
     Settled when every wanted direction v satisfies X'X v = s^2 v up to ``tol`` of the largest s^2; raises
     after ``max_iter`` rounds.  With fewer than k directions in the data the rest is an arbitrary orthonormal
     completion with value 0.
     """
     width = min(p, k + extra)
     v = np.linalg.qr(np.random.default_rng(seed).normal(size=(p, width)))[0]
+    axes = images = np.zeros((p, 0))
 
     def kernel(v):
         def run(batches):
@@ -124,15 +131,23 @@ def leading_directions(df: DataFrame, vec: str, p: int, k: int, extra: int = 10,
 
     for _ in range(max_iter):
         found = reduced(df.select(vec), kernel(v)).collect()
-        y = np.frombuffer(found[0]["state"], float).reshape(p, width) if found else np.zeros((p, width))
-        # the rows' squares within the span of V, and its axes in order of their size
-        small = v.T @ y
+        y = np.frombuffer(found[0]["state"], float).reshape(v.shape) if found else np.zeros(v.shape)
+        axes, images = np.hstack([axes, v]), np.hstack([images, y])
+        # the rows' squares within the span, and its axes in order of their size
+        small = axes.T @ images
         value, turn = np.linalg.eigh((small + small.T) / 2)
         order = np.argsort(value)[::-1]
-        value, axes, images = np.clip(value[order], 0, None), v @ turn[:, order], y @ turn[:, order]
-        if np.linalg.norm((images - axes * value)[:, :k], axis=0).max(initial=0) <= tol * value[0]:
+        value, axes, images = np.clip(value[order], 0, None), axes @ turn[:, order], images @ turn[:, order]
+        rest = (images - axes * value)[:, :width]
+        if np.linalg.norm(rest[:, :k], axis=0).max(initial=0) <= tol * value[0]:
             return np.sqrt(value[:k]), axes[:, :k]
-        v = np.linalg.qr(images)[0]
+        if axes.shape[1] >= _BLOCKS * width:
+            axes, images = axes[:, :2 * width], images[:, :2 * width]
+        for _ in range(2):                          # twice: the first leaves rounding
+            rest = rest - axes @ (axes.T @ rest)
+        side, size, _ = np.linalg.svd(rest, full_matrices=False)
+        v = side[:, size > 1e-12 * value[0]][:, :p - axes.shape[1]]
+        v = np.linalg.qr(v - axes @ (axes.T @ v))[0]
     raise RuntimeError(f"leading_directions: not settled to {tol} after {max_iter} rounds")
 
 

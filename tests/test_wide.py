@@ -146,3 +146,17 @@ def test_alternating_completion_settles_on_many_rows(spark):
     product = squares @ v.T
     length = np.linalg.svd(product, compute_uv=False).sum()
     assert np.isclose((even ** 2).sum(), length) and np.allclose(product @ even @ np.linalg.pinv(even), product)
+
+
+def test_truncated_directions_of_close_values_settle(spark):
+    """Plain subspace iteration took more than 100 rounds, the limit, for singular values this close."""
+    rng = np.random.default_rng(9)
+    want = np.sqrt(1 - 0.001 * np.arange(300))
+    x = want[:, None] * np.linalg.qr(rng.normal(size=(300, 300)))[0]
+    df = spark.createDataFrame(pd.DataFrame({"v": list(x)}))
+    value, v = reduce.leading_directions(df, "v", 300, 10)
+    assert np.allclose(value, want[:10], rtol=1e-6)
+    assert np.allclose(v.T @ v, np.eye(10), atol=1e-9) and np.allclose(x.T @ (x @ v), v * value ** 2, atol=1e-5)
+    few = spark.createDataFrame([([1.0, 2.0, 0.0, 0.0],), ([2.0, 4.0, 0.0, 0.0],)], "v array<double>")
+    value, v = reduce.leading_directions(few, "v", 4, 2, extra=0)
+    assert np.allclose(value, [5.0, 0.0], atol=1e-6) and np.allclose(v.T @ v, np.eye(2))
