@@ -3,21 +3,22 @@
 ``rollup`` is ``group_by(keys) %>% summarise_all(bundle)``: output
 ``<col>_<fn>``.  Physical shape:
 
-* all value aggregates (mean, var, min, max, sum, median, moments) run in ONE
-  hash aggregation with partial aggregation before the shuffle on the key;
-* ``n_distinct`` is split by group size, measured by that same aggregation
-  (``count(1)`` per key; the result is persisted because it is the output):
-  - groups up to ``hot_rows`` rows: ``size(collect_set(c))`` in a second
-    aggregation — de-duplicated map-side, so each merged set is bounded by
-    ``hot_rows`` values (kept apart from the value aggregation because an
-    object aggregate would switch that one to the non-codegen path);
-  - hot groups (a key may hold a third of all rows): a narrow long form
+* a bundle without ``n_distinct`` is ONE hash aggregation with partial
+  aggregation before the shuffle on the key;
+* with ``n_distinct`` groups are split by their size, which one count per
+  key measures first:
+  - the rows of groups up to ``hot_rows`` rows are shuffled by key as they
+    are and aggregated in the task of their key, distinct counts as
+    ``size(collect_set(c))``, so each set is bounded by ``hot_rows`` values;
+    the rows are narrower than their partial aggregates, of which nearly
+    every row would have its own;
+  - hot groups (a key may hold a third of all rows): values with partial
+    aggregation, and a narrow long form
     (key, column index, value) is de-duplicated with a shuffle on all three,
     so the hot key is spread over every reducer by value, then counted per
-    (key, column) with partial aggregation and pivoted back.
+    (key, column) with partial aggregation, pivoted back and joined on the key.
   Catalyst's own multi-distinct rewrite (Expand of the wide row once per
   distinct column) was ~4x slower than either path here;
-* the two results are joined on the key;
 * ``median`` (Spark's ``percentile``, a value map per group) is bounded the
   same way: when a bundle has a median, a count-per-key pass finds the hot
   keys first; their groups get ``quantile.exact_median`` (iterative
@@ -169,14 +170,21 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
     nd_cols = [c for c in cols if "n_distinct" in fns and not _is_pruned(c, "n_distinct", prune)]
     if not nd_cols:
         return df.groupBy(*keys).agg(*value_exprs)
-    # the input feeds two aggregations: keep it (memory, spilling to disk; lost
-    # blocks are recomputed from lineage) instead of recomputing its upstream
-    df = keep(df)
-    # value aggregates (codegen'd hash aggregation) + the group size, persisted: it is the output
-    main = keep(df.groupBy(*keys).agg(*value_exprs, F.count(F.lit(1)).alias("__rows")))
-    hot = hot_keys(main, keys, "__rows", hot_rows)
-    out = left_join_null_safe(main.drop("__rows"), distinct_counts(df, keys, nd_cols, nulls, hot), keys, right_small=False)
-    return out.select(*_order(keys, cols, fns, prune, nd_cols))
+    # one narrow count per key finds the hot groups; the rows of all others go to the task of their key once,
+    # where one aggregation makes values and distinct counts (partial aggregates would be a row of many
+    # columns for nearly every input row, and the two results would have to be joined)
+    order = _order(keys, cols, fns, prune, nd_cols)
+    hot = hot_keys(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")), keys, "__rows", hot_rows)
+    normal = df if hot is None else keys_in(df, hot, keys, "left_anti")
+    normal = normal.repartition(*keys).groupBy(*keys).agg(*value_exprs, *_set_exprs(df, nd_cols, nulls)).select(*order)
+    if hot is None:
+        return normal
+    # hot groups: values with partial aggregation (there are few rows of partial aggregates), melted distinct counts
+    heavy = keep(keys_in(df, hot, keys, "left_semi"))
+    main = heavy.groupBy(*keys).agg(*value_exprs, F.count(F.lit(1)).alias("__rows")).drop("__rows")
+    melted = _melted_distinct(heavy, keys, nd_cols, nulls)
+    melted = melted.select(*keys, *[F.col(f"__nd{i}").cast("long").alias(c + "_n_distinct") for i, c in enumerate(nd_cols)])
+    return normal.unionByName(left_join_null_safe(main, melted, keys, right_small=False).select(*order))
 
 
 def nested_rollup(grandchild: DataFrame, child: DataFrame, child_key: str, parent_key: str,
