@@ -63,35 +63,27 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[str, dict[int, int]] = defaultdict(lambda: defaultdict(int))
+    """Partial counts a language, of at most about ``CHUNK`` trigrams at a time; they add up later."""
+    schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
     held: dict[str, list[np.ndarray]] = defaultdict(list)
-    size: dict[str, int] = defaultdict(int)
+    size = 0
 
-    def settle(lang: str) -> None:
-        grams, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-        mine = total[lang]
-        for g, n in zip(grams.tolist(), counts.tolist()):
-            mine[g] += n
-        size[lang] = 0
-
-    def spill() -> Iterator[pa.RecordBatch]:
-        for lang, mine in total.items():
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(mine), "gram": list(mine), "n": list(mine.values())},
-                                             schema=pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())]))
-        total.clear()
+    def settle() -> Iterator[pa.RecordBatch]:
+        for lang in list(held):
+            grams, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+            if grams.size:
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * grams.size, pa.string()), pa.array(grams.astype(np.int64)),
+                                                  pa.array(counts.astype(np.int64))], schema=schema)
 
     for batch in batches:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = trigrams(text) if text else np.zeros(0, np.uint64)
             held[lang].append(found)
-            size[lang] += found.size
-            if size[lang] >= CHUNK:
-                settle(lang)
-        if sum(map(len, total.values())) > 2_000_000:   # bounded task memory: partial counts add up later
-            yield from spill()
-    for lang in list(held):
-        settle(lang)
-    yield from spill()
+            size += found.size
+            if size >= CHUNK:
+                yield from settle()
+                size = 0
+    yield from settle()
 
 
 @dataclass

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -254,3 +255,24 @@ def test_grams_cover_whole_texts():
     assert importance.grams("a b c d").size == 4 + 3 + 3
     assert zlib.crc32(importance.grams("x y " * 50_000).tobytes()) == zlib.crc32(importance.grams("x y " * 50_000).tobytes())
     assert os.path.exists(RANKS)
+
+
+def test_trigram_counts_leave_the_task_in_chunks(monkeypatch):
+    """They were held in Python dictionaries until two million different ones were there."""
+    monkeypatch.setattr(langid, "CHUNK", 500)
+    texts = ["".join(chr(0x4E00 + (7 * i + j) % 3000) for j in range(100)) for i in range(40)]
+    read = []
+
+    def batches():
+        for i, text in enumerate(texts):
+            read.append(i)
+            yield pa.RecordBatch.from_pydict({"text": [text], "lang": ["ab"[i % 2]]})
+
+    out = langid._count(batches())
+    found = [next(out)]
+    assert len(read) < len(texts)
+    found += out
+    got = Counter()
+    for b in found:
+        got.update({(r["lang"], r["gram"]): r["n"] for r in b.to_pylist()})
+    assert got == Counter(("ab"[i % 2], int(g)) for i, t in enumerate(texts) for g in langid.trigrams(t))
