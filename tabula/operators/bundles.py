@@ -3,10 +3,7 @@
 ``rollup`` is ``group_by(keys) %>% summarise_all(bundle)``: output
 ``<col>_<fn>``.  Physical shape:
 
-* a bundle without ``n_distinct`` is ONE hash aggregation with partial
-  aggregation before the shuffle on the key;
-* with ``n_distinct`` groups are split by their size, which one count per
-  key measures first:
+* groups are split by their size, which one count per key measures first:
   - the rows of groups up to ``hot_rows`` rows are shuffled by key as they
     are and aggregated in the task of their key, distinct counts as
     ``size(collect_set(c))``, so each set is bounded by ``hot_rows`` values;
@@ -168,8 +165,6 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
     value_fns = [f for f in fns if f != "n_distinct"]
     value_exprs = bundle_exprs(cols, value_fns, nulls, prune)
     nd_cols = [c for c in cols if "n_distinct" in fns and not _is_pruned(c, "n_distinct", prune)]
-    if not nd_cols:
-        return df.groupBy(*keys).agg(*value_exprs)
     # one narrow count per key finds the hot groups; the rows of all others go to the task of their key once,
     # where one aggregation makes values and distinct counts (partial aggregates would be a row of many
     # columns for nearly every input row, and the two results would have to be joined)
@@ -180,7 +175,10 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
     if hot is None:
         return normal
     # hot groups: values with partial aggregation (there are few rows of partial aggregates), melted distinct counts
-    heavy = keep(keys_in(df, hot, keys, "left_semi"))
+    heavy = keys_in(df, hot, keys, "left_semi")
+    if not nd_cols:
+        return normal.unionByName(heavy.groupBy(*keys).agg(*value_exprs).select(*order))
+    heavy = keep(heavy)
     main = heavy.groupBy(*keys).agg(*value_exprs, F.count(F.lit(1)).alias("__rows")).drop("__rows")
     melted = _melted_distinct(heavy, keys, nd_cols, nulls)
     melted = melted.select(*keys, *[F.col(f"__nd{i}").cast("long").alias(c + "_n_distinct") for i, c in enumerate(nd_cols)])

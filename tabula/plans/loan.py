@@ -15,6 +15,7 @@ from tabula.operators import groupstats
 from tabula.functions.aggregates import agg_expr
 from tabula.plans.analog import EPOCH
 from tabula.plans.recipe import Recipe, Step, apply, sentinel
+from tabula.session import keep
 
 
 def _share(test: str) -> str:
@@ -201,7 +202,7 @@ R3_RATIOS = Recipe(steps=[Step(n, [a, b], X.ieee_divide) for n, (a, b) in BUREAU
 
 def bureau_features(t) -> DataFrame:
     """R3 up to the roll-up.  The category means are those of the days before the sentinels went."""
-    b = apply(bureau(t), R3_CLEAN)
+    b = keep(apply(bureau(t), R3_CLEAN))        # read by every block of means
     source = {c: _raw(c) if c in BUREAU_DAYS else c for c in (*BUREAU_DAYS, *BUREAU_AMOUNTS, *BUREAU_FLAGS)}
     b = groupstats.add_group_blocks(b, [(keys, {prefix + c: agg_expr("mean", s, "propagate") for c, s in source.items()}) for prefix, keys in BUREAU_MEANS.items()])
     return apply(b, R3_RATIOS)

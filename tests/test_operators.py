@@ -287,3 +287,21 @@ def test_gbt_trains_scores_and_ranks_features(spark, categorical_max):
     assert len(scores) == n and scores["TARGET"].between(0, 1).all()
     imp = train.importance(res, spark).toPandas()
     assert imp.iloc[0]["feature"] == "x"
+
+
+@pytest.mark.parametrize("fns", [["mean", "max", "n_distinct"], ["mean", "max"]])
+def test_rollup_shuffles_rows_once(spark, fns):
+    """Partial aggregates of many columns were shuffled, and distinct counts joined to the values."""
+    rows = [(None if i % 5 == 4 else i % 5, float(i % 7), i % 3) for i in range(100)]
+    df = spark.createDataFrame(rows, "k long, x double, y long")
+    for hot_rows in (1000, 10):                              # all groups normal, all groups hot
+        out = bundles.rollup(df, "k", fns, hot_rows=hot_rows)
+        if hot_rows == 1000:
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and plan.count("Exchange") == 1 and "REPARTITION_BY_COL" in plan
+        got = {r["k"]: r for r in out.collect()}
+        assert set(got) == {0, 1, 2, 3, None}
+        for k, r in got.items():
+            x = [v for key, v, _ in rows if key == k]
+            assert r["x_mean"] == pytest.approx(sum(x) / len(x)) and r["x_max"] == max(x)
+            assert "n_distinct" not in fns or (r["x_n_distinct"], r["y_n_distinct"]) == (len(set(x)), 3)
