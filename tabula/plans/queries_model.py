@@ -126,7 +126,7 @@ def score_wide(t):
 
 
 def score_tables(t) -> dict:
-    wide = score_wide(t)
+    wide = keep(score_wide(t))              # seven tables of one derivation
     return {n: wide.select("SK_ID_CURR", F.col(n).alias("TARGET")) for n in _NAMES}
 
 

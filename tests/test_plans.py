@@ -31,3 +31,13 @@ def test_bin_statistics_are_broadcast(spark):
     import __spark_entry__ as e
     plan = _plan(e.queries()["category_means_joinback"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan
+
+
+def test_score_tables_share_one_derivation(spark):
+    """Each of the seven score tables aggregated the orders anew, all in the tasks of one blend."""
+    from tabula.plans.queries_model import score_tables
+    from tabula.sources.tables import load_tables
+
+    for scores in score_tables(load_tables(spark, "/root/testdata/sf0.001")).values():
+        plan = scores._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")
+        assert len(plan) == 2 and "Aggregate" not in plan[0]
