@@ -41,12 +41,13 @@ def _project(df: DataFrame, vec, basis: np.ndarray, prefix: str, keep: Sequence[
 
     Each score is ``aggregate(zip_with(x, literal basis column))``: a flat
     expression whatever p is (a nested sum of p terms would overflow the
-    analyzer for wide tables).
+    analyzer for wide tables).  A basis column is one array literal, not p
+    literals, so building and analysing the plan does not grow with p times k expressions.
     """
     p, k = basis.shape
     scores = []
     for j in range(k):
-        b = F.array(*[F.lit(float(v)) for v in basis[:, j]])
+        b = F.lit(np.ascontiguousarray(basis[:, j], float))
         prod = F.zip_with(vec, b, lambda x, w: x * w)
         scores.append(F.aggregate(prod, F.lit(0.0), lambda acc, y: acc + y).alias(f"{prefix}{j + 1}"))
     return df.select(*keep, *scores)

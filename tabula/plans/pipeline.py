@@ -69,7 +69,8 @@ def _bureau(t, cfg: PipelineConfig) -> DataFrame:
     b = b.withColumn("AMT_CREDIT_SUM_PER_DAY", X.ieee_divide("AMT_CREDIT_SUM", F.abs(F.col("DAYS_CREDIT"))))
     bb = encode.onehot(analog.bureau_balance(t), max_levels=10)
     out = nested_rollup(bb, b, "SK_ID_BUREAU", "SK_ID_CURR", cfg.bundle, cfg.bundle, cfg.nulls)
-    out = clean.clean_non_finite(out)
+    # the filter reads the roll-up twice and the merge once more: written once, never computed again
+    out = materialize(clean.clean_non_finite(out), "bureau-rollup")
     return C.prefix_rename(selection.drop_nzv(out, [c for c in out.columns if c != "SK_ID_CURR"]), "BURO_",
                            ["SK_ID_CURR"])
 
@@ -94,7 +95,7 @@ def _previous(t, cfg) -> DataFrame:
     p = previous_apps(t).drop("SK_ID_PREV")
     p = p.withColumn("APP_SIZE_PERC", X.ieee_divide("l_quantity", "p_size"))
     p = encode.onehot(p, max_levels=cfg.onehot_levels)
-    out = clean.clean_non_finite(rollup(p, "SK_ID_CURR", cfg.bundle, cfg.nulls))
+    out = materialize(clean.clean_non_finite(rollup(p, "SK_ID_CURR", cfg.bundle, cfg.nulls)), "previous-rollup")
     return C.prefix_rename(selection.drop_nzv(out, [c for c in out.columns if c != "SK_ID_CURR"]), "PREV_",
                            ["SK_ID_CURR"])
 
