@@ -22,10 +22,12 @@ count are all best; empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabula.llm.common import BROADCAST_BYTES, written
 
+#: A piece's id and the end of its span, read together.
+_ID_END = attrgetter("id", "end")
 #: Blanks at which both tokenizers cut.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_CUT = re.compile(r" (?<=\S )(?=\S)")       # the blank first: it is searched for as a literal
 BLANK = "▁"
 CACHED = 48
 CACHE_PARTS = 300_000            # in each of two generations
@@ -79,8 +83,8 @@ class Aligner:
         ids = got.ids
         if b"".join(map(self.a_bytes.__getitem__, ids)) != whole:
             return None
-        ids, spans = np.array(ids), got.offsets
-        start, ends = (np.fromiter((x[k] for x in spans), np.int64, len(spans)) for k in (0, 1))
+        ids, spans = np.array(ids), np.fromiter(chain.from_iterable(got.offsets), np.int64, 2 * len(ids))
+        start, ends = spans[::2], spans[1::2]
         if len(whole) > len(text) + 1:                                   # characters -> bytes
             heads = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
             inside = np.append(start[1:] < ends[:-1], False)             # the next token shares this one's last character
@@ -90,10 +94,10 @@ class Aligner:
     def b_tokens(self, text: str, whole: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """The same of B, which puts the blank before the text itself; its spans are bytes of the text."""
         pieces = self.b.encode(text, return_type="proto").pieces
-        ids = [p.id for p in pieces]
-        if b"".join(map(self.b_bytes.__getitem__, ids)) != whole:
+        found = np.fromiter(chain.from_iterable(map(_ID_END, pieces)), np.int64, 2 * len(pieces))
+        ids, ends = found[::2], found[1::2] + 1
+        if b"".join(map(self.b_bytes.__getitem__, ids.tolist())) != whole:
             return None
-        ids, ends = np.array(ids), np.array([p.end for p in pieces]) + 1
         fallback = self.b_byte[ids]
         return ids, refine(ends, fallback, self.b_len[ids]) if fallback.any() else ends
 
@@ -143,16 +147,21 @@ class Aligner:
 
     def look_up(self, texts: list[list[str]]) -> dict[str, tuple | None]:
         """Alignments of all parts of some texts, from the cache (what was used lately stays) or anew."""
-        parts = {p for text in texts for p in text}
-        known = {p: self.young[p] for p in parts & self.young.keys()}
-        back = {p: self.old[p] for p in (parts & self.old.keys()) - known.keys()}
-        fresh = list(parts - known.keys() - back.keys())
-        got = dict(zip(fresh, self.align(fresh)))
-        self.young.update(back)
-        self.young.update((p, x) for p, x in got.items() if len(p) <= CACHED)
-        if len(self.young) > CACHE_PARTS:
-            self.young, self.old = {}, self.young
-        return known | back | got
+        young, old, known, fresh = self.young, self.old, {}, []
+        for p in set().union(*texts):
+            if p in young:
+                known[p] = young[p]
+            elif p in old:
+                known[p] = young[p] = old[p]
+            else:
+                fresh.append(p)
+        for p, x in zip(fresh, self.align(fresh)):
+            known[p] = x
+            if len(p) <= CACHED:
+                young[p] = x
+        if len(young) > CACHE_PARTS:
+            self.young, self.old = {}, young
+        return known
 
 
 def refine(ends: np.ndarray, inside: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -197,7 +206,7 @@ def _documents(a_path: str, b_path: str):
                         ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
 
     def one(known, parts: list[str]) -> tuple:
-        got = [known[p] for p in parts]
+        got = list(map(known.__getitem__, parts))
         if not got or None in got:
             return 0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)
         n_a, n_b, n_groups, links, groups = zip(*got)
@@ -210,8 +219,13 @@ def _documents(a_path: str, b_path: str):
         for batch in batches:
             at = 0
             for run_ in _chunks(batch.column(1).to_pylist()):
-                known = align.look_up(run_)
-                rows = list(zip(*(one(known, parts) for parts in run_)))
+                # a run makes many small tuples and no cycles: collections wait until it is done
+                gc.disable()
+                try:
+                    known = align.look_up(run_)
+                    rows = list(zip(*(one(known, parts) for parts in run_)))
+                finally:
+                    gc.enable()
                 ends = np.concatenate([[0], np.cumsum([p.size for p in rows[5]])]).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(x).astype(t)))
                          for x, t in ((rows[5], np.int64), (rows[6], np.int32))]

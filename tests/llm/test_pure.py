@@ -276,3 +276,31 @@ def test_trigram_counts_leave_the_task_in_chunks(monkeypatch):
     for b in found:
         got.update({(r["lang"], r["gram"]): r["n"] for r in b.to_pylist()})
     assert got == Counter(("ab"[i % 2], int(g)) for i, t in enumerate(texts) for g in langid.trigrams(t))
+
+
+def test_alignment_waits_with_collections_and_keeps_the_cuts(monkeypatch):
+    """Collections ran all through a run's many small tuples; they wait for its end, and are on again after an error as well."""
+    import gc
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+    from tabula.llm import alignment as A
+
+    seen = []
+
+    class Parts:
+        def look_up(self, texts):
+            seen.append(gc.isenabled())
+            if "stop" in texts[0]:
+                raise ValueError
+            return {p: (1, 1, 1, np.array([7]).tobytes(), "0|0;") for text in texts for p in text}
+    monkeypatch.setattr(A, "aligner", lambda a, b: Parts())
+    batch = [pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [text, None]}) for text in ("one two", "stop")]
+    got = list(A._documents("a", "b")(iter(batch[:1])))
+    assert got[0].column("n_a").to_pylist() == [2, 0] and gc.isenabled()
+    with pytest.raises(ValueError):
+        list(A._documents("a", "b")(iter(batch[1:])))
+    assert seen == [False, False] and gc.isenabled()
+    for text in ("a b  c d", " a\tb c ", "a  b", "a\n b c", "é b　 c d", "  ", "a"):
+        assert A.parts_of(text) == re.split(r"(?<=\S) (?=\S)", text)
