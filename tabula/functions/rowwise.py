@@ -25,9 +25,8 @@ def _any_null(cols: Sequence) -> Column:
 
 
 def row_null_count(cols: Sequence) -> Column:
-    return F.aggregate(F.array(*[F.col(c).isNull().cast("int") if isinstance(c, str) else c.isNull().cast("int")
-                                 for c in cols]),
-                       F.lit(0), lambda acc, x: acc + x)
+    nulls = F.array(*[F.col(c).isNull().cast("int") if isinstance(c, str) else c.isNull().cast("int") for c in cols])
+    return F.size(F.array_remove(nulls, 0))
 
 
 def row_sum(cols: Sequence) -> Column:

@@ -8,7 +8,8 @@
     are and aggregated in the task of their key, distinct counts as
     ``size(collect_set(c))``, so each set is bounded by ``hot_rows`` values;
     the rows are narrower than their partial aggregates, of which nearly
-    every row would have its own;
+    every row would have its own; numeric columns under the canonical functions
+    are aggregated from rows sorted by key (``sortedruns``);
   - hot groups (a key may hold a third of all rows): values with partial
     aggregation, and a narrow long form
     (key, column index, value) is de-duplicated with a shuffle on all three,
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.functions.aggregates import BUNDLES, agg_expr, bundle_exprs
+from tabula.operators import sortedruns
 from tabula.operators.joins import checked_broadcast, keys_in, left_join_null_safe
 from tabula.operators.quantile import exact_median
 from tabula.session import keep
@@ -171,7 +173,10 @@ def rollup(df: DataFrame, keys, fns: Sequence[str] | str = "canonical", nulls: s
     order = _order(keys, cols, fns, prune, nd_cols)
     hot = hot_keys(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")), keys, "__rows", hot_rows)
     normal = df if hot is None else keys_in(df, hot, keys, "left_anti")
-    normal = normal.repartition(*keys).groupBy(*keys).agg(*value_exprs, *_set_exprs(df, nd_cols, nulls)).select(*order)
+    if sortedruns.fits(df, keys, cols, fns, nulls):
+        normal = sortedruns.bundle(normal, keys, [(c, fn) for c in cols for fn in fns if not _is_pruned(c, fn, prune)])
+    else:
+        normal = normal.repartition(*keys).groupBy(*keys).agg(*value_exprs, *_set_exprs(df, nd_cols, nulls)).select(*order)
     if hot is None:
         return normal
     # hot groups: values with partial aggregation (there are few rows of partial aggregates), melted distinct counts

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.functions.columns import string_columns
-from tabula.operators.joins import checked_broadcast
+from tabula.operators.joins import WIDE_ROW, checked_broadcast, packed
 from tabula.session import checkpoint_dir
 
 
@@ -75,13 +75,14 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     if not cols:
         return df
     ranked = ranked_levels(_distinct_levels(df, cols)).checkpoint()
-    out = df
+    wide = len(df.columns) > WIDE_ROW
+    out = packed(df, cols) if wide else df
     for i, c in enumerate(cols):
         d = ranked.where(F.col("col") == c).select(F.col("value").alias(f"__v_{i}"), F.col("code").alias(f"__c_{i}"))
         d, _ = checked_broadcast(d)
         out = out.join(d, out[c].cast("string") == d[f"__v_{i}"], "left")
     codes = {c: f"__c_{i}" for i, c in enumerate(cols)}
-    return out.select(*[F.col(codes[c]).alias(c) if c in codes else out[c] for c in df.columns])
+    return out.select(*[F.col(codes[c]).alias(c) if c in codes else F.col(f"__packed.`{c}`") if wide else out[c] for c in df.columns])
 
 
 def _safe(level: str) -> str:

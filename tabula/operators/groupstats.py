@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.aggregates import agg_expr
-from tabula.operators.joins import keys_in, left_join_null_safe
+from tabula.operators.joins import WIDE_ROW, keys_in, left_join_null_safe, packed
 
 
 def _keys(keys) -> list[str]:
@@ -62,11 +62,14 @@ def add_group_stats(df: DataFrame, keys, named: Mapping[str, Column], small: boo
 def add_group_blocks(df: DataFrame, blocks: Sequence[tuple[Sequence[str], Mapping[str, Column]]]) -> DataFrame:
     """Several ``add_group_stats`` at once; every block is aggregated from ``df`` itself, so no
     statistics table repeats the joins of the blocks before it."""
-    tables = [(keys, group_stats(df, keys, named)) for keys, named in blocks]
-    out = df
+    tables = [(_keys(keys), group_stats(df, keys, named)) for keys, named in blocks]
+    wide = len(df.columns) > WIDE_ROW
+    out = packed(df, list(dict.fromkeys(k for keys, _ in tables for k in keys))) if wide else df
     for keys, stats in tables:
-        out = left_join_null_safe(out, stats, _keys(keys))
-    return out
+        out = left_join_null_safe(out, stats, keys)
+    if not wide:
+        return out
+    return out.select("__packed.*", *[c for keys, stats in tables for c in stats.columns if c not in keys])
 
 
 def mean_stats(prefix: str, exprs: Mapping[str, Column], with_var: bool = False,
@@ -104,4 +107,6 @@ def median_lookup(df: DataFrame, key: str, value: str, out: str, nulls: str = "p
             flags = heavy.groupBy(key).agg(F.max(F.col(value).isNull().cast("int")).alias("__null"))
             m = left_join_null_safe(flags, m, [key]).select(key, F.when(F.col("__null") == 0, F.col(out)).alias(out))
         med = normal.unionByName(m)
-    return left_join_null_safe(df, med, [key])
+    if len(df.columns) <= WIDE_ROW:
+        return left_join_null_safe(df, med, [key])
+    return left_join_null_safe(packed(df, [key]), med, [key]).select("__packed.*", out)

@@ -28,15 +28,36 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.operators.partials import array_matrix, reduced, tiles
+from tabula.operators.partials import array_matrix, column_matrix, reduced, tiles
 from tabula.session import checkpoint_dir
 
 
+#: Columns from which sums are taken by matrix columns instead of one aggregate expression each.
+WIDE = 100
+
+
 def column_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    if len(cols) > WIDE:
+        total, n = column_sums(df, cols)
+        return {c: float(t / k) if k else None for c, t, k in zip(cols, total, n)}
     row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
+def column_sums(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and count of the non-null values of each column, in one scan (``partials``)."""
+    def kernel(batches):
+        sums = np.zeros((2, len(cols)))
+        for batch in batches:
+            if batch.num_rows:
+                x, there = column_matrix(batch)
+                sums += [x.sum(0), there.sum(0)]
+        yield 0, sums
+    found = reduced(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), kernel).collect()
+    total, n = np.frombuffer(found[0]["state"], float).reshape(2, -1) if found else np.zeros((2, len(cols)))
+    return total, n
+
+
 def mean_impute(df: DataFrame, cols: Sequence[str], fill: float | None = 0.0) -> DataFrame:
     means = column_means(df, cols)
     exprs = {}

@@ -80,17 +80,36 @@ def keys_in(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> D
     return df.join(renamed, on, how)
 
 
+#: Columns from which a row travels through a chain of joins as one struct.
+WIDE_ROW = 100
+
+
+def packed(df: DataFrame, apart: Sequence[str], name: str = "__packed") -> DataFrame:
+    """``apart`` and all columns as one struct ``name``.
+
+    A join copies its rows column by column; through several joins in a row that is a projection
+    of all columns (compiled and run) for each of them, of a struct it is one copy.
+    """
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name), *apart)
+
+
 def rollup_join(base: DataFrame, rollups: Sequence[DataFrame], key: str) -> DataFrame:
     """``base ⟕ r1 ⟕ r2 ...`` on one entity key (J1, entity merge).
 
-    Each roll-up leaves its aggregation already hash-partitioned on ``key``,
-    so the chain of sort-merge joins only shuffles ``base`` once; AQE turns a
-    roll-up into a broadcast at runtime when it is small.
+    A roll-up that leaves its aggregation hash-partitioned on ``key`` is not
+    shuffled again; AQE turns a roll-up into a broadcast at runtime when it is
+    small.  Wide rows are joined as one struct per table.
     """
-    out = base
-    for r in rollups:
-        out = out.join(r, key, "left")
-    return out
+    if len(base.columns) + sum(len(r.columns) for r in rollups) <= WIDE_ROW:
+        out = base
+        for r in rollups:
+            out = out.join(r, key, "left")
+        return out
+    out = packed(base, [key], "__p")
+    for i, r in enumerate(rollups):
+        out = out.join(packed(r, [key], f"__p{i}"), key, "left")
+    taken = [(f"__p{i}", c) for i, r in enumerate(rollups) for c in r.columns if c != key]
+    return out.select(key, *[F.col(f"__p.`{c}`") for c in base.columns if c != key], *[F.col(f"{p}.`{c}`") for p, c in taken])
 
 
 def align_on_key(frames: dict[str, DataFrame], key: str, value: str, missing: str = "error") -> DataFrame:

@@ -1,8 +1,8 @@
 """Principal components (M5) and uncentred SVD scores (M6).
 
-M5 uses Spark ML: ``VectorAssembler`` -> ``StandardScaler(withMean, withStd)``
--> ``PCA(k)``.  Spark's PCA fit is one distributed covariance pass (p x p to
-the driver); its transform does not centre, hence the scaler first.
+M5 centres and scales: one pass for the means, one for the sums of products
+about them (tiles summed in a tree; p x p to the driver), the eigenvectors of
+the correlations, and a row-local product of the rows' matrix with the basis.
 
 M6 (``prcomp(x, center=FALSE, scale=FALSE)``) uses the same distributed
 Gram pass as soft-impute (tiles of xᵀx summed in a tree), an eigen-decomposition of the p x p matrix on the driver, and
@@ -20,13 +20,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabula.operators.impute import gram_and_change, gram_tiles
-from tabula.operators.partials import array_matrix, reduced, tiles
+from tabula.operators.partials import array_matrix, column_matrix, reduced, tiles
 
 
 def _sign_fix(v: np.ndarray) -> np.ndarray:
@@ -55,14 +57,72 @@ def _project(df: DataFrame, vec, basis: np.ndarray, prefix: str, keep: Sequence[
 
 def pca_scores(df: DataFrame, cols: Sequence[str], k: int, keep: Sequence[str] = (), prefix: str = "PC") -> DataFrame:
     """Centred and scaled PCA scores (``prcomp(scale=TRUE, center=TRUE)$x[, 1:k]``)."""
-    cols = list(cols)
-    assembled = VectorAssembler(inputCols=cols, outputCol="__x", handleInvalid="error").transform(
-        df.select(*keep, *[F.col(c).cast("double") for c in cols]))
-    scaled = StandardScaler(inputCol="__x", outputCol="__z", withMean=True, withStd=True).fit(assembled) \
-        .transform(assembled)
-    model = PCA(k=k, inputCol="__z", outputCol="__pc").fit(scaled)
-    basis = _sign_fix(model.pc.toArray())
-    return _project(scaled.withColumn("__za", vector_to_array("__z")), F.col("__za"), basis, prefix, keep)
+    cols, keep = list(cols), list(keep)
+    x = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
+    mean, spread, n = _location(x, cols)
+    if n < 2:
+        raise ValueError(f"pca_scores: {n:.0f} rows have no covariance")
+    scale = np.where(spread, _centred_gram(x, cols, mean), 0.0)
+    sd = np.sqrt(np.diag(scale) / (n - 1))
+    unit = np.divide(1.0, sd, out=np.zeros_like(sd), where=sd > 0)
+    value, vector = np.linalg.eigh(scale / (n - 1) * unit[:, None] * unit)
+    basis = _sign_fix(vector[:, np.argsort(value)[::-1][:k]]) * unit[:, None]
+
+    schema = T.StructType([*[x.schema[c] for c in keep], *[T.StructField(f"{prefix}{j + 1}", T.DoubleType()) for j in range(basis.shape[1])]])
+    out = to_arrow_schema(schema)
+
+    def scores(batches):
+        for batch in batches:
+            if batch.num_rows:
+                z = (column_matrix(batch.select(cols))[0] - mean) @ basis
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).cast(out.field(c).type) for c in keep], *[pa.array(s) for s in z.T]], schema=out)
+    return x.mapInArrow(scores, schema)
+
+
+def _location(x: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray, float]:
+    """(mean, whether there are two values, rows) of columns without null or NaN."""
+    def kernel(batches):
+        state = np.array([np.zeros(len(cols)), np.zeros(len(cols)), np.full(len(cols), np.inf), np.full(len(cols), -np.inf)])
+        for batch in batches:
+            if batch.num_rows:
+                v, there = column_matrix(batch)
+                if not there.all() or np.isnan(v).any():
+                    raise ValueError("pca_scores: a null or NaN among the columns")
+                state = merge(state, np.array([v.sum(0), there.sum(0), v.min(0), v.max(0)]))
+        yield 0, state
+
+    def merge(a, b):
+        a, b = a.reshape(4, -1), b.reshape(4, -1)
+        return np.array([a[0] + b[0], a[1] + b[1], np.minimum(a[2], b[2]), np.maximum(a[3], b[3])])
+
+    def flat(a, b):
+        return merge(a, b).ravel()
+    found = reduced(x.select(*cols), kernel, flat).collect()
+    if not found:
+        return np.zeros(len(cols)), np.zeros(len(cols), bool), 0.0
+    total, n, low, high = np.frombuffer(found[0]["state"], float).reshape(4, -1)
+    return total / np.maximum(n, 1), low < high, float(n[0])
+
+
+def _centred_gram(x: DataFrame, cols: Sequence[str], mean: np.ndarray) -> np.ndarray:
+    """p x p sums of products about the mean, on the driver (bounded by the column count)."""
+    p = len(cols)
+
+    def kernel(batches):
+        sums = {}
+        for batch in batches:
+            if batch.num_rows:
+                v = column_matrix(batch)[0] - mean
+                for tile, i, j in tiles(p):
+                    got = v[:, i].T @ v[:, j]
+                    sums[tile] = sums[tile] + got if tile in sums else got
+        yield from sums.items()
+    spans, out = {tile: (i, j) for tile, i, j in tiles(p)}, np.zeros((p, p))
+    for r in reduced(x.select(*cols), kernel).collect():
+        i, j = spans[r["tile"]]
+        out[i, j] = np.frombuffer(r["state"], float).reshape(i.stop - i.start, j.stop - j.start)
+        out[j, i] = out[i, j].T
+    return out
 
 
 def svd_scores(df: DataFrame, cols: Sequence[str], k: int, keep: Sequence[str] = (), prefix: str = "PC") -> DataFrame:

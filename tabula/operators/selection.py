@@ -1,6 +1,6 @@
 """Column statistics and column filters (M1, M2, M4, M9).
 
-The data work is distributed (melt + aggregations, one pass for all pairs);
+The data work is distributed (value counts + aggregations, one pass for all pairs);
 only per-column summaries (bounded by the number of columns) and the p x p
 correlation matrix reach the driver, where the drop decision is made.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +26,35 @@ UNIQUE_CUT = 10.0
 WIDE = 14
 
 
-def _melt(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(col_idx, value) for all non-null cells of the chosen columns, values as doubles."""
-    return (df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)
-    ])).alias("kv")).select("kv.i", "kv.v").where(F.col("v").isNotNull()))
+#: Cells whose values a task counts before it hands them on.
+CELLS = 4_000_000
+
+
+def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, v, n) for the non-null cells of the chosen columns, values as doubles, counted for some rows at a time."""
+    out = pa.schema([("i", pa.int32()), ("v", pa.float64()), ("n", pa.int64())])
+
+    def counted(held):
+        table = pa.Table.from_batches(held)
+        for i in range(table.num_columns):
+            values = table.column(i).drop_null().cast(pa.float64(), safe=False).to_numpy()
+            if values.size:
+                v, n = np.unique(values + 0.0, return_counts=True)         # 0.0 for -0.0, one NaN
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(v.size, i, np.int32)), pa.array(v, from_pandas=False), pa.array(n.astype(np.int64))], schema=out)
+
+    def run(batches):
+        held, cells = [], 0
+        for batch in batches:
+            held.append(batch)
+            cells += batch.num_rows * batch.num_columns
+            if cells >= CELLS:
+                yield from counted(held)
+                held, cells = [], 0
+        if held:
+            yield from counted(held)
+    plain = ("integer", "long", "double", "float", "short", "byte")
+    rows = df.select(*[F.col(c) if df.schema[c].dataType.typeName() in plain else F.col(c).cast("double").alias(c) for c in cols])
+    return rows.mapInArrow(run, "i int, v double, n long")
 
 
 def nzv_metrics(df: DataFrame, cols: Sequence[str] | None = None, freq_cut: float = FREQ_CUT,
@@ -42,8 +67,8 @@ def nzv_metrics(df: DataFrame, cols: Sequence[str] | None = None, freq_cut: floa
     zero_var = one distinct value or all null; nzv = zero_var or
     (freq_ratio > freq_cut and percent_unique <= unique_cut).
 
-    Plan: melt -> value counts per (column, value) with partial aggregation
-    (a hot value is pre-counted on every mapper) -> per-column max count ->
+    Plan: value counts per (column, value), counted a set of rows at a time in
+    the tasks (no row per cell) and summed -> per-column max count ->
     per-column second count, distinct count and total.  No window, no
     per-column set: every step is a combinable aggregation.
     """
@@ -51,7 +76,7 @@ def nzv_metrics(df: DataFrame, cols: Sequence[str] | None = None, freq_cut: floa
                                                  if f.dataType.typeName() in ("integer", "long", "double", "float",
                                                                               "short", "byte")]
     n_rows = df.count()
-    counts = keep(_melt(df, cols).groupBy("i", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    counts = keep(_value_counts(df, cols).groupBy("i", "v").agg(F.sum("n").alias("cnt")))
     top = counts.groupBy("i").agg(F.max("cnt").alias("top1"))
     per_col = (counts.join(F.broadcast(top), "i")   # one row per column: bounded by the column count
                .groupBy("i").agg(F.first("top1").alias("top1"),

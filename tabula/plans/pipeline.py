@@ -40,6 +40,7 @@ from tabula.operators.bundles import nested_rollup, rollup
 from tabula.operators.joins import rollup_join
 from tabula.plans import analog, recipes
 from tabula.plans.queries_stats import GROUP_BLOCKS, GROUP_STAT_INPUTS, previous_apps
+from tabula.sources import sinks
 from tabula.sources.sinks import materialize
 
 
@@ -70,7 +71,7 @@ def _bureau(t, cfg: PipelineConfig) -> DataFrame:
     bb = encode.onehot(analog.bureau_balance(t), max_levels=10)
     out = nested_rollup(bb, b, "SK_ID_BUREAU", "SK_ID_CURR", cfg.bundle, cfg.bundle, cfg.nulls)
     # the filter reads the roll-up twice and the merge once more: written once, never computed again
-    out = materialize(clean.clean_non_finite(out), "bureau-rollup")
+    out = materialize(clean.clean_non_finite(out, by_batch=True), "bureau-rollup")
     return C.prefix_rename(selection.drop_nzv(out, [c for c in out.columns if c != "SK_ID_CURR"]), "BURO_",
                            ["SK_ID_CURR"])
 
@@ -92,10 +93,11 @@ def _card(t, cfg) -> DataFrame:
 
 
 def _previous(t, cfg) -> DataFrame:
-    p = previous_apps(t).drop("SK_ID_PREV")
+    # the rows of three joined tables are read for the levels, the group sizes and the roll-up: written once
+    p = sinks.materialize(previous_apps(t).drop("SK_ID_PREV"), "previous-rows")
     p = p.withColumn("APP_SIZE_PERC", X.ieee_divide("l_quantity", "p_size"))
     p = encode.onehot(p, max_levels=cfg.onehot_levels)
-    out = materialize(clean.clean_non_finite(rollup(p, "SK_ID_CURR", cfg.bundle, cfg.nulls)), "previous-rollup")
+    out = materialize(clean.clean_non_finite(rollup(p, "SK_ID_CURR", cfg.bundle, cfg.nulls), by_batch=True), "previous-rollup")
     return C.prefix_rename(selection.drop_nzv(out, [c for c in out.columns if c != "SK_ID_CURR"]), "PREV_",
                            ["SK_ID_CURR"])
 
@@ -115,8 +117,11 @@ def _applicant_rows(t, cfg) -> DataFrame:
 def build_feature_table(spark: SparkSession, t: dict, cfg: PipelineConfig | None = None) -> DataFrame:
     cfg = cfg or PipelineConfig()
     a = _applicant_rows(t, cfg)
-    merged = rollup_join(a, [_bureau(t, cfg), _card(t, cfg), recipes.payments_rollup(analog.installments(t)),
-                             _pos(t, cfg), _previous(t, cfg)], "SK_ID_CURR")
+    # every table of the merge is written before it: the lookup below reads the merge several times
+    merged = rollup_join(materialize(a, "applicant-rows"), [
+        _bureau(t, cfg), materialize(_card(t, cfg), "card-rollup"),
+        materialize(recipes.payments_rollup(materialize(analog.installments(t), "instalment-rows")), "payments-rollup"),
+        materialize(_pos(t, cfg), "pos-rollup"), _previous(t, cfg)], "SK_ID_CURR")
     # Null count of the joined row, then ratios
     merged = merged.withColumn("na", R.row_null_count([c for c in merged.columns if c not in ("TARGET",)]))
     merged = clean.null_out(merged, {"DAYS_EMPLOYED": F.col("DAYS_EMPLOYED") == 365243})
@@ -139,17 +144,16 @@ def build_feature_table(spark: SparkSession, t: dict, cfg: PipelineConfig | None
     merged = merged.withColumn("INC_PER_CHLD", X.ieee_divide(F.col("credit_per_child"), F.col("CNT_CHILDREN") + 1))
     # Organisation median lookup, then non-finite -> null
     merged = groupstats.median_lookup(merged, "ORGANIZATION_TYPE", "AMT_INCOME_TOTAL", "NEW_INC_BY_ORG")
-    merged = clean.clean_non_finite(merged)
     # the merged applicant table feeds several measured decisions below: write it
-    # once (shared checkpoint folder) so none of them recomputes the five roll-ups
-    merged = materialize(merged, "applicant-merged")
+    # once (shared checkpoint folder) so none of them recomputes the joins
+    merged = materialize(clean.clean_non_finite(merged, by_batch=True), "applicant-merged")
     # Group statistics joined back
     if cfg.group_stats:
         exprs = {suffix: F.col(src) for suffix, src in GROUP_STAT_INPUTS.items()}
         merged = groupstats.add_group_blocks(merged, [(keys, groupstats.mean_stats(prefix, exprs))
                                                       for prefix, keys in GROUP_BLOCKS.items()])
     # Encode, clean; write the wide table once (lineage cut, restart point)
-    merged = clean.clean_non_finite(encode.label_encode(merged))
+    merged = clean.clean_non_finite(encode.label_encode(merged), by_batch=True)
     wide = materialize(merged, "feature-table-wide")
     ids = ["SK_ID_CURR", "TARGET", "is_train"]
     feats = [c for c in wide.columns if c not in ids]

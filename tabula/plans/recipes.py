@@ -69,4 +69,4 @@ def payment_bin_means(pay: DataFrame) -> DataFrame:
 def payments_rollup(installments: DataFrame) -> DataFrame:
     """Per-applicant canonical bundle of the enriched payment rows, non-finite -> null."""
     pay = payment_bin_means(payment_rows(installments))
-    return clean_non_finite(rollup(pay, "SK_ID_CURR", "canonical", "propagate"))
+    return clean_non_finite(rollup(pay, "SK_ID_CURR", "canonical", "propagate"), by_batch=True)

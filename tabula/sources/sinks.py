@@ -34,6 +34,8 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, name or "tbl")
     df.write.mode("overwrite").parquet(path)
+    # the shuffle files behind it go when the driver's plans are collected, which a large heap puts off for long
+    spark.sparkContext._jvm.System.gc()
     return spark.read.parquet(path)
 
 

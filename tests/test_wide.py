@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabula.operators import impute, moments, partials, reduce, selection
+from tabula.operators import bundles, clean, encode, groupstats, impute, joins, moments, partials, reduce, selection, sortedruns
 
 
 def frame(spark, x, parts=4):
@@ -160,3 +160,90 @@ def test_truncated_directions_of_close_values_settle(spark):
     few = spark.createDataFrame([([1.0, 2.0, 0.0, 0.0],), ([2.0, 4.0, 0.0, 0.0],)], "v array<double>")
     value, v = reduce.leading_directions(few, "v", 4, 2, extra=0)
     assert np.allclose(value, [5.0, 0.0], atol=1e-6) and np.allclose(v.T @ v, np.eye(2))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _frame(spark):
+    rows = [(k, b, x, i, f) for k, b, x, i, f in [
+        (1, "a", 0.1, 3, 1.5), (1, "a", 0.1, -3, 1.5), (1, "a", 0.1, 3, None), (2, "a", float("nan"), 1, 2.5), (2, "a", None, 1, 2.5),
+        (None, "a", 2.0, 7, 0.5), (None, "b", -0.0, 7, 0.5), (None, "b", 0.0, 8, 0.25), (3, None, float("inf"), None, 1.0), (3, "b", 1.0, 2 ** 62, 4.0)]]
+    return spark.createDataFrame(rows, "k int, b string, x double, i long, f float")
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "b"]])
+@pytest.mark.parametrize("fns", ["canonical", "sd", "mean_var_sum"])
+@pytest.mark.parametrize("cells", [2_000_000, 6])
+def test_numeric_bundles_come_from_sorted_rows(spark, monkeypatch, keys, fns, cells):
+    """Hundreds of buffers and sets a group were kept and touched by every row."""
+    df = _frame(spark)
+    monkeypatch.setattr(sortedruns, "CELLS", cells)
+    got = bundles.rollup(df, keys, fns, cols=["x", "i", "f"])
+    assert "ObjectHashAggregate" not in _plan(got) and "MapInArrow" in _plan(got)
+    monkeypatch.setattr(sortedruns, "fits", lambda *a: False)
+    want = bundles.rollup(df, keys, fns, cols=["x", "i", "f"])
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+    # of a zero with both signs either may be the smallest
+    rows = [sorted(str(r).replace("-0.0", "0.0") for r in df.collect()) for df in (got, want)]
+    assert rows[0] == rows[1]
+
+
+def test_sum_that_does_not_fit_a_long_is_refused(spark):
+    df = spark.createDataFrame([(1, 2 ** 62), (1, 2 ** 62)], "k int, i long")
+    with pytest.raises(Exception, match="does not fit a long"):
+        bundles.rollup(df, "k").collect()
+
+
+def test_near_zero_variance_makes_no_row_of_a_cell(spark):
+    df = spark.createDataFrame([(0.0, 1, True), (-0.0, 1, None), (float("nan"), 2, False), (float("nan"), None, False)], "a double, b int, c boolean")
+    out = selection.nzv_metrics(df, ["a", "b", "c"])
+    assert "Generate" not in _plan(out)
+    got = {r["column"]: (r["freq_ratio"], r["percent_unique"], r["zero_var"]) for r in out.collect()}
+    assert got == {"a": (1.0, 50.0, 0), "b": (2.0, 50.0, 0), "c": (2.0, 50.0, 0)}
+
+
+def test_wide_rows_are_joined_as_one_struct(spark):
+    wide = spark.range(3).select(F.col("id").alias("k"), *[(F.col("id") + j).cast("double").alias(f"c.{j}") for j in range(120)])
+    other = spark.createDataFrame([(0, 1.0, "x"), (0, 2.0, "y"), (2, None, "x")], "k long, v double, s string")
+    out = joins.rollup_join(wide, [other, other.select("k", F.col("v").alias("w"))], "k")
+    assert out.columns == [*wide.columns, "v", "s", "w"] and _plan(out).count("`c.7`") + _plan(out).count("c.7") < 12
+    rows = sorted([(r["k"], r["v"], r["s"], r["w"], r["c.119"]) for r in out.collect()], key=str)
+    assert rows == sorted([(0, a, s, b, 119.0) for a, s in ((1.0, "x"), (2.0, "y")) for b in (1.0, 2.0)] + [(1, None, None, None, 120.0), (2, None, "x", None, 121.0)], key=str)
+    coded = encode.label_encode(out)
+    assert coded.columns == out.columns
+    assert sorted(str(r["s"]) for r in coded.collect()) == ["1", "1", "1", "2", "2", "None"]
+    means = groupstats.add_group_blocks(out, [(["s"], {"m": F.avg("w")}), (["k", "s"], {"n": F.count("w")})])
+    assert means.columns == [*out.columns, "m", "n"]
+    assert sorted((str(r["s"]), r["m"], r["n"]) for r in means.collect()) == [
+        ("None", None, 0), ("x", 1.5, 0), ("x", 1.5, 2), ("x", 1.5, 2), ("y", 1.5, 2), ("y", 1.5, 2)]
+    middle = groupstats.median_lookup(out, "s", "k", "med")
+    assert sorted((str(r["s"]), r["med"]) for r in middle.collect()) == [("None", 1.0), ("x", 0.0), ("x", 0.0), ("x", 0.0), ("y", 0.0), ("y", 0.0)]
+
+
+def test_cleaning_by_batch_is_the_same(spark):
+    df = _frame(spark)
+    got, want = clean.clean_non_finite(df, by_batch=True), clean.clean_non_finite(df)
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "isnan" not in _plan(got).lower()
+
+
+def test_wide_means_and_components(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 130)) @ np.diag(np.linspace(1, 9, 130))
+    x[:, 5] = 0.1
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["id", *[f"c{j}" for j in range(130)]])
+    cols = df.columns[1:]
+    holes = df.withColumn("c7", F.when(F.col("id") > 3, F.col("c7"))).withColumn("c8", F.lit(None).cast("double"))
+    means = impute.column_means(holes, cols)
+    assert means["c8"] is None and np.isclose(means["c7"], x[4:, 7].mean()) and np.isclose(means["c0"], x[:, 0].mean())
+    out = reduce.pca_scores(df, cols, 3, keep=["id"])
+    assert "UDF" not in _plan(out) and out.columns == ["id", "PC1", "PC2", "PC3"]
+    z = (x - x.mean(0)) / np.where(np.arange(130) == 5, 1, x.std(0, ddof=1))
+    z[:, 5] = 0
+    u, s, _ = np.linalg.svd(z, full_matrices=False)
+    got = np.array([list(r)[1:] for r in out.orderBy("id").collect()])
+    assert np.allclose(np.abs(got), np.abs(u[:, :3] * s[:3]))
+    with pytest.raises(Exception, match="null or NaN"):
+        reduce.pca_scores(holes, cols, 3).collect()
